@@ -106,7 +106,7 @@ def repo_score(user_prs: Column | str, total_prs: Column | str, stars: Column |
 
 # X10 ----------------------------------------------------------------------------
 def stage4_repo_score(stars: Column | str, prs: Column | str) -> Column:
-    return F.log1p(_c(stars).cast("double")) * 10.0 + _c(prs).cast("double") * 5.0
+    return F.ln(_c(stars).cast("double") + 1.0) * 10.0 + _c(prs).cast("double") * 5.0
 
 
 # X14 / X15 ----------------------------------------------------------------------

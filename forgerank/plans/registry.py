@@ -64,4 +64,4 @@ class Tables:
 
 
 # Importing the query modules fills QUERIES and ORACLE.
-from . import q_scoring  # noqa: E402,F401
+from . import q_scoring, q_analysis  # noqa: E402,F401
