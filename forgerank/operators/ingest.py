@@ -192,10 +192,10 @@ def parse_pull_requests(landed: DataFrame) -> DataFrame:
     """One row per node; ``repo_id = owner/repo`` (the request key); a missing
     author is ``ghost``; a missing merge time becomes null."""
     p = landed.select(F.col("cache_key").alias("repo_id"), F.from_json("response", REPO_PRS).alias("p"))
-    n = p.select("repo_id", F.explode(F.coalesce(F.col("p.repository.pullRequests.nodes"),
-                                                 F.array().cast(T.ArrayType(PR_NODE)))).alias("n"))
+    n = p.select("repo_id", F.posexplode(F.coalesce(F.col("p.repository.pullRequests.nodes"),
+                                                    F.array().cast(T.ArrayType(PR_NODE)))).alias("nth", "n"))
     return n.select(
-        F.col("n.id").alias("id"), F.col("n.url").alias("url"), "repo_id",
+        F.col("n.id").alias("id"), F.col("n.url").alias("url"), "repo_id", "nth",
         F.coalesce(F.nullif(F.col("n.author.login"), F.lit("")), F.lit(D.GHOST_LOGIN)).alias("author_login"),
         from_iso(F.col("n.mergedAt")).alias("merged_at"),
         from_iso(F.col("n.createdAt")).alias("created_at"))

@@ -85,7 +85,7 @@ FROM newest""", "a_raw_prs", extra=NEWEST))
 def q_parse_pull_requests(spark, sf_dir):
     """S4 over one landed payload per repo (its newest 100 merged PRs)."""
     t = Tables(spark, sf_dir)
-    return I.parse_pull_requests(I.pr_payloads(I.newest_prs_per_repo(t.raw_prs)))
+    return I.parse_pull_requests(I.pr_payloads(I.newest_prs_per_repo(t.raw_prs))).drop("nth")
 
 
 @register("parse_pr_search", with_ctes("""

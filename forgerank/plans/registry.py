@@ -64,4 +64,4 @@ class Tables:
 
 
 # Importing the query modules fills QUERIES and ORACLE.
-from . import q_scoring, q_analysis, q_ranking, q_ops, q_ingest  # noqa: E402,F401
+from . import q_scoring, q_analysis, q_ranking, q_ops, q_ingest, q_stream  # noqa: E402,F401
