@@ -67,9 +67,10 @@ def analyze_users(repos: DataFrame, prs: DataFrame, users: DataFrame, pr_key: st
                   categories=D.CATEGORIES_SUBSTRING) -> DataFrame:
     """Q2: per owner, split-credit category sums, top 5 repos, language histogram,
     first 10 topics alphabetically, contribution count. Users without repos get no row."""
+    from ..session import shared
     r = categorize_substring(owned_repos_with_pr_counts(repos, prs, users, pr_key), categories)
-    r = r.withColumn("score", stage4_repo_score("stars", "prs")).withColumn(
-        "share", F.when(F.size("categories") > 0, F.col("score") / F.size("categories")))
+    r = shared(r.withColumn("score", stage4_repo_score("stars", "prs")).withColumn(
+        "share", F.when(F.size("categories") > 0, F.col("score") / F.size("categories"))))
     sums = r.groupBy("owner_login").agg(
         *[F.sum(F.when(F.array_contains("categories", c), F.col("share")).otherwise(0.0))
           .alias(f"{c}_score") for c in categories],
@@ -199,7 +200,8 @@ def user_analysis(users: DataFrame, repos: DataFrame, prs: DataFrame) -> DataFra
     """Q4: per user the deduplicated repos, PR counts (J4), language histogram over
     all repos (A7), contribution count (A12), unique skills (A11), profile link (X1)."""
     from ..functions.columns import extract_link
-    ur = repo_user_pr_counts(user_repos_union(user_repo_candidates(users, repos, prs)), prs)
+    from ..session import shared
+    ur = shared(repo_user_pr_counts(user_repos_union(user_repo_candidates(users, repos, prs)), prs))
     per = ur.groupBy("username").agg(F.count(F.lit(1)).alias("n_repos"),
                                      F.sum("user_prs").cast("long").alias("contribution_count"))
     langs = language_histogram(ur.select("username", "primary_language"))

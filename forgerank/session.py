@@ -66,3 +66,11 @@ def _counter():
 
 
 _seq = _counter()
+
+
+def shared(df):
+    """Write an intermediate used by several branches of one plan to the shared
+    checkpoint folder (reliable ``checkpoint``), so the branches scan it instead of
+    recomputing it, and a lost executor re-reads it instead of its lineage."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
