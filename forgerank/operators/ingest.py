@@ -212,8 +212,10 @@ def user_prs_in_repo(user_repos: DataFrame, newest: DataFrame, min_stars: int =
 
 
 # ------------------------------------------------------------------ S5 PR search
-def search_payloads(found: DataFrame) -> DataFrame:
-    """One search result document per user: their merged PRs in the searched repos."""
+def search_payloads(found: DataFrame, page_size: int = 100) -> DataFrame:
+    """Search result documents per user, split into pages of about ``page_size``
+    nodes: the page is a hash of the PR id over the user's page count (a grouped
+    count, partial), so no window or group ever holds all of a heavy user's PRs."""
     line = F.element_at(F.split("id", "-"), -1)
     owner = F.element_at(F.split("full_name", "/"), 1)
     name = F.element_at(F.split("full_name", "/"), 2)
@@ -222,9 +224,14 @@ def search_payloads(found: DataFrame) -> DataFrame:
         F.concat(F.lit(D.PROFILE_URL_PREFIX), "full_name", F.lit("/pull/"), "id").alias("url"),
         iso(F.col("merged_at")).alias("mergedAt"), iso(F.col("created_at")).alias("createdAt"),
         F.struct(F.struct(owner.alias("login")).alias("owner"), name.alias("name")).alias("repository"))
-    per = found.groupBy("username").agg(F.array_sort(F.collect_list(F.struct("id", node.alias("n")))).alias("a"))
+    pages = found.groupBy("username").agg(
+        F.ceil(F.count(F.lit(1)) / page_size).cast("long").alias("__pages"))
+    paged = found.join(pages, "username", "inner").withColumn(
+        "page", F.pmod(F.xxhash64("id"), F.col("__pages")))
+    per = paged.groupBy("username", "page").agg(
+        F.array_sort(F.collect_list(F.struct("id", node.alias("n")))).alias("a"))
     body = F.struct(F.struct(F.transform("a", lambda x: x["n"]).alias("nodes")).alias("search"))
-    return per.select(F.col("username").alias("cache_key"), F.to_json(body).alias("response"))
+    return per.select(F.col("username").alias("cache_key"), "page", F.to_json(body).alias("response"))
 
 
 def parse_pr_search(landed: DataFrame) -> DataFrame:

@@ -294,6 +294,21 @@ def q_catalog_columns(spark, sf_dir):
     return QU.catalog_columns(spark, domain_tables(Tables(spark, sf_dir)))
 
 
+@register("scan_tables", with_ctes("""
+SELECT username, name, avatar_url, bio, followers, following, public_repos, blog, location, email, twitter_username,
+  company, hireable, created_at, scraped_at FROM a_users""", "a_users"))
+def q_scan_tables(spark, sf_dir):
+    """The stored ``github_users`` table scanned with its declared schema (columns
+    outside the schema are pruned at the scan)."""
+    from ..sources.schemas import SCHEMAS
+    from .registry import stored_path
+    return read_path_with_schema(spark, stored_path(spark, sf_dir, "users"), SCHEMAS["github_users"])
+
+
+def read_path_with_schema(spark, path, schema):
+    return spark.read.schema(schema).parquet(path)
+
+
 # ------------------------------------------------------------------ freshness / cache
 @register("fresh_users", with_ctes(f"""
 SELECT username, scraped_at FROM a_users WHERE scraped_at > {AS_OF_SQL} - INTERVAL 30 DAY""", "a_users"))

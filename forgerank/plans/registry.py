@@ -47,7 +47,7 @@ DOMAIN = {
 }
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def stored_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     from ..session import scratch_path
     key = (sf_dir.rstrip("/"), name)
     path = _STORED.get(key)
@@ -55,7 +55,11 @@ def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         path = scratch_path(spark, f"domain_{name}")
         DOMAIN[name](spark, sf_dir).write.mode("overwrite").parquet(path)
         _STORED[key] = path
-    return spark.read.parquet(path)
+    return path
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(stored_path(spark, sf_dir, name))
 
 
 def materialize(spark: SparkSession, sf_dir: str) -> None:
