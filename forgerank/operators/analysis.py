@@ -201,7 +201,7 @@ def user_analysis(users: DataFrame, repos: DataFrame, prs: DataFrame) -> DataFra
     all repos (A7), contribution count (A12), unique skills (A11), profile link (X1)."""
     from ..functions.columns import extract_link
     from ..session import shared
-    ur = shared(repo_user_pr_counts(user_repos_union(user_repo_candidates(users, repos, prs)), prs))
+    ur = shared(model_a_inputs(users, repos, prs), "user_repos")
     per = ur.groupBy("username").agg(F.count(F.lit(1)).alias("n_repos"),
                                      F.sum("user_prs").cast("long").alias("contribution_count"))
     langs = language_histogram(ur.select("username", "primary_language"))
@@ -219,5 +219,9 @@ def user_analysis(users: DataFrame, repos: DataFrame, prs: DataFrame) -> DataFra
 
 
 def model_a_inputs(users: DataFrame, repos: DataFrame, prs: DataFrame) -> DataFrame:
-    """Per-user repo rows of Q4 in the shape ``score_users`` takes."""
-    return repo_user_pr_counts(user_repos_union(user_repo_candidates(users, repos, prs)), prs)
+    """Per-user repo rows of Q4 in the shape ``score_users`` takes. The deduplicated
+    repo lists feed both the qualifying-repo search and the final join, so they are
+    written once and scanned twice."""
+    from ..session import shared
+    union = shared(user_repos_union(user_repo_candidates(users, repos, prs)), "repo_lists")
+    return repo_user_pr_counts(union, prs)

@@ -5,11 +5,11 @@ into one task. ``global_rank`` computes the same numbers distributed:
 
 1. a global sort (range partitioning on the full ordering key, so a score value
    shared by many rows is split across partitions by the tie-break key);
-2. ``checkpoint()`` into the shared checkpoint folder, fixing the sampled range
-   bounds and the row order (executor loss re-reads the checkpoint, not a
-   re-sampled sort);
-3. per partition a local position (``monotonically_increasing_id`` keeps the
-   partition index in its upper bits) and a row count;
+2. in the same job every row is tagged with ``monotonically_increasing_id`` (the
+   partition index in its upper bits, the position inside the sorted partition in
+   the lower bits) and written to the shared checkpoint folder, which fixes the
+   sampled range bounds (executor loss re-reads files, not a re-sampled sort);
+3. the row count per partition index;
 4. the partition counts (one row per partition, a size bounded by the
    partition count) turned into offsets and broadcast back.
 """
@@ -22,21 +22,16 @@ from pyspark.sql import functions as F
 
 from ..functions import dictionaries as D
 from ..functions.columns import extract_link, in_region
-from ..session import checkpoint_dir
 
 LOCAL_BITS = 33
 
 
-def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rnk",
-                materialize: bool = True) -> DataFrame:
+def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rnk") -> DataFrame:
     """Exact ``row_number()`` over a total ``order`` without a single-partition window."""
-    spark = df.sparkSession
-    ordered = df.orderBy(*order)
-    if materialize:
-        checkpoint_dir(spark)
-        ordered = ordered.checkpoint(eager=True)
-    mid = F.monotonically_increasing_id()
-    tagged = ordered.withColumn("__mid", mid)
+    from ..session import shared
+    # One job: range-partitioned sort, then each row tagged with its partition index
+    # (upper bits) and position inside the partition (lower bits), written out.
+    tagged = shared(df.orderBy(*order).withColumn("__mid", F.monotonically_increasing_id()), "rank")
     pid = F.shiftright("__mid", LOCAL_BITS)
     counts = tagged.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
     # One row per partition: a single-partition window over it is tiny.

@@ -33,7 +33,8 @@ def full_refresh(profiles_landed: DataFrame, repos_landed: DataFrame, prs_landed
                  as_of: Column) -> DataFrame:
     profiles, _quarantine = I.parse_profile(profiles_landed)
     users = upsert_users(None, profiles.withColumn("scraped_at", as_of))
-    repo_rows = I.parse_repos(repos_landed)
+    from ..session import shared
+    repo_rows = shared(I.parse_repos(repos_landed), "parsed_repos")
     repos = upsert_repos_short_name(
         None, repo_rows.select(F.col("name").alias("repo_name"), "owner_login", "stars", "total_prs",
                                "primary_language", "is_fork", "topics", "pushed_at",

@@ -102,7 +102,7 @@ def score_users(user_repos: DataFrame, top_n: int = D.TOP_REPOS_MODEL_A,
     a WindowGroupLimit-pruned window, skills from a (user, skill) aggregate.
     """
     from ..session import shared
-    user_repos = shared(user_repos)
+    user_repos = shared(user_repos, "user_repos")
     r = user_repos.withColumn(
         "score", repo_score("user_prs", "total_prs", "stars", min_stars=D.MIN_STARS))
     scored = categorize_exact(r.where(F.col("score") > 0), categories)

@@ -58,8 +58,17 @@ def stored_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     return path
 
 
+_FRAMES: dict[tuple[int, str], DataFrame] = {}
+
+
 def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(stored_path(spark, sf_dir, name))
+    """The stored table as a DataFrame; the scan (file listing, footer schema) is
+    planned once per session and reused by every query."""
+    path = stored_path(spark, sf_dir, name)
+    key = (id(spark), path)
+    if key not in _FRAMES:
+        _FRAMES[key] = spark.read.parquet(path)
+    return _FRAMES[key]
 
 
 def materialize(spark: SparkSession, sf_dir: str) -> None:

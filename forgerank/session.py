@@ -68,9 +68,11 @@ def _counter():
 _seq = _counter()
 
 
-def shared(df):
-    """Write an intermediate used by several branches of one plan to the shared
-    checkpoint folder (reliable ``checkpoint``), so the branches scan it instead of
-    recomputing it, and a lost executor re-reads it instead of its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def shared(df, name: str = "shared"):
+    """Write an intermediate used by several branches of one plan as a parquet table
+    in the shared checkpoint folder and scan it back: one job computes it, the
+    branches read it (with column pruning), and a lost executor re-reads files
+    instead of recomputing the lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
