@@ -32,19 +32,27 @@ def land_in_files(df: DataFrame, path: str, files: int, key: str | None = None)
     return path
 
 
-def _refresh_batch(spark: SparkSession, repos: DataFrame, log_path: str, scores_path: str):
+def user_bucket(buckets: int):
+    return F.pmod(F.xxhash64("username"), F.lit(buckets)).cast("int")
+
+
+def _refresh_batch(spark: SparkSession, repos: DataFrame, log_path: str, scores_path: str,
+                   buckets: int):
     def run(batch: DataFrame, batch_id: int):
-        (batch.withColumn("batch_id", F.lit(batch_id))
+        # The PR log is partitioned by user bucket, then batch id: the touched-user
+        # semi join below prunes to the buckets this batch touched (dynamic
+        # partition pruning), so a micro-batch does not rescan the whole history.
+        (batch.withColumn("ubucket", user_bucket(buckets)).withColumn("batch_id", F.lit(batch_id))
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").parquet(log_path))
-        touched = batch.select("username").distinct()
-        log = spark.read.parquet(log_path).join(touched, "username", "left_semi")
+              .partitionBy("ubucket", "batch_id").parquet(log_path))
+        touched = batch.select("username").distinct().withColumn("ubucket", user_bucket(buckets))
+        log = spark.read.parquet(log_path).join(touched, ["ubucket", "username"], "left_semi")
         log = log.withColumn("ord", F.struct("batch_id", "seq"))
         prs = upsert_pull_requests(None, log.select(*PR_COLS[:-1], "ord"), order=["ord"])
         totals = S.user_scores(S.user_repo_scores(S.user_repo_stats(prs, repos)))
         # A touched user whose score fell to nothing still gets a row, so it replaces
         # the older one on read.
-        fresh = touched.join(totals, "username", "left").select(
+        fresh = touched.select("username").join(totals, "username", "left").select(
             "username", F.coalesce("total_score", F.lit(0.0)).alias("total_score"),
             F.coalesce("n_repos", F.lit(0)).alias("n_repos"),
             F.coalesce("contribution_count", F.lit(0)).alias("contribution_count"))
@@ -55,15 +63,18 @@ def _refresh_batch(spark: SparkSession, repos: DataFrame, log_path: str, scores_
 
 
 def incremental_refresh(spark: SparkSession, landing: str, schema, repos: DataFrame,
-                        profiles: DataFrame, files_per_batch: int = 1) -> DataFrame:
+                        profiles: DataFrame, files_per_batch: int = 1, buckets: int | None = None) -> DataFrame:
     """Run the file stream to completion (``Trigger.AvailableNow``) and return the
-    refreshed leaderboard (latest score row per user, joined to the profile)."""
+    refreshed leaderboard (latest score row per user, joined to the profile).
+    ``buckets`` (user buckets of the PR log) follows the session's shuffle
+    parallelism unless given."""
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     log_path = scratch_path(spark, "pr_log")
     scores_path = scratch_path(spark, "score_log")
     ckpt = scratch_path(spark, "refresh_ckpt")
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(landing))
-    q = (stream.writeStream.foreachBatch(_refresh_batch(spark, repos, log_path, scores_path))
+    q = (stream.writeStream.foreachBatch(_refresh_batch(spark, repos, log_path, scores_path, buckets))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     scores = spark.read.parquet(scores_path)
