@@ -225,3 +225,44 @@ def model_a_inputs(users: DataFrame, repos: DataFrame, prs: DataFrame) -> DataFr
     from ..session import shared
     union = shared(user_repos_union(user_repo_candidates(users, repos, prs)), "repo_lists")
     return repo_user_pr_counts(union, prs)
+
+
+# K8 + X16 ---------------------------------------------------------------------------
+def analyses_rows(repos: DataFrame, prs: DataFrame, users: DataFrame, as_of: Column,
+                  pr_key: str = "short", categories=D.CATEGORIES_SUBSTRING) -> DataFrame:
+    """Q2 in the stored ``analyses`` shape: skills as an array, the top repos as an
+    array of structs (name, owner, stars, prs, score, categories), languages as a
+    map, ``linkedin`` null, ``cached_at`` = as_of."""
+    r = categorize_substring(owned_repos_with_pr_counts(repos, prs, users, pr_key), categories)
+    r = r.withColumn("score", stage4_repo_score("stars", "prs")).withColumn(
+        "share", F.when(F.size("categories") > 0, F.col("score") / F.size("categories")))
+    sums = r.groupBy("owner_login").agg(
+        *[F.sum(F.when(F.array_contains("categories", c), F.col("share")).otherwise(0.0))
+          .alias(f"{c}_score") for c in categories],
+        F.sum("prs").cast("int").alias("contribution_count"))
+    w = W.partitionBy("owner_login").orderBy(F.desc("score"), F.asc("repo_name"))
+    item = F.struct(F.col("repo_name").alias("name"), F.col("owner_login").alias("owner"),
+                    F.col("stars").cast("int").alias("stars"), F.col("prs").alias("prs"),
+                    F.col("score").alias("score"), F.col("categories").alias("categories"))
+    top = (r.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= D.TOP_REPOS_STAGE4)
+            .groupBy("owner_login").agg(F.array_sort(F.collect_list(F.struct("pos", item.alias("i"))))
+                                        .alias("t")))
+    langs = language_histogram(r.select("owner_login", "primary_language"), "owner_login", as_text=False)
+    skills = topic_skills(r.select("owner_login", "topics"), "owner_login")
+    out = (sums.join(top, "owner_login", "left").join(langs, "owner_login", "left")
+               .join(skills, "owner_login", "left"))
+    total = sum((F.col(f"{c}_score") for c in categories), F.lit(0.0))
+    return out.select(
+        F.lower("owner_login").alias("id"), F.col("owner_login").alias("username"),
+        total.alias("total_score"), *[F.col(f"{c}_score") for c in categories],
+        F.coalesce(F.split("skills", ","), arr0()).alias("unique_skills"),
+        F.lit(None).cast("string").alias("linkedin"),
+        F.transform("t", lambda x: x["i"]).alias("top_repos"),
+        F.coalesce("languages", F.create_map().cast("map<string,int>")).alias("languages"),
+        "contribution_count", as_of.alias("cached_at"))
+
+
+def upsert_analyses(old: DataFrame | None, rows: DataFrame) -> DataFrame:
+    """K8: keyed on ``id`` = lower(username); every column replaced."""
+    from .upsert import upsert
+    return upsert(old, rows, ["id"], [F.col("cached_at")])

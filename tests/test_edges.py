@@ -276,3 +276,18 @@ def test_stage4_pr_key_modes(spark):
     import math
     assert abs(full["total_score"] - (math.log(10) * 10 + 10)) < 1e-9
     assert abs(short["backend_score"] - short["total_score"]) < 1e-9
+
+
+def test_typed_analyses_and_upsert(spark, as_of):
+    repos = spark.createDataFrame([("tool", "Alice", 9, "Go", ["api", "ui"]), ("lib", "Alice", 0, None, None)],
+                                  "repo_name string, owner_login string, stars int, primary_language string, topics array<string>")
+    prs = spark.createDataFrame([("1", "Alice", "Alice/tool")], "id string, username string, repo_name string")
+    users = spark.createDataFrame([("Alice",)], "username string")
+    rows = AN.analyses_rows(repos, prs, users, as_of)
+    r = rows.collect()[0]
+    assert r["id"] == "alice" and r["unique_skills"] == ["api", "ui"]
+    assert r["languages"] == {"Go": 1}
+    assert [x["name"] for x in r["top_repos"]] == ["tool", "lib"]
+    assert r["top_repos"][0]["categories"] == ["backend", "frontend"]
+    again = AN.upsert_analyses(rows, rows)
+    assert again.count() == 1
