@@ -1,11 +1,12 @@
 """Structured Streaming jobs.
 
 R1 incremental refresh: merged-PR rows land as files; each micro-batch
-(``foreachBatch``) appends its rows to a log partitioned by batch id, recomputes
-stage 2/3 only for the users it touched, and writes their scores into the score
-log under the same batch id. Both writes overwrite only their own partition, so a
-replayed batch (after a failure) rewrites the same files: the job is idempotent.
-The current table is the latest row per key across batches (upsert on read).
+(``foreachBatch``) keeps incremental state (an id log and per (user, repo) count
+deltas), recomputes stage 2/3 only for the users it touched from their per-repo
+counts, and writes their scores into a score log under its batch id. Every write
+overwrites only its own batch partitions, so a replayed batch (after a failure)
+rewrites the same files: the job is idempotent. The current table is the latest
+row per key across batches (upsert on read).
 
 R2 duplicate suppression: ``withWatermark`` + ``dropDuplicatesWithinWatermark``
 serves an identical request key once within the TTL.
@@ -32,52 +33,76 @@ def land_in_files(df: DataFrame, path: str, files: int, key: str | None = None)
     return path
 
 
-def user_bucket(buckets: int):
-    return F.pmod(F.xxhash64("username"), F.lit(buckets)).cast("int")
+def bucket_of(col: str, buckets: int):
+    return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
 
 
-def _refresh_batch(spark: SparkSession, repos: DataFrame, log_path: str, scores_path: str,
-                   buckets: int):
+def _refresh_batch(spark: SparkSession, repos: DataFrame, paths: dict, buckets: int):
+    """One micro-batch of R1, incremental state instead of a rescan:
+
+    * ids seen so far live in an id log partitioned by id bucket; the batch's first
+      row per id (K3, landing order) is anti-joined against it, so only ids never
+      seen before count (a repeated id only updates state/merged_at, which no
+      score reads);
+    * per (user, repo) PR-count deltas of the new ids are appended to a count log
+      partitioned by user bucket;
+    * touched users are recomputed from their per-repo counts (semi join on user
+      bucket + user, pruned by dynamic partition pruning), not from their PRs.
+
+    Every write overwrites only this batch's partitions, so a replay is idempotent.
+    """
     def run(batch: DataFrame, batch_id: int):
-        # The PR log is partitioned by user bucket, then batch id: the touched-user
-        # semi join below prunes to the buckets this batch touched (dynamic
-        # partition pruning), so a micro-batch does not rescan the whole history.
-        (batch.withColumn("ubucket", user_bucket(buckets)).withColumn("batch_id", F.lit(batch_id))
+        first = upsert_pull_requests(None, batch.select(*PR_COLS), order=["seq"])
+        first = first.withColumn("ibucket", bucket_of("id", buckets))
+        seen = spark.read.parquet(paths["ids"]).where(F.col("batch_id") != batch_id) \
+            if _exists(spark, paths["ids"]) else None
+        new_ids = first if seen is None else first.join(
+            seen.select("ibucket", "id"), ["ibucket", "id"], "left_anti")
+        new_ids = new_ids.cache()
+        (new_ids.select("ibucket", "id").withColumn("batch_id", F.lit(batch_id))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_id", "ibucket").parquet(paths["ids"]))
+        delta = (new_ids.groupBy("username", "repo_name").agg(F.count("id").alias("n"))
+                        .withColumn("ubucket", bucket_of("username", buckets)))
+        (delta.withColumn("batch_id", F.lit(batch_id))
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("ubucket", "batch_id").parquet(log_path))
-        touched = batch.select("username").distinct().withColumn("ubucket", user_bucket(buckets))
-        log = spark.read.parquet(log_path).join(touched, ["ubucket", "username"], "left_semi")
-        log = log.withColumn("ord", F.struct("batch_id", "seq"))
-        prs = upsert_pull_requests(None, log.select(*PR_COLS[:-1], "ord"), order=["ord"])
-        totals = S.user_scores(S.user_repo_scores(S.user_repo_stats(prs, repos)))
-        # A touched user whose score fell to nothing still gets a row, so it replaces
-        # the older one on read.
+              .partitionBy("batch_id", "ubucket").parquet(paths["pairs"]))
+        new_ids.unpersist()
+        touched = delta.select("ubucket", "username").distinct()
+        pairs = (spark.read.parquet(paths["pairs"]).join(touched, ["ubucket", "username"], "left_semi")
+                      .groupBy("username", "repo_name").agg(F.sum("n").cast("int").alias("user_prs")))
+        r = repos.select(S.full_name().alias("repo_name"), "total_prs", "stars")
+        totals = S.user_scores(S.user_repo_scores(pairs.join(r, "repo_name", "inner")))
         fresh = touched.select("username").join(totals, "username", "left").select(
             "username", F.coalesce("total_score", F.lit(0.0)).alias("total_score"),
             F.coalesce("n_repos", F.lit(0)).alias("n_repos"),
             F.coalesce("contribution_count", F.lit(0)).alias("contribution_count"))
         (fresh.withColumn("batch_id", F.lit(batch_id))
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").parquet(scores_path))
+              .partitionBy("batch_id").parquet(paths["scores"]))
     return run
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def incremental_refresh(spark: SparkSession, landing: str, schema, repos: DataFrame,
                         profiles: DataFrame, files_per_batch: int = 1, buckets: int | None = None) -> DataFrame:
     """Run the file stream to completion (``Trigger.AvailableNow``) and return the
     refreshed leaderboard (latest score row per user, joined to the profile).
-    ``buckets`` (user buckets of the PR log) follows the session's shuffle
-    parallelism unless given."""
+    ``buckets`` (id and user buckets of the state logs) follows the session's
+    shuffle parallelism unless given."""
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    log_path = scratch_path(spark, "pr_log")
-    scores_path = scratch_path(spark, "score_log")
-    ckpt = scratch_path(spark, "refresh_ckpt")
+    paths = {k: scratch_path(spark, f"refresh_{k}") for k in ["ids", "pairs", "scores", "ckpt"]}
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(landing))
-    q = (stream.writeStream.foreachBatch(_refresh_batch(spark, repos, log_path, scores_path, buckets))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q = (stream.writeStream.foreachBatch(_refresh_batch(spark, repos, paths, buckets))
+         .option("checkpointLocation", paths["ckpt"]).trigger(availableNow=True).start())
     q.awaitTermination()
-    scores = spark.read.parquet(scores_path)
+    scores = spark.read.parquet(paths["scores"])
     latest = scores.groupBy("username").agg(F.max_by(
         F.struct("total_score", "n_repos", "contribution_count"), "batch_id").alias("s"))
     current = latest.select("username", "s.*").where(F.col("n_repos") > 0)
