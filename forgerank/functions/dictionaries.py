@@ -131,6 +131,14 @@ PROFILE_URL_PREFIX = "https://github.com/"
 LINK_URL_PREFIX = "https://linkedin.com/in/"
 LINK_PATTERN = r"(?i)(?:linkedin\.com/in/|lnkd\.in/)([a-zA-Z0-9_-]+)"
 GHOST_LOGIN = "ghost"
+
+# Enrichment outcome codes.
+CODE_HTTP_PREFIX = "HTTP_"
+CODE_TIMEOUT = "APIFY_TIMEOUT"
+CODE_INVALID = "INVALID_RESPONSE"
+CODE_TRANSIENT = "TRANSIENT_ERROR"
+CODE_UNKNOWN = "UNKNOWN_ERROR"
+TIMEOUT_MESSAGE = "timed out"
 # ----------------------------------------------------------- END FIXED VALUES
 
 CATEGORY_ORDER_EXACT = list(CATEGORIES_EXACT)

@@ -36,8 +36,8 @@ def classify(df: DataFrame, mode: str = "regional") -> DataFrame:
     msg_t = _vtype(v, "$[0].messages")
     msg_s = F.try_variant_get(v, "$[0].messages", "string")
     msg_a = F.try_variant_get(v, "$[0].messages", "array<string>")
-    timed_out = (F.when(msg_t == "STRING", (msg_s != "") & msg_s.contains("timed out"))
-                  .when(msg_t.startswith("ARRAY"), F.coalesce(F.array_contains(msg_a, "timed out"), F.lit(False)))
+    timed_out = (F.when(msg_t == "STRING", (msg_s != "") & msg_s.contains(D.TIMEOUT_MESSAGE))
+                  .when(msg_t.startswith("ARRAY"), F.coalesce(F.array_contains(msg_a, D.TIMEOUT_MESSAGE), F.lit(False)))
                   .otherwise(F.lit(False)))
     a_data = _vtype(v, "$[0].data.open_to_work") == "BOOLEAN"
     a_flat = _vtype(v, "$[0].open_to_work") == "BOOLEAN"
@@ -69,12 +69,12 @@ def classify(df: DataFrame, mode: str = "regional") -> DataFrame:
         code = F.when(success, F.lit(None).cast("string")).otherwise(F.lit("FAILED"))
     else:
         exc_retry = retryable_error(error, D.RETRYABLE_ERRORS_REGIONAL)
-        code = (F.when(http_fail, F.concat(F.lit("HTTP_"), status.cast("string")))
+        code = (F.when(http_fail, F.concat(F.lit(D.CODE_HTTP_PREFIX), status.cast("string")))
                  .when(raised | bad_json | (nonempty & first_null),
-                       F.when(exc_retry, "TRANSIENT_ERROR").otherwise("UNKNOWN_ERROR"))
-                 .when(nonempty & timed_out, F.lit("APIFY_TIMEOUT"))
+                       F.when(exc_retry, D.CODE_TRANSIENT).otherwise(D.CODE_UNKNOWN))
+                 .when(nonempty & timed_out, F.lit(D.CODE_TIMEOUT))
                  .when(success, F.lit(None).cast("string"))
-                 .otherwise(F.lit("INVALID_RESPONSE")))
+                 .otherwise(F.lit(D.CODE_INVALID)))
         retry = (F.when(http_fail, retryable_status(status))
                   .when(raised | bad_json | (nonempty & first_null), exc_retry)
                   .when(nonempty & timed_out, F.lit(True))
@@ -115,7 +115,7 @@ def apply_outcomes(board: DataFrame, outcomes: DataFrame, as_of: Column) -> Data
         "otw_scraped_at": as_of,
         "otw_permanent_failure": F.coalesce(F.col("__p"), F.lit(False)),
         "otw_error_code": F.when(F.col("__s"), F.lit(None).cast("string"))
-                           .otherwise(F.coalesce(F.col("__e"), F.lit("UNKNOWN_ERROR"))),
+                           .otherwise(F.coalesce(F.col("__e"), F.lit(D.CODE_UNKNOWN))),
     }
     cols = [F.when(touched, upd[c]).otherwise(F.col(c)).alias(c) if c in upd else F.col(c)
             for c in board.columns]

@@ -108,15 +108,15 @@ def classify_ctes(mode: str = "regional") -> dict:
 
     ctes = {
         "c0": "SELECT *, CASE WHEN json_valid(body) THEN body END AS j FROM a_attempts",
-        "c1": """SELECT *,
+        "c1": f"""SELECT *,
   coalesce(status IS NOT NULL AND NOT (status BETWEEN 200 AND 299), FALSE) AS http_fail,
   status IS NULL AS raised,
   (j IS NULL OR json_type(j) = 'NULL') AS bad_json,
   coalesce(json_type(j) = 'ARRAY' AND json_array_length(j) > 0, FALSE) AS nonempty,
   coalesce(json_type(j, '$[0]') = 'NULL', FALSE) AS first_null,
   coalesce(CASE json_type(j, '$[0].messages')
-    WHEN 'VARCHAR' THEN json_extract_string(j, '$[0].messages') <> '' AND contains(json_extract_string(j, '$[0].messages'), 'timed out')
-    WHEN 'ARRAY' THEN list_contains(json_extract_string(j, '$[0].messages[*]'), 'timed out') ELSE FALSE END, FALSE) AS timed_out,
+    WHEN 'VARCHAR' THEN json_extract_string(j, '$[0].messages') <> '' AND contains(json_extract_string(j, '$[0].messages'), '{D.TIMEOUT_MESSAGE}')
+    WHEN 'ARRAY' THEN list_contains(json_extract_string(j, '$[0].messages[*]'), '{D.TIMEOUT_MESSAGE}') ELSE FALSE END, FALSE) AS timed_out,
   coalesce(json_type(j, '$[0].data.open_to_work') = 'BOOLEAN', FALSE) AS a_data,
   coalesce(json_type(j, '$[0].open_to_work') = 'BOOLEAN', FALSE) AS a_flat,
   coalesce(json_type(j) <> 'ARRAY' AND json_type(j, '$.data.open_to_work') = 'BOOLEAN', FALSE) AS o_data
@@ -133,10 +133,10 @@ FROM c0""",
   CASE WHEN http_fail THEN status >= 500 OR status = 429
        WHEN raised OR bad_json OR (nonempty AND first_null) THEN {exc}
        WHEN nonempty AND timed_out THEN TRUE ELSE FALSE END AS retryable,
-  CASE WHEN http_fail THEN 'HTTP_' || CAST(status AS VARCHAR)
-       WHEN raised OR bad_json OR (nonempty AND first_null) THEN CASE WHEN {exc} THEN 'TRANSIENT_ERROR' ELSE 'UNKNOWN_ERROR' END
-       WHEN nonempty AND timed_out THEN 'APIFY_TIMEOUT'
-       WHEN open_to_work IS NOT NULL THEN NULL ELSE 'INVALID_RESPONSE' END AS error_code
+  CASE WHEN http_fail THEN '{D.CODE_HTTP_PREFIX}' || CAST(status AS VARCHAR)
+       WHEN raised OR bad_json OR (nonempty AND first_null) THEN CASE WHEN {exc} THEN '{D.CODE_TRANSIENT}' ELSE '{D.CODE_UNKNOWN}' END
+       WHEN nonempty AND timed_out THEN '{D.CODE_TIMEOUT}'
+       WHEN open_to_work IS NOT NULL THEN NULL ELSE '{D.CODE_INVALID}' END AS error_code
 FROM c2"""
     else:
         err = """CASE WHEN http_fail THEN 'HTTP ' || CAST(status AS VARCHAR) || ': ' || coalesce(body, '')
@@ -196,13 +196,19 @@ def q_outcome_summary(spark, sf_dir):
     return O.outcome_summary(outcomes(Tables(spark, sf_dir)))
 
 
+@register("outcome_summary_global", with_ctes(SUMMARY_SQL, "a_attempts", extra=classify_ctes("global")))
+def q_outcome_summary_global(spark, sf_dir):
+    """A16, short form of the global round (failure kinds from the global rule)."""
+    return O.outcome_summary(outcomes(Tables(spark, sf_dir), "global"))
+
+
 # K11 --------------------------------------------------------------------------------
 STATE_OUT = ["username", "is_open_to_work", "otw_scraped_at", "otw_permanent_failure", "otw_error_code"]
 K11_SELECT = f"""SELECT f.username,
   CASE WHEN coalesce(r.success OR r.permanent, FALSE) THEN CASE WHEN r.success THEN r.open_to_work END ELSE f.is_open_to_work END AS is_open_to_work,
   CASE WHEN coalesce(r.success OR r.permanent, FALSE) THEN {AS_OF_SQL} ELSE f.otw_scraped_at END AS otw_scraped_at,
   CASE WHEN coalesce(r.success OR r.permanent, FALSE) THEN coalesce(r.permanent, FALSE) ELSE f.otw_permanent_failure END AS otw_permanent_failure,
-  CASE WHEN coalesce(r.success OR r.permanent, FALSE) THEN CASE WHEN r.success THEN NULL ELSE coalesce(r.error_code, 'UNKNOWN_ERROR') END
+  CASE WHEN coalesce(r.success OR r.permanent, FALSE) THEN CASE WHEN r.success THEN NULL ELSE coalesce(r.error_code, '{D.CODE_UNKNOWN}') END
        ELSE f.otw_error_code END AS otw_error_code
 FROM {{src}} f LEFT JOIN res r ON f.username = r.username"""
 K12_SELECT = f"""SELECT f.username,
