@@ -147,8 +147,9 @@ def user_repo_candidates(users: DataFrame, repos: DataFrame, prs: DataFrame,
                      "topics", "total_prs", "is_fork", "pushed_at")
     owned = (r.join(users.select(F.col("username").alias("owner_login")), "owner_login", "inner")
               .withColumn("username", F.col("owner_login")).withColumn("relation", F.lit(0)))
+    from .skew import hot_key_join
     contrib_keys = prs.select("username", F.col("repo_name").alias("full_name")).distinct()
-    contributed = (contrib_keys.join(r, "full_name", "inner")
+    contributed = (hot_key_join(contrib_keys, r, "full_name", ["username"])
                    .join(users.select("username"), "username", "left_semi")
                    .withColumn("relation", F.lit(1)))
     cols = ["username", "relation", *REPO_FIELDS]
@@ -174,9 +175,11 @@ def repo_user_pr_counts(user_repos: DataFrame, prs: DataFrame,
     qualifying = (user_repos.where(F.col("stars") >= min_stars)
                   .withColumn("qpos", F.row_number().over(w)).where(F.col("qpos") <= cap)
                   .select("username", "full_name"))
-    counts = (prs.select("username", F.col("repo_name").alias("full_name"))
-                 .join(qualifying, ["username", "full_name"], "inner")
-                 .groupBy("username", "full_name").agg(F.count(F.lit(1)).cast("int").alias("user_prs")))
+    # Count first (partial aggregation), then join: (user, repo) is unique in
+    # ``qualifying``, so the result equals counting after the join.
+    counts = (prs.groupBy("username", F.col("repo_name").alias("full_name"))
+                 .agg(F.count(F.lit(1)).cast("int").alias("user_prs"))
+                 .join(qualifying, ["username", "full_name"], "inner"))
     return (user_repos.join(counts, ["username", "full_name"], "left")
                       .withColumn("user_prs", F.coalesce("user_prs", F.lit(0))))
 

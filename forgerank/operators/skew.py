@@ -1,0 +1,35 @@
+"""Joins that stay balanced when one key holds a large share of the rows.
+
+``hot_key_join`` splits only the heavy keys: a grouped count (partial
+aggregation) finds the keys above ``threshold`` rows; there can be at most
+``rows / threshold`` of them, so that set is broadcast with a proven size bound.
+Rows of the big side with a hot key get a deterministic salt (a hash of other
+columns, so a retried task salts the same way); the small side's rows for hot
+keys are replicated once per salt. Cold keys join unchanged (salt 0). Every
+big-side row still meets exactly one copy of its small-side row, so the result
+is the plain equi join.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SALT = "__salt"
+
+
+def hot_keys(big: DataFrame, key: str, threshold: int) -> DataFrame:
+    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.where(F.col("__n") > threshold).select(key, F.lit(True).alias("__hot"))
+
+
+def hot_key_join(big: DataFrame, small: DataFrame, key: str, salt_by: list[str],
+                 threshold: int = 1_000_000, salts: int = 64, how: str = "inner") -> DataFrame:
+    hot = F.broadcast(hot_keys(big, key, threshold))
+    b = big.join(hot, key, "left")
+    b = b.withColumn(SALT, F.when(F.col("__hot"), F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
+                     .otherwise(F.lit(0)).cast("int")).drop("__hot")
+    s = small.join(hot, key, "left")
+    s = s.withColumn(SALT, F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                     .otherwise(F.array(F.lit(0))))).drop("__hot")
+    return b.join(s, [key, SALT], how).drop(SALT)

@@ -310,3 +310,25 @@ def test_incremental_batch_replay_is_idempotent(spark):
     s = spark.read.parquet(paths["scores"])
     latest = s.groupBy("username").agg(F.max_by("total_score", "batch_id").alias("t")).collect()[0]["t"]
     assert abs(latest - (10 * 2 / 4 + 100 * 1 / 1)) < 1e-9
+
+
+def test_hot_key_join_equals_plain_join(spark):
+    from forgerank.operators.skew import hot_key_join
+    big = spark.createDataFrame([(f"u{i}", "hot" if i % 3 else f"k{i}", i) for i in range(300)],
+                                "username string, repo_name string, v int")
+    small = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3), ("none", 4)], "repo_name string, w int")
+    salted = hot_key_join(big, small, "repo_name", ["username"], threshold=10, salts=8)
+    plain = big.join(small, "repo_name", "inner")
+    cols = ["username", "repo_name", "v", "w"]
+    assert sorted(map(tuple, salted.select(*cols).collect())) == sorted(map(tuple, plain.select(*cols).collect()))
+    assert salted.count() == 200 + 2
+
+
+def test_user_repo_stats_with_every_repo_hot(spark):
+    from forgerank.plans.registry import Tables
+    from conftest import SMALL
+    t = Tables(spark, SMALL)
+    cols = ["username", "repo_name", "user_prs", "total_prs", "stars"]
+    hot = S.user_repo_stats(t.prs, t.repos, hot_threshold=0).select(*cols).collect()
+    cold = S.user_repo_stats(t.prs, t.repos).select(*cols).collect()
+    assert sorted(map(tuple, hot)) == sorted(map(tuple, cold))
