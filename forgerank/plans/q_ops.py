@@ -47,6 +47,9 @@ DISC = {
 
 
 def locations(spark, sf_dir):
+    """The discovery argument string (comma-separated locations) built from the
+    region names: region is a fixed 5-row dimension, so the one-row aggregate is
+    bounded; X4 then splits it back into locations."""
     arg = read_table(spark, sf_dir, "region").agg(
         F.concat(F.lit(" "), F.concat_ws(" , ,", F.collect_list("r_name")), F.lit(" ,")).alias("arg"))
     return DI.locations_from_argument(arg)
