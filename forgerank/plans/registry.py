@@ -58,17 +58,18 @@ def stored_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     return path
 
 
-_FRAMES: dict[tuple[int, str], DataFrame] = {}
+_FRAMES: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The stored table as a DataFrame; the scan (file listing, footer schema) is
-    planned once per session and reused by every query."""
+    planned once per session and reused by every query of that session."""
     path = stored_path(spark, sf_dir, name)
-    key = (id(spark), path)
-    if key not in _FRAMES:
-        _FRAMES[key] = spark.read.parquet(path)
-    return _FRAMES[key]
+    hit = _FRAMES.get(path)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _FRAMES[path] = hit
+    return hit[1]
 
 
 def materialize(spark: SparkSession, sf_dir: str) -> None:

@@ -94,8 +94,8 @@ def incremental_refresh(spark: SparkSession, landing: str, schema, repos: DataFr
     """Run the file stream to completion (``Trigger.AvailableNow``) and return the
     refreshed leaderboard (latest score row per user, joined to the profile).
     ``buckets`` (id and user buckets of the state logs) follows the session's
-    shuffle parallelism unless given."""
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shuffle parallelism, at most 64, unless given."""
+    buckets = buckets or min(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     paths = {k: scratch_path(spark, f"refresh_{k}") for k in ["ids", "pairs", "scores", "ckpt"]}
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(landing))
