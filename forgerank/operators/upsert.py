@@ -12,8 +12,6 @@ the rows is combined map-side before the shuffle.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -202,5 +200,3 @@ def as_timestamp(text: Column) -> Column:
     """ISO text -> timestamp; empty or missing -> null."""
     return F.try_to_timestamp(F.nullif(text, F.lit("")))
 
-
-NOW = dt.datetime

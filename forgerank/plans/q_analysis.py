@@ -9,6 +9,7 @@ from ..functions import dictionaries as D
 from ..operators import analysis as AN
 from ..operators import scoring as S
 from .adapter_sql import with_ctes
+from .q_scoring import level_sql
 from .registry import Tables, register, rounded
 
 E = "CAST([] AS VARCHAR[])"
@@ -264,11 +265,6 @@ def model_a_ctes() -> dict:
     }
 
 
-def level_sql(x: str) -> str:
-    parts = " ".join(f"WHEN {x} < {b} THEN '{label}'" for b, label in D.LEVELS)
-    return f"CASE {parts} ELSE '{D.TOP_LEVEL}' END"
-
-
 MA_SCORES = ["total_score"] + [f"{c.lower()}_score" for c in D.CATEGORIES_EXACT]
 
 

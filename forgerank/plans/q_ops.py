@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries as D
@@ -305,11 +304,7 @@ def q_scan_tables(spark, sf_dir):
     outside the schema are pruned at the scan)."""
     from ..sources.schemas import SCHEMAS
     from .registry import stored_path
-    return read_path_with_schema(spark, stored_path(spark, sf_dir, "users"), SCHEMAS["github_users"])
-
-
-def read_path_with_schema(spark, path, schema):
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(SCHEMAS["github_users"]).parquet(stored_path(spark, sf_dir, "users"))
 
 
 # ------------------------------------------------------------------ freshness / cache

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries as D
-from ..functions.columns import experience_level, round4
-from ..operators import analysis as AN
+from ..functions.columns import experience_level
 from ..operators import scoring as S
 from .adapter_sql import with_ctes
 from .registry import Tables, register, rounded
