@@ -332,3 +332,15 @@ def test_user_repo_stats_with_every_repo_hot(spark):
     hot = S.user_repo_stats(t.prs, t.repos, hot_threshold=0).select(*cols).collect()
     cold = S.user_repo_stats(t.prs, t.repos).select(*cols).collect()
     assert sorted(map(tuple, hot)) == sorted(map(tuple, cold))
+
+
+def test_request_dedupe_within_ttl(spark):
+    from forgerank.session import scratch_path
+    from forgerank.streaming.incremental import dedupe_requests, land_in_files
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("member:a", t0), ("member:b", t0 + dt.timedelta(hours=1)),
+            ("member:a", t0 + dt.timedelta(days=2)), ("member:b", t0 + dt.timedelta(days=3))]
+    df = spark.createDataFrame(rows, "cache_key string, requested_at timestamp")
+    landing = land_in_files(df, scratch_path(spark, "t_requests"), 2)
+    served = dedupe_requests(spark, landing, spark.read.parquet(landing).schema, ttl_days=30)
+    assert sorted(r[0] for r in served.select("cache_key").collect()) == ["member:a", "member:b"]
