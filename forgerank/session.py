@@ -19,6 +19,24 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executor_cores: int = 4, executors: int = 1000) -> dict:
+    """Settings for a large cluster, sized from the bytes read: about 256 MB per
+    scan split and per shuffle partition (before AQE coalescing), never fewer
+    partitions than task slots, skew splitting for partitions 5x the median."""
+    mb = 1024 * 1024
+    slots = executor_cores * executors
+    partitions = max(slots, int(input_bytes // (256 * mb)) + 1)
+    return {
+        **SCALE_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * mb),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mb),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * mb),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "forgerank", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app_name)
