@@ -14,6 +14,7 @@ serves an identical request key once within the TTL.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,8 +55,9 @@ def _refresh_batch(spark: SparkSession, repos: DataFrame, paths: dict, buckets:
     def run(batch: DataFrame, batch_id: int):
         first = upsert_pull_requests(None, batch.select(*PR_COLS), order=["seq"])
         first = first.withColumn("ibucket", bucket_of("id", buckets))
-        seen = spark.read.parquet(paths["ids"]).where(F.col("batch_id") != batch_id) \
-            if _exists(spark, paths["ids"]) else None
+        seen = _read_state(spark, paths["ids"], ID_LOG_SCHEMA)
+        if seen is not None:
+            seen = seen.where(F.col("batch_id") != batch_id)
         new_ids = first if seen is None else first.join(
             seen.select("ibucket", "id"), ["ibucket", "id"], "left_anti")
         new_ids = new_ids.cache()
@@ -83,10 +85,15 @@ def _refresh_batch(spark: SparkSession, repos: DataFrame, paths: dict, buckets:
     return run
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+ID_LOG_SCHEMA = "ibucket int, id string, batch_id long"
+
+
+def _read_state(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The state table, or None before the first batch wrote it."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return None
 
 
 def incremental_refresh(spark: SparkSession, landing: str, schema, repos: DataFrame,
