@@ -132,7 +132,7 @@ def q_top_repos(spark, sf_dir):
         "score", stage4_repo_score("stars", "prs"))
     w = W.partitionBy("owner_login").orderBy(F.desc("score"), F.asc("repo_name"))
     top = r.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= 5)
-    return rounded(top.select("owner_login", "repo_name", "score", "pos"), "score")
+    return rounded(top.select("owner_login", "repo_name", "score", F.col("pos").cast("long").alias("pos")), "score")
 
 
 @register("distinct_users", with_ctes("SELECT DISTINCT username FROM a_users", "a_users"))
@@ -176,14 +176,15 @@ def _ur(t: Tables):
 def q_top_repos_by_stars(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return AN.user_repo_candidates(t.users, t.repos, t.prs).select(
-        "username", "relation", "pos", "full_name", "stars")
+        "username", "relation", F.col("pos").cast("long").alias("pos"), "full_name", "stars")
 
 
 @register("user_repos_union", q4("SELECT username, full_name, relation, pos, position FROM uni"))
 def q_user_repos_union(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return AN.user_repos_union(AN.user_repo_candidates(t.users, t.repos, t.prs)).select(
-        "username", "full_name", "relation", "pos", "position")
+        "username", "full_name", "relation", F.col("pos").cast("long").alias("pos"),
+        F.col("position").cast("long").alias("position"))
 
 
 @register("repo_user_pr_counts", q4("SELECT username, full_name, user_prs FROM ur"))

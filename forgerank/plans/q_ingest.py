@@ -72,7 +72,7 @@ def q_parse_repos(spark, sf_dir):
     t = Tables(spark, sf_dir)
     cand = AN.user_repo_candidates(t.users, t.repos, t.prs)
     r = I.parse_repos(I.repo_payloads(cand))
-    return r.select("username", "payload_index", "full_name", "stars", "primary_language", "total_prs",
+    return r.select("username", F.col("payload_index").cast("long").alias("payload_index"), "full_name", "stars", "primary_language", "total_prs",
                     (F.concat("owner_login", F.lit("/"), "name") == F.col("full_name")).alias("ok"),
                     F.array_join("topics", ",").alias("topics"), F.array_join("languages", ",").alias("languages"))
 
@@ -112,5 +112,6 @@ def q_parse_search_page(spark, sf_dir):
     """User-search pages (100 logins each) back to logins."""
     t = Tables(spark, sf_dir)
     landed = I.search_page_payloads(discovered(t))
-    return I.parse_search_page(landed).select("location", "slice", "page", F.col("i").cast("long").alias("i"),
+    return I.parse_search_page(landed).select("location", "slice", F.col("page").cast("long").alias("page"),
+                                              F.col("i").cast("long").alias("i"),
                                               "username")

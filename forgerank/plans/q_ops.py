@@ -67,7 +67,8 @@ def q_split_locations(spark, sf_dir):
 SELECT location, slice, slice_no, username, followers, hit, page FROM disc""", "a_users", extra=DISC))
 def q_discover_slices(spark, sf_dir):
     return discovered(Tables(spark, sf_dir)).select(
-        "location", "slice", "slice_no", "username", "followers", "hit", "page")
+        "location", "slice", "slice_no", "username", "followers",
+        F.col("hit").cast("long").alias("hit"), F.col("page").cast("long").alias("page"))
 
 
 @register("discover_todo", with_ctes("""
@@ -340,7 +341,8 @@ def newest_prs(t: Tables):
 @register("newest_prs_per_repo", with_ctes("SELECT repo_name, id, username, created_at, nth FROM newest",
                                              "a_raw_prs", extra=NEWEST))
 def q_newest_prs_per_repo(spark, sf_dir):
-    return newest_prs(Tables(spark, sf_dir)).select("repo_name", "id", "username", "created_at", "nth")
+    return newest_prs(Tables(spark, sf_dir)).select("repo_name", "id", "username", "created_at",
+                                                    F.col("nth").cast("long").alias("nth"))
 
 
 @register("user_prs_in_repo", with_ctes("""

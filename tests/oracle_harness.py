@@ -42,6 +42,10 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
 def rows_of(names, rows):
     order = sorted(range(len(names)), key=lambda i: names[i])
     return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
@@ -55,9 +59,16 @@ def compare(spark, fn, sql: str | None, sf_dir: str, con=None) -> dict:
     if sql is None:
         return out
     con = con or duck(sf_dir)
-    res = con.execute(sql)
-    d_names = [d[0] for d in res.description]
-    d_rows = res.fetchall()
+    rel = con.sql(sql)
+    d_names = list(rel.columns)
+    d_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    d_rows = rel.fetchall()
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    out["types_match"] = all(s_types.get(n) == d_types.get(n) for n in d_names)
+    if not out["types_match"]:
+        out["type_diff"] = [(n, s_types.get(n), d_types.get(n)) for n in d_names
+                            if s_types.get(n) != d_types.get(n)]
     out["oracle_rows"] = len(d_rows)
     out["names_match"] = sorted(s_names) == sorted(d_names)
     a, b = rows_of(s_names, s_rows), rows_of(d_names, d_rows)

@@ -23,6 +23,7 @@ def test_query_matches_oracle(spark, con, key):
         assert r["names_match"], r
         assert r["spark_rows"] == r["oracle_rows"], r
         assert r["values_match"], r
+        assert r["types_match"], r
     else:
         assert r["spark_rows"] > 0
 
