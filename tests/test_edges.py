@@ -344,3 +344,30 @@ def test_request_dedupe_within_ttl(spark):
     landing = land_in_files(df, scratch_path(spark, "t_requests"), 2)
     served = dedupe_requests(spark, landing, spark.read.parquet(landing).schema, ttl_days=30)
     assert sorted(r[0] for r in served.select("cache_key").collect()) == ["member:a", "member:b"]
+
+
+def test_pr_with_missing_repo_is_dropped(spark):
+    prs = spark.createDataFrame([("1", "u", "o/a"), ("2", "u", "o/gone")], "id string, username string, repo_name string")
+    repos = spark.createDataFrame([("a", "o", 10, 20)], "repo_name string, owner_login string, total_prs int, stars int")
+    got = rows(S.user_repo_stats(prs, repos), "username", "repo_name", "user_prs")
+    assert got == [("u", "o/a", 1)]
+
+
+def test_top_n_ties_break_on_name(spark):
+    repos = spark.createDataFrame([(f"r{i:02d}", "own", 5, None, None) for i in range(11)],
+                                  "repo_name string, owner_login string, stars int, primary_language string, topics array<string>")
+    prs = spark.createDataFrame([], "id string, username string, repo_name string")
+    users = spark.createDataFrame([("own",)], "username string")
+    top = AN.analyze_users(repos, prs, users).collect()[0]["top_repos"]
+    assert top == "r00,r01,r02,r03,r04"
+
+
+def test_skill_frequency_ties_and_case(spark):
+    data = [("u", "o/r1", "Go", ["API", "zeta"], 1), ("u", "o/r2", "go", ["api"], 2),
+            ("u", "o/r3", None, ["beta", "alpha"], 1), ("u", "o/r4", None, ["gamma"], 0)]
+    df = spark.createDataFrame(data, "username string, full_name string, primary_language string, "
+                                     "topics array<string>, user_prs int").withColumn(
+        "languages", F.array().cast("array<string>"))
+    skills = S.top_skills_by_frequency(df).collect()[0]["skills"].split(",")
+    # api and go in two repos each; the rest once, alphabetical; gamma's repo has no PRs
+    assert skills == ["api", "go", "alpha", "beta", "zeta"]
