@@ -137,9 +137,16 @@ def top_repos_by_stars(rows: DataFrame, cap: int) -> DataFrame:
     return rows.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= cap)
 
 
+def pr_pair_counts(prs: DataFrame) -> DataFrame:
+    """Merged PRs per (user, ``owner/name``): one partial aggregation over the PR table."""
+    return prs.groupBy("username", F.col("repo_name").alias("full_name")).agg(
+        F.count(F.lit(1)).cast("int").alias("user_prs"))
+
+
 def user_repo_candidates(users: DataFrame, repos: DataFrame, prs: DataFrame,
                          owned_cap: int = D.OWNED_REPOS_CAP,
-                         contributed_cap: int = D.CONTRIBUTED_REPOS_CAP) -> DataFrame:
+                         contributed_cap: int = D.CONTRIBUTED_REPOS_CAP,
+                         pairs: DataFrame | None = None) -> DataFrame:
     """The two repository lists of each user's payload: owned (relation 0) and
     contributed to (relation 1), each the top 50 by stars."""
     r = repos.select(F.col("owner_login"), F.col("repo_name").alias("name"),
@@ -148,7 +155,7 @@ def user_repo_candidates(users: DataFrame, repos: DataFrame, prs: DataFrame,
     owned = (r.join(users.select(F.col("username").alias("owner_login")), "owner_login", "inner")
               .withColumn("username", F.col("owner_login")).withColumn("relation", F.lit(0)))
     from .skew import hot_key_join
-    contrib_keys = prs.select("username", F.col("repo_name").alias("full_name")).distinct()
+    contrib_keys = (pairs if pairs is not None else pr_pair_counts(prs)).select("username", "full_name")
     contributed = (hot_key_join(contrib_keys, r, "full_name", ["username"])
                    .join(users.select("username"), "username", "left_semi")
                    .withColumn("relation", F.lit(1)))
@@ -168,7 +175,8 @@ def user_repos_union(candidates: DataFrame) -> DataFrame:
 
 # J4 + F1 + T5 ---------------------------------------------------------------------
 def repo_user_pr_counts(user_repos: DataFrame, prs: DataFrame,
-                        min_stars: int = D.MIN_STARS, cap: int = D.QUALIFYING_REPOS_CAP) -> DataFrame:
+                        min_stars: int = D.MIN_STARS, cap: int = D.QUALIFYING_REPOS_CAP,
+                        pairs: DataFrame | None = None) -> DataFrame:
     """The user's merged PRs searched in the first 50 qualifying (>= 10 stars) repos,
     counted per repo and left-joined back to all repos (0 when absent)."""
     w = W.partitionBy("username").orderBy("position")
@@ -177,9 +185,8 @@ def repo_user_pr_counts(user_repos: DataFrame, prs: DataFrame,
                   .select("username", "full_name"))
     # Count first (partial aggregation), then join: (user, repo) is unique in
     # ``qualifying``, so the result equals counting after the join.
-    counts = (prs.groupBy("username", F.col("repo_name").alias("full_name"))
-                 .agg(F.count(F.lit(1)).cast("int").alias("user_prs"))
-                 .join(qualifying, ["username", "full_name"], "inner"))
+    counts = ((pairs if pairs is not None else pr_pair_counts(prs))
+              .join(qualifying, ["username", "full_name"], "inner"))
     return (user_repos.join(counts, ["username", "full_name"], "left")
                       .withColumn("user_prs", F.coalesce("user_prs", F.lit(0))))
 
@@ -226,8 +233,11 @@ def model_a_inputs(users: DataFrame, repos: DataFrame, prs: DataFrame) -> DataFr
     repo lists feed both the qualifying-repo search and the final join, so they are
     written once and scanned twice."""
     from ..session import shared
-    union = shared(user_repos_union(user_repo_candidates(users, repos, prs)), "repo_lists")
-    return repo_user_pr_counts(union, prs)
+    # The PR table is aggregated to (user, repo) once; the contributed-repo lists
+    # and the searched-PR counts both read the written pair counts.
+    pairs = shared(pr_pair_counts(prs), "pr_pairs")
+    union = shared(user_repos_union(user_repo_candidates(users, repos, prs, pairs=pairs)), "repo_lists")
+    return repo_user_pr_counts(union, prs, pairs=pairs)
 
 
 # K8 + X16 ---------------------------------------------------------------------------
