@@ -1,7 +1,7 @@
 """Driver tables -> domain tables (users, repos, pull requests, attempts).
 
 The mapping is fixed so that it can be repeated word for word in DuckDB
-(``forgerank.plans.oracle``). Every table is derived by Spark from the driver
+(``forgerank.plans.adapter_sql``). Every table is derived by Spark from the driver
 parquet files, so the work grows with them.
 """
 
