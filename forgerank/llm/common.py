@@ -11,7 +11,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15)
@@ -131,3 +132,33 @@ def row_slices(batch: pa.RecordBatch, max_bytes: int, col: str = "text") -> Iter
         end = min(max(end, start + 1), batch.num_rows)
         yield batch.slice(start, end - start)
         start = end
+
+
+FILTER_BITS = 24
+
+
+def _bit(col: str) -> Column:
+    return F.xxhash64(col).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).cast("int")
+
+
+def id_filter(ids: DataFrame, col: str):
+    """Broadcast bits of the ids' hashes: 2**FILTER_BITS of them whatever the number of ids,
+    so that a full filter costs movement of rows, never rows."""
+    got = ids.select(_bit(col).alias("p")).distinct().toArrow().column("p").to_numpy()
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    bits[got] = True
+    return ids.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+
+def filtered(df: DataFrame, bits, col: str, inside: bool) -> DataFrame:
+    """The rows whose id passes the filter (or does not), without a shuffle. Rows that pass
+    hold all rows with one of the ids, and few others while the filter is not full."""
+    place, names = free_name(df, "bit"), df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(bits.value).view(bool)
+        for batch in batches:
+            passes = known[batch.column(place).to_numpy(zero_copy_only=False)]
+            yield batch.filter(pa.array(passes if inside else ~passes)).select(names)
+
+    return df.withColumn(place, _bit(col)).mapInArrow(run, df.schema)

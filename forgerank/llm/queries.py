@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import op1_bpe, op4_decontaminate, op5_ngram_join, op7_secrets, op9_quality, op10_classifier
+from . import op1_bpe, op4_decontaminate, op5_ngram_join, op7_secrets, op8_suffix_dedup, op9_quality, op10_classifier
 
-MODULES = [op1_bpe, op4_decontaminate, op5_ngram_join, op7_secrets, op9_quality, op10_classifier]
+MODULES = [op1_bpe, op4_decontaminate, op5_ngram_join, op7_secrets, op8_suffix_dedup, op9_quality, op10_classifier]
 
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}
