@@ -37,7 +37,7 @@ FACTORS = 8
 SAMPLE = 6000
 EPOCHS = 12
 THRESHOLD = 0.7
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 STATS = ["log_words", "word_length", "upper", "digits", "symbols", "punctuation", "not_ascii", "lines",
          "distinct_words", "top_word", "same_as_last", "distinct_pairs", "capitals", "log_chars"]

@@ -26,7 +26,6 @@ from .common import table
 # FIXED VALUES: known licence sentences, normalised. The identifiers are two letters.
 SENTENCES = {
     "licensed under the apache license version 2 0": "aa",
-    "licensed under the apache license version 2 0 the license": "ab",
     "you may not use this file except in compliance with the license": "ac",
     "you may obtain a copy of the license at": "ad",
     "http www apache org licenses license 2 0": "ae",
@@ -65,7 +64,7 @@ SENTENCES = {
 }
 # FIXED VALUES: the rules in the order in which they are tried.
 RULES = [
-    (["ab", "ac", "ad", "ae"], "Apache-2.0"), (["ab", "ac"], "Apache-2.0"), (["ab"], "Apache-2.0"),
+    (["aa", "ac", "ad", "ae"], "Apache-2.0"), (["aa", "ac"], "Apache-2.0"),
     (["aa"], "Apache-2.0"), (["as"], "Apache-2.0"),
     (["gb", "gc", "gd", "gf"], "GPL-3.0-or-later"), (["gc", "gd"], "GPL-3.0-or-later"),
     (["gb", "gc", "ge", "gf"], "GPL-2.0-or-later"), (["gc", "ge"], "GPL-2.0-or-later"),
