@@ -10,16 +10,6 @@ from pyspark.sql import functions as F
 from . import dictionaries as D
 
 
-def nz(c: Column | str, default) -> Column:
-    """``??``: replace null only."""
-    return F.coalesce(_c(c), F.lit(default))
-
-
-def falsy_default(c: Column | str, default) -> Column:
-    """``||``: replace null and the empty string."""
-    return F.coalesce(F.nullif(_c(c), F.lit("")), F.lit(default))
-
-
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -133,9 +123,3 @@ def in_region(location: Column | str, patterns=D.BAY_AREA_PATTERNS) -> Column:
     loc = _c(location)
     alternation = "|".join(_regex_literal(p) for p in patterns)
     return loc.isNotNull() & F.lower(loc).rlike(alternation)
-
-
-def array_text(arr: Column | str, sort: bool = False) -> Column:
-    """Arrays are compared as comma-joined text."""
-    a = _c(arr)
-    return F.array_join(F.array_sort(a) if sort else a, ",")

@@ -140,6 +140,3 @@ CODE_TRANSIENT = "TRANSIENT_ERROR"
 CODE_UNKNOWN = "UNKNOWN_ERROR"
 TIMEOUT_MESSAGE = "timed out"
 # ----------------------------------------------------------- END FIXED VALUES
-
-CATEGORY_ORDER_EXACT = list(CATEGORIES_EXACT)
-CATEGORY_ORDER_SUBSTRING = list(CATEGORIES_SUBSTRING)

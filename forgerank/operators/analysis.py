@@ -154,9 +154,8 @@ def user_repo_candidates(users: DataFrame, repos: DataFrame, prs: DataFrame,
                      "topics", "total_prs", "is_fork", "pushed_at")
     owned = (r.join(users.select(F.col("username").alias("owner_login")), "owner_login", "inner")
               .withColumn("username", F.col("owner_login")).withColumn("relation", F.lit(0)))
-    from .skew import hot_key_join
     contrib_keys = (pairs if pairs is not None else pr_pair_counts(prs)).select("username", "full_name")
-    contributed = (hot_key_join(contrib_keys, r, "full_name", ["username"])
+    contributed = (contrib_keys.join(r, "full_name")
                    .join(users.select("username"), "username", "left_semi")
                    .withColumn("relation", F.lit(1)))
     cols = ["username", "relation", *REPO_FIELDS]
@@ -170,7 +169,7 @@ def user_repos_union(candidates: DataFrame) -> DataFrame:
     (``position`` = payload order)."""
     w = W.partitionBy("username", "full_name").orderBy("relation", "pos")
     first = (candidates.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r"))
-    return first.withColumn("position", F.col("relation") * 1000000 + F.col("pos"))
+    return first.withColumn("position", F.struct("relation", "pos"))
 
 
 # J4 + F1 + T5 ---------------------------------------------------------------------
@@ -216,7 +215,7 @@ def user_analysis(users: DataFrame, repos: DataFrame, prs: DataFrame) -> DataFra
                                      F.sum("user_prs").cast("long").alias("contribution_count"))
     langs = language_histogram(ur.select("username", "primary_language"))
     skills = unique_skills(ur)
-    prof = users.select("username", extract_link(None, F.col("bio"), F.col("blog")).alias("linkedin"))
+    prof = users.select("username", extract_link(F.col("social_accounts"), F.col("bio"), F.col("blog")).alias("linkedin"))
     out = (prof.join(per, "username", "left").join(langs, "username", "left")
                .join(skills, "username", "left"))
     return out.select(

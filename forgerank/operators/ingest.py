@@ -71,8 +71,10 @@ def iso(c: Column) -> Column:
 
 
 def from_iso(c: Column) -> Column:
-    """ISO text -> timestamp; empty or missing -> null."""
-    return F.to_timestamp_ntz(F.nullif(c, F.lit("")), F.lit(ISO))
+    """ISO text (fractions and offsets allowed) -> UTC timestamp; empty, missing or
+    no time at all -> null."""
+    moment = F.try_to_timestamp(F.nullif(c, F.lit("")))
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment.cast("timestamp_ntz"))
 
 
 def arr0():
@@ -148,7 +150,8 @@ def parse_repos(landed: DataFrame) -> DataFrame:
     both = F.concat(F.coalesce(F.col("p.user.repositories.nodes"), F.array().cast(T.ArrayType(REPO))),
                     F.coalesce(F.col("p.user.repositoriesContributedTo.nodes"), F.array().cast(T.ArrayType(REPO))))
     rows = p.select("username", F.posexplode(both).alias("payload_index", "r"))
-    rows = rows.where(F.col("r.owner.login").isNotNull() & F.col("r.name").isNotNull())
+    blank = F.lit("")  # an empty login or name is missing, as a null one is
+    rows = rows.where(F.nullif(F.col("r.owner.login"), blank).isNotNull() & F.nullif(F.col("r.name"), blank).isNotNull())
     flat = rows.select(
         "username", "payload_index",
         F.col("r.name").alias("name"), F.col("r.owner.login").alias("owner_login"),
@@ -167,10 +170,14 @@ def parse_repos(landed: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ S4 merged PRs of a repo
 def newest_prs_per_repo(raw_prs: DataFrame, cap: int = D.PRS_PER_REPO_CAP) -> DataFrame:
-    """The newest ``cap`` merged PRs of each repo (payload order: created desc).
+    """The newest ``cap`` merged PRs of each repo (payload order: created desc). A PR
+    landed more than once (same id) takes one place, with its last landed row.
     The row_number filter lets Spark prune per partition before the shuffle."""
-    w = W.partitionBy("repo_name").orderBy(F.desc("created_at"), F.asc("id"), F.asc("seq"))
-    return raw_prs.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= cap)
+    fields = [c for c in raw_prs.columns if c not in ("repo_name", "id")]
+    once = raw_prs.groupBy("repo_name", "id").agg(F.max_by(F.struct(*fields), "seq").alias("__r")).select(
+        "repo_name", "id", "__r.*")
+    w = W.partitionBy("repo_name").orderBy(F.desc("created_at"), F.asc("id"))
+    return once.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= cap)
 
 
 def pr_payloads(newest: DataFrame) -> DataFrame:

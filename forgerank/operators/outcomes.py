@@ -1,7 +1,7 @@
 """Enrichment outcomes: response classification (O1/S7), attempt resolution (O2),
 permanent-failure rule (O3), writes (K11/K12) and the run summary (A16).
 
-Responses are landed rows ``(username, attempt, status, body, error_text)``;
+Responses are landed rows ``(username, seq, status, body, error_text)``;
 ``status`` null means the call raised (``error_text`` holds the message).
 Classification is one column expression over the parsed body (VARIANT):
 only real JSON booleans count as a flag, ``messages`` may be a string
@@ -11,6 +11,7 @@ only real JSON booleans count as a flag, ``messages`` may be a string
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries as D
@@ -28,69 +29,87 @@ def _flag(v: Column, path: str) -> Column:
 def classify(df: DataFrame, mode: str = "regional") -> DataFrame:
     """Adds ``success, open_to_work, retryable, error_code`` (and ``error``)."""
     status, body, err = F.col("status"), F.col("body"), F.col("error_text")
-    v = F.try_parse_json(body)
-    top = F.schema_of_variant(v)
-    is_arr = top.startswith("ARRAY")
-    n = F.json_array_length(body)
-    first_null = F.is_variant_null(F.try_variant_get(v, "$[0]", "variant"))
-    msg_t = _vtype(v, "$[0].messages")
-    msg_s = F.try_variant_get(v, "$[0].messages", "string")
-    msg_a = F.try_variant_get(v, "$[0].messages", "array<string>")
-    timed_out = (F.when(msg_t == "STRING", (msg_s != "") & msg_s.contains(D.TIMEOUT_MESSAGE))
-                  .when(msg_t.startswith("ARRAY"), F.coalesce(F.array_contains(msg_a, D.TIMEOUT_MESSAGE), F.lit(False)))
-                  .otherwise(F.lit(False)))
-    a_data = _vtype(v, "$[0].data.open_to_work") == "BOOLEAN"
-    a_flat = _vtype(v, "$[0].open_to_work") == "BOOLEAN"
-    o_data = (~is_arr) & (_vtype(v, "$.data.open_to_work") == "BOOLEAN")
+    cols = df.columns
+    # The parsed body and what is read from it are columns of their own, so that each is
+    # evaluated once and the conditions stay small enough for code generation.
+    v = F.col("__v")
+    df = df.withColumn("__v", F.try_parse_json(body))
+    df = df.withColumns({
+        "__top": F.schema_of_variant(v), "__len": F.json_array_length(body),
+        "__null": F.coalesce(F.is_variant_null(F.try_variant_get(v, "$[0]", "variant")), F.lit(False)),
+        "__msg": _vtype(v, "$[0].messages"), "__data": _vtype(v, "$[0].data.open_to_work") == "BOOLEAN",
+        "__flat": _vtype(v, "$[0].open_to_work") == "BOOLEAN", "__obj": _vtype(v, "$.data.open_to_work") == "BOOLEAN"})
+    msg_t, is_null = F.col("__msg"), F.col("__null")
+    text, items = F.try_variant_get(v, "$[0].messages", "string"), F.try_variant_get(v, "$[0].messages", "array<string>")
+    timed = (F.when(msg_t == "STRING", (text != "") & text.contains(D.TIMEOUT_MESSAGE))
+             .when(msg_t.startswith("ARRAY"), F.array_contains(items, D.TIMEOUT_MESSAGE)))
+    # Any other value of ``messages`` that counts as true has no substring test: it raises.
+    odd = (F.when(msg_t == "BOOLEAN", F.try_variant_get(v, "$[0].messages", "boolean"))
+           .when(msg_t.startswith("OBJECT"), F.lit(True))
+           .when(~msg_t.isin("STRING", "VOID") & ~msg_t.startswith("ARRAY"),
+                 F.try_variant_get(v, "$[0].messages", "double") != 0))
+    is_arr = F.col("__top").startswith("ARRAY")
+    df = df.withColumns({
+        "__nonempty": F.coalesce(is_arr & (F.col("__len") > 0), F.lit(False)),
+        "__timed": F.coalesce(timed, F.lit(False)), "__odd": F.coalesce(odd, F.lit(False)),
+        "__bad": v.isNull() | F.is_variant_null(v), "__o": F.coalesce(~is_arr & F.col("__obj"), F.lit(False))})
+    nonempty, timed_out, odd_messages, bad_json = (F.col(c) for c in ("__nonempty", "__timed", "__odd", "__bad"))
+    a_data, a_flat, o_data = F.coalesce("__data", F.lit(False)), F.coalesce("__flat", F.lit(False)), F.col("__o")
+    thrown = is_null | odd_messages
     http_fail = status.isNotNull() & ~status.between(200, 299)
     raised = status.isNull()
-    bad_json = v.isNull() | F.is_variant_null(v)
-    nonempty = is_arr & (n > 0)
 
     # Error text as the reference builds it (the global mode classifies on it).
     error = (F.when(http_fail, F.concat(F.lit("HTTP "), status.cast("string"), F.lit(": "),
                                         F.coalesce(body, F.lit(""))))
               .when(raised, F.coalesce(err, F.lit("")))
               .when(bad_json, F.lit("Unexpected token in JSON"))
-              .when(nonempty & first_null, F.lit("Cannot read properties of null"))
+              .when(nonempty & is_null, F.lit("Cannot read properties of null"))
+              .when(nonempty & odd_messages, F.lit("messages.includes is not a function"))
               .when(nonempty & timed_out, F.lit("API timeout"))
               .when(nonempty & (a_data | a_flat), F.lit(None).cast("string"))
               .when(o_data, F.lit(None).cast("string"))
               .otherwise(F.concat(F.lit("Unexpected response format: "), body)))
     flag = (F.when(http_fail | raised | bad_json, F.lit(None).cast("boolean"))
-             .when(nonempty & first_null, F.lit(None).cast("boolean"))
+             .when(nonempty & thrown, F.lit(None).cast("boolean"))
              .when(nonempty & timed_out, F.lit(None).cast("boolean"))
              .when(nonempty & a_data, _flag(v, "$[0].data.open_to_work"))
              .when(nonempty & a_flat, _flag(v, "$[0].open_to_work"))
              .when(o_data, _flag(v, "$.data.open_to_work")))
-    success = F.coalesce(flag.isNotNull(), F.lit(False))
+    success = F.col("__success")
     if mode == "global":
-        retry = (~success) & retryable_error(error, D.RETRYABLE_ERRORS_GLOBAL)
+        retry = (~success) & retryable_error(F.col("__error"), D.RETRYABLE_ERRORS_GLOBAL)
         code = F.when(success, F.lit(None).cast("string")).otherwise(F.lit("FAILED"))
     else:
-        exc_retry = retryable_error(error, D.RETRYABLE_ERRORS_REGIONAL)
+        exc_retry = retryable_error(F.col("__error"), D.RETRYABLE_ERRORS_REGIONAL)
         code = (F.when(http_fail, F.concat(F.lit(D.CODE_HTTP_PREFIX), status.cast("string")))
-                 .when(raised | bad_json | (nonempty & first_null),
+                 .when(raised | bad_json | (nonempty & thrown),
                        F.when(exc_retry, D.CODE_TRANSIENT).otherwise(D.CODE_UNKNOWN))
                  .when(nonempty & timed_out, F.lit(D.CODE_TIMEOUT))
                  .when(success, F.lit(None).cast("string"))
                  .otherwise(F.lit(D.CODE_INVALID)))
         retry = (F.when(http_fail, retryable_status(status))
-                  .when(raised | bad_json | (nonempty & first_null), exc_retry)
+                  .when(raised | bad_json | (nonempty & thrown), exc_retry)
                   .when(nonempty & timed_out, F.lit(True))
                   .otherwise(F.lit(False)))
-    return df.select("*", success.alias("success"), flag.alias("open_to_work"),
+    df = df.withColumns({"__flag": flag, "__error": error, "__success": flag.isNotNull()})
+    return df.select(*cols, success.alias("success"), F.col("__flag").alias("open_to_work"),
                      F.coalesce(retry, F.lit(False)).alias("retryable"), code.alias("error_code"),
-                     error.alias("error"))
+                     F.col("__error").alias("error"))
 
 
 def resolve_attempts(classified: DataFrame, max_retries: int = D.MAX_RETRIES,
-                     key: str = "username") -> DataFrame:
-    """O2: the first success or first non-retryable attempt ends the loop, else the
-    last attempt counts. One grouped ``min_by`` per user (partial aggregation)."""
-    c = classified.where(F.col("attempt") <= max_retries)
+                     key: str = "username", order: str = "seq") -> DataFrame:
+    """O2: a user's attempts are numbered from 0 in landing ``order`` and those beyond
+    ``max_retries`` were never made; the first success or first non-retryable attempt
+    ends the loop, else the last attempt counts. The numbering keeps ``max_retries + 1``
+    rows a user, which Spark prunes before the shuffle (WindowGroupLimit)."""
+    w = W.partitionBy(key).orderBy(order)
+    c = (classified.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= max_retries + 1)
+         .withColumn("attempt", F.col("__n") - 1).drop("__n"))
     terminal = F.col("success") | ~F.col("retryable")
-    rank_key = F.when(terminal, F.col("attempt")).otherwise(F.lit(1000) - F.col("attempt"))
+    rank_key = F.struct((~terminal).alias("open"),
+                        F.when(terminal, F.col("attempt")).otherwise(-F.col("attempt")).alias("at"))
     fields = [x for x in c.columns if x != key]
     out = c.groupBy(key).agg(F.min_by(F.struct(*fields), rank_key).alias("r"),
                              F.count(F.lit(1)).alias("attempts_landed"))

@@ -28,18 +28,3 @@ def key_audit(name: str, df: DataFrame, keys: list[str]) -> DataFrame:
 def check_keys(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     parts = [key_audit(n, df, keys) for n, (df, keys) in tables.items()]
     return reduce(DataFrame.unionByName, parts)
-
-
-def catalog_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """Register the domain tables as views and list them from the catalog."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    names = [t.name for t in spark.catalog.listTables() if t.name in tables]
-    return spark.createDataFrame([(n,) for n in sorted(names)], "table_name string")
-
-
-def catalog_columns(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """``column_name, data_type`` per table, from the schemas."""
-    rows = [(name, f.name, f.dataType.simpleString(), i + 1)
-            for name, df in tables.items() for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, ordinal int")

@@ -53,7 +53,7 @@ def score_order(score: str = "total_score", key: str = "username") -> list[Colum
 # The leaderboard with the profile and enrichment columns -------------------------
 def full_leaderboard(board: DataFrame, profiles: DataFrame, state: DataFrame | None) -> DataFrame:
     prof = profiles.select("username", "bio", "location", "company", "hireable",
-                           extract_link(None, F.col("bio"), F.col("blog")).alias("linkedin"))
+                           extract_link(F.col("social_accounts"), F.col("bio"), F.col("blog")).alias("linkedin"))
     out = board.join(prof, "username", "inner")
     if state is not None:
         out = out.join(state, "username", "left")

@@ -22,18 +22,15 @@ def full_name(owner: str = "owner_login", name: str = "repo_name") -> Column:
 
 
 # J1 + A1 --------------------------------------------------------------------------
-HOT_REPO_PAIRS = 1_000_000
-
-
-def user_repo_stats(prs: DataFrame, repos: DataFrame, hot_threshold: int = HOT_REPO_PAIRS) -> DataFrame:
-    """PRs per (user, repo) joined to the repo on ``owner/name``. A repo with more
-    than ``hot_threshold`` contributors is split across salted partitions."""
-    from .skew import hot_key_join
+def user_repo_stats(prs: DataFrame, repos: DataFrame) -> DataFrame:
+    """PRs per (user, repo) joined to the repo on ``owner/name``: one scan and one
+    aggregation of the PRs. A famous repo's contributors make a skewed partition of
+    the join, which AQE splits (the repo side is unique by key)."""
     counts = (prs.where(F.col("username").isNotNull())
                  .groupBy("username", "repo_name")
                  .agg(F.count("id").cast("int").alias("user_prs")))
     r = repos.select(full_name().alias("repo_name"), "total_prs", "stars")
-    return hot_key_join(counts, r, "repo_name", ["username"], threshold=hot_threshold).select(
+    return counts.join(r, "repo_name").select(
         "username", "repo_name", "user_prs", "total_prs", "stars")
 
 

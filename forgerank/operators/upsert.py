@@ -61,13 +61,6 @@ def upsert(old: DataFrame | None, new: DataFrame, keys: list[str], order: list,
     return out.select(*sel).select(*keys, *data_cols)
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key, the greatest by ``order`` (row_number form)."""
-    from pyspark.sql import Window as W
-    w = W.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
-
-
 # K1 -----------------------------------------------------------------------------
 def upsert_users(old: DataFrame | None, new: DataFrame, order: list | None = None) -> DataFrame:
     """Profile upsert on ``username``: every column replaced, ``public_repos`` forced 0."""
@@ -104,12 +97,12 @@ def upsert_pull_requests(old: DataFrame | None, new: DataFrame, order: list | No
 def upsert_user_repo_scores(old: DataFrame | None, scores: DataFrame, as_of: Column) -> DataFrame:
     """Scores of 0 are not written, so an older row for that pair stays."""
     new = scores.where(F.col("repo_score") > 0).withColumn("computed_at", as_of)
-    return upsert(old, new, ["username", "repo_name"], [F.lit(0)])
+    return upsert(old, new, ["username", "repo_name"], ["repo_score", "user_prs", "total_prs", "stars"])
 
 
 # K5 -----------------------------------------------------------------------------
 def upsert_user_scores(old: DataFrame | None, totals: DataFrame, as_of: Column) -> DataFrame:
-    return upsert(old, totals.withColumn("updated_at", as_of), ["username"], [F.lit(0)])
+    return upsert(old, totals.withColumn("updated_at", as_of), ["username"], ["total_score"])
 
 
 # K6 -----------------------------------------------------------------------------
@@ -137,17 +130,21 @@ def sync_legacy_users(old: DataFrame | None, user_scores: DataFrame, profiles: D
         F.lit(None).cast("string").alias("linkedin"),
         as_of.alias("created_at"),
     )
-    return upsert(old, new, ["username"], [F.lit(0)], update_cols=LEGACY_SET)
+    return upsert(old, new, ["username"], ["score", "name", "bio", "blog", "location"], update_cols=LEGACY_SET)
 
 
 # K7 -----------------------------------------------------------------------------
 LEADERBOARD_SET = ["name", "avatar_url", "total_score", "updated_at"]
+# FIXED VALUES: defaults of the columns that may not be null, for inserted rows.
+LEADERBOARD_DEFAULTS = {"ai_score": 0.0, "backend_score": 0.0, "frontend_score": 0.0, "devops_score": 0.0,
+                        "data_score": 0.0, "hireable": False}
 
 
 def sync_leaderboard(old: DataFrame | None, user_scores: DataFrame, profiles: DataFrame,
                      as_of: Column) -> DataFrame:
     """Leaderboard sync: only name, avatar, total_score, updated_at are written; every
-    other column of an existing row is untouched."""
+    other column of an existing row is untouched, and of an inserted row takes its
+    default."""
     j = user_scores.select("username", "total_score").join(
         profiles.select("username", "name", "avatar_url"), "username", "inner")
     new = j.select("username", "name", "avatar_url", "total_score", as_of.alias("updated_at"))
@@ -161,7 +158,12 @@ def sync_leaderboard(old: DataFrame | None, user_scores: DataFrame, profiles: Da
     hit = F.col("n.username").isNotNull()
     for c in LEADERBOARD_SET:
         sel.append(F.when(hit, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c))
-    sel += [F.col(f"o.{c}").alias(c) for c in extra]
+    inserted = F.col("o.username").isNull()
+    for c in extra:
+        stored = F.col(f"o.{c}")
+        if c in LEADERBOARD_DEFAULTS:
+            stored = F.when(inserted, F.lit(LEADERBOARD_DEFAULTS[c]).cast(old.schema[c].dataType)).otherwise(stored)
+        sel.append(stored.alias(c))
     return full.select(*sel)
 
 
@@ -187,16 +189,12 @@ def live_responses(responses: DataFrame, as_of: Column) -> DataFrame:
 
 
 # K13 ----------------------------------------------------------------------------
-def evolve_schema(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """ADD COLUMN IF NOT EXISTS: missing columns appear as typed nulls."""
+def evolve_schema(df: DataFrame, columns: dict) -> DataFrame:
+    """ADD COLUMN IF NOT EXISTS: ``columns`` gives a type, or a type and the default that
+    existing rows take (null without one). Columns that are there stay as they are."""
     out = df
-    for name, typ in columns.items():
+    for name, spec in columns.items():
         if name not in df.columns:
-            out = out.withColumn(name, F.lit(None).cast(typ))
+            typ, default = spec if isinstance(spec, tuple) else (spec, None)
+            out = out.withColumn(name, F.lit(default).cast(typ))
     return out
-
-
-def as_timestamp(text: Column) -> Column:
-    """ISO text -> timestamp; empty or missing -> null."""
-    return F.try_to_timestamp(F.nullif(text, F.lit("")))
-

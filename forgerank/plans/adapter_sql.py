@@ -82,16 +82,14 @@ FROM (SELECT id,
       WINDOW w AS (PARTITION BY id ORDER BY s_a, s_b, s_c ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
 WHERE rn = 1""",
     "a_attempts": f"""
-SELECT {cust('user_id')} AS username, CAST(attempt AS INTEGER) AS attempt,
+SELECT {cust('user_id')} AS username, event_id AS seq,
   CAST(CASE WHEN event_type = 'error' THEN (CASE WHEN k < 30 THEN 500 WHEN k < 50 THEN 429 ELSE 404 END) ELSE 200 END AS INTEGER) AS status,
   CASE event_type WHEN 'click' THEN '[{{"data":{{"open_to_work":true}}}}]'
     WHEN 'view' THEN '[{{"open_to_work":false}}]'
     WHEN 'signup' THEN '[{{"messages":"timed out"}}]'
     WHEN 'purchase' THEN '{{"x":1}}' END AS body,
   CAST(NULL AS VARCHAR) AS error_text
-FROM (SELECT user_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
-        row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS attempt
-      FROM events) WHERE attempt < 3""",
+FROM (SELECT user_id, event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)""",
     "a_state": """
 SELECT c_name AS username,
   CASE c_custkey % 7 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS is_open_to_work,

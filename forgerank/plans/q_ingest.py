@@ -9,27 +9,18 @@ from ..functions import dictionaries as D
 from ..operators import analysis as AN
 from ..operators import ingest as I
 from .adapter_sql import with_ctes
-from .q_analysis import Q4_CTES, link_sql
+from .q_analysis import Q4_CTES, profile_link_sql
 from .q_ops import DISC, NEWEST, discovered
 from .registry import Tables, register
 
 
-def social_accounts(k):
-    acct = lambda p, u: F.struct(F.lit(p).alias("provider"), u.alias("url"))
-    tw = acct("TWITTER", F.concat(F.lit("https://twitter.com/u"), k.cast("string")))
-    li = acct("LINKEDIN", F.concat(F.lit("https://www.linkedin.com/in/acct-"), k.cast("string")))
-    return (F.when(k % 7 == 3, F.array(tw, li)).when(k % 7 == 4, F.array(tw))
-             .otherwise(F.array().cast("array<struct<provider:string,url:string>>")))
-
-
 def parsed_profiles(t: Tables):
     u = t.users
-    rows, _ = I.parse_profile(I.profile_payloads(u, social_accounts(F.col("user_key"))))
+    rows, _ = I.parse_profile(I.profile_payloads(u, F.col("social_accounts")))
     return rows
 
 
-PROFILE_LINK = (f"CASE WHEN user_key % 7 = 3 THEN 'https://www.linkedin.com/in/acct-' || CAST(user_key AS VARCHAR) "
-                f"ELSE {link_sql('bio', 'blog')} END")
+PROFILE_LINK = profile_link_sql()
 
 
 @register("parse_profile", with_ctes(f"""

@@ -108,13 +108,31 @@ def q_upsert_repos_short_name(spark, sf_dir):
     """K2: repos stored under their short name; the last landed row per name wins."""
     r = Tables(spark, sf_dir).repos
     landed = r.withColumn("repo_name", F.col("short_name")).drop("short_name")
-    out = U.upsert_repos_short_name(None, landed, ["scraped_at", "repo_key"])
+    # Two batches: the second meets the stored rows of the first.
+    early = landed.where(F.col("scraped_at") < F.expr("TIMESTAMP_NTZ '2024-02-06 00:00:00'"))
+    late = landed.where(F.col("scraped_at") >= F.expr("TIMESTAMP_NTZ '2024-02-06 00:00:00'"))
+    old = U.upsert_repos_short_name(None, early, ["scraped_at", "repo_key"])
+    out = U.upsert_repos_short_name(old, late, ["scraped_at", "repo_key"])
     return out.select(*K2_COLS)
 
 
-@register("upsert_pull_requests", with_ctes("SELECT * FROM a_prs", "a_prs"))
+@register("upsert_pull_requests", with_ctes("""
+SELECT id, username, repo_name, 'MERGED' AS state, 0 AS additions, 0 AS deletions, merged_at, created_at
+FROM (SELECT id,
+        first_value(username) OVER w AS username, first_value(repo_name) OVER w AS repo_name,
+        first_value(created_at) OVER w AS created_at, last_value(merged_at) OVER w AS merged_at,
+        row_number() OVER (PARTITION BY id ORDER BY s_a % 2, s_a, s_b, s_c) AS rn
+      FROM a_raw_prs
+      WINDOW w AS (PARTITION BY id ORDER BY s_a % 2, s_a, s_b, s_c ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+WHERE rn = 1""", "a_raw_prs"))
 def q_upsert_pull_requests(spark, sf_dir):
-    return Tables(spark, sf_dir).prs
+    """K3 in two batches by the landing order: ids of both keep their first row and
+    take state and merge time from the last."""
+    raw = Tables(spark, sf_dir).raw_prs
+    early = F.col("seq.a") % 2 == 0
+    first = raw.where(early).withColumn("seq", F.struct(F.lit(0).alias("batch"), "seq"))
+    second = raw.where(~early).withColumn("seq", F.struct(F.lit(1).alias("batch"), "seq"))
+    return U.upsert_pull_requests(U.upsert_pull_requests(None, first), second)
 
 
 K4_SCORE_OLD = SCORE_EXPR.replace("total_prs", "t_old")
@@ -162,17 +180,19 @@ SCORED_T = {"stats": STATS_SQL,
 
 @register("sync_legacy_users", with_ctes(f"""
 SELECT u.username,
-  CASE WHEN t.username IS NOT NULL THEN u.name ELSE u.name END AS name,
+  CASE WHEN t.username IS NOT NULL THEN u.name ELSE upper(u.name) END AS name,
   u.blog AS website_url,
   round(CASE WHEN t.username IS NOT NULL THEN t.total_score ELSE 0.0 END, 4) AS score,
-  u.followers, 0 AS public_repos, {link_sql('u.bio', 'u.blog')} AS linkedin, u.created_at,
+  u.followers, 0 AS public_repos, CASE WHEN u.user_key % 3 <> 1 THEN {link_sql('u.bio', 'u.blog')} END AS linkedin,
+  CASE WHEN u.user_key % 3 <> 1 THEN u.created_at ELSE {AS_OF_SQL} END AS created_at,
   CASE WHEN t.username IS NOT NULL THEN {AS_OF_SQL} ELSE u.scraped_at END AS last_fetched
-FROM a_users u LEFT JOIN totals t ON u.username = t.username""", "a_users", "a_repos", "a_prs", extra=SCORED_T))
+FROM a_users u LEFT JOIN totals t ON u.username = t.username
+WHERE u.user_key % 3 <> 1 OR t.username IS NOT NULL""", "a_users", "a_repos", "a_prs", extra=SCORED_T))
 def q_sync_legacy_users(spark, sf_dir):
     """K6: the legacy table keeps linkedin and created_at of existing rows."""
     t = Tables(spark, sf_dir)
     u = t.users
-    old = u.select("username", "name", "avatar_url", "bio", "company", "blog", "location", "email",
+    old = u.where("user_key % 3 <> 1").select("username", F.upper("name").alias("name"), "avatar_url", "bio", "company", "blog", "location", "email",
                    "twitter_username", "hireable", F.col("blog").alias("website_url"), "followers",
                    "following", F.lit(0).alias("public_repos"), F.lit(0.0).alias("score"),
                    F.col("scraped_at").alias("last_fetched"), F.col("scraped_at").alias("updated_at"),
@@ -187,37 +207,47 @@ def q_sync_legacy_users(spark, sf_dir):
 SELECT u.username, CASE WHEN t.username IS NOT NULL THEN u.name ELSE lower(u.name) END AS name,
   round(CASE WHEN t.username IS NOT NULL THEN t.total_score ELSE 0.0 END, 4) AS total_score,
   CASE WHEN t.username IS NOT NULL THEN {AS_OF_SQL} ELSE u.scraped_at END AS updated_at,
-  u.location, s.is_open_to_work
-FROM a_users u LEFT JOIN totals t ON u.username = t.username LEFT JOIN a_state s ON u.username = s.username""",
+  CASE WHEN u.user_key % 3 <> 0 THEN u.location END AS location,
+  CASE WHEN u.user_key % 3 <> 0 THEN s.is_open_to_work END AS is_open_to_work,
+  CASE WHEN u.user_key % 3 <> 0 THEN coalesce(u.hireable, FALSE) ELSE FALSE END AS hireable,
+  CASE WHEN u.user_key % 3 <> 0 THEN 1.5 ELSE 0.0 END::DOUBLE AS ai_score
+FROM a_users u LEFT JOIN totals t ON u.username = t.username LEFT JOIN a_state s ON u.username = s.username
+WHERE u.user_key % 3 <> 0 OR t.username IS NOT NULL""",
     "a_users", "a_repos", "a_prs", "a_state", extra=SCORED_T))
 def q_sync_leaderboard(spark, sf_dir):
     """K7: only name, avatar, total_score and updated_at are written; location and the
     enrichment columns of the existing rows are untouched."""
     t = Tables(spark, sf_dir)
-    old = t.users.join(t.state, "username", "left").select(
+    old = t.users.where("user_key % 3 <> 0").join(t.state, "username", "left").select(
         "username", F.lower("name").alias("name"), "avatar_url", F.lit(0.0).alias("total_score"),
-        F.col("scraped_at").alias("updated_at"), "location", "is_open_to_work")
+        F.col("scraped_at").alias("updated_at"), "location", "is_open_to_work",
+        F.coalesce("hireable", F.lit(False)).alias("hireable"), F.lit(1.5).alias("ai_score"))
     tot = S.user_scores(S.user_repo_scores(S.user_repo_stats(t.prs, t.repos)))
     out = U.sync_leaderboard(old, tot, t.users, A.as_of_col())
-    return rounded(out.select("username", "name", "total_score", "updated_at", "location", "is_open_to_work"),
-                   "total_score")
+    return rounded(out.select("username", "name", "total_score", "updated_at", "location", "is_open_to_work",
+                              "hireable", "ai_score"), "total_score")
 
 
 # ------------------------------------------------------------------ landing table
 def landed_responses(t: Tables):
     """Landing rows from the attempts: the member lookup key, the body, arrival order."""
     return t.attempts.select(F.concat(F.lit("member:"), "username").alias("cache_key"),
-                             F.col("body").alias("response"), F.col("attempt").alias("seq"))
+                             F.col("body").alias("response"), "seq")
 
 
 @register("upsert_responses", with_ctes(f"""
-SELECT cache_key, response, {AS_OF_SQL} AS cached_at, {AS_OF_SQL} + INTERVAL 30 DAY AS expires_at FROM (
+SELECT cache_key, response, moment AS cached_at, moment + INTERVAL 30 DAY AS expires_at FROM (
   SELECT 'member:' || username AS cache_key, body AS response,
-    row_number() OVER (PARTITION BY username ORDER BY attempt DESC) AS rn FROM a_attempts) WHERE rn = 1""",
+    CASE seq % 2 WHEN 0 THEN {AS_OF_SQL} - INTERVAL 1 DAY ELSE {AS_OF_SQL} END AS moment,
+    row_number() OVER (PARTITION BY username ORDER BY seq % 2 DESC, seq DESC) AS rn FROM a_attempts) WHERE rn = 1""",
     "a_attempts"))
 def q_upsert_responses(spark, sf_dir):
-    """K9 with the TTL arithmetic X6."""
-    return U.upsert_responses(None, landed_responses(Tables(spark, sf_dir)), A.as_of_col())
+    """K9 with the TTL arithmetic X6, in two batches a day apart; a key of the second
+    replaces the stored response of the first."""
+    landed = landed_responses(Tables(spark, sf_dir))
+    half = F.col("seq") % 2 == 0
+    old = U.upsert_responses(None, landed.where(half), F.timestamp_add("DAY", F.lit(-1), A.as_of_col()))
+    return U.upsert_responses(old, landed.where(~half), A.as_of_col())
 
 
 RESP_SQL = """SELECT 'event:' || CAST(event_id AS VARCHAR) AS cache_key, props AS response, ts AS cached_at,
@@ -243,7 +273,7 @@ def q_live_responses(spark, sf_dir):
 
 @register("evolve_schema", with_ctes("""
 SELECT b.username, round(b.total_score, 4) AS total_score, s.is_open_to_work, CAST(NULL AS TIMESTAMP) AS otw_scraped_at,
-  CAST(NULL AS BOOLEAN) AS otw_permanent_failure, CAST(NULL AS VARCHAR) AS otw_error_code
+  FALSE AS otw_permanent_failure, CAST(NULL AS VARCHAR) AS otw_error_code
 FROM board b LEFT JOIN a_state s ON b.username = s.username""", "a_users", "a_repos", "a_prs", "a_state",
     extra={**SCORED_T, "board": "SELECT t.username, t.total_score FROM totals t JOIN a_users u ON t.username = u.username"}))
 def q_evolve_schema(spark, sf_dir):
@@ -252,7 +282,7 @@ def q_evolve_schema(spark, sf_dir):
     b = S.leaderboard(t.prs, t.repos, t.users).select("username", "total_score").join(
         t.state.select("username", "is_open_to_work"), "username", "left")
     out = U.evolve_schema(b, {"is_open_to_work": "boolean", "otw_scraped_at": "timestamp_ntz",
-                              "otw_permanent_failure": "boolean", "otw_error_code": "string"})
+                              "otw_permanent_failure": ("boolean", False), "otw_error_code": "string"})
     return rounded(out, "total_score")
 
 
@@ -282,21 +312,6 @@ def q_check_keys(spark, sf_dir):
     return QU.check_keys(tabs)
 
 
-def domain_tables(t: Tables):
-    return {"github_users": t.users, "github_repos": t.repos, "github_pull_requests": t.prs,
-            "user_repo_scores": S.user_repo_scores(S.user_repo_stats(t.prs, t.repos))}
-
-
-@register("catalog_tables")
-def q_catalog_tables(spark, sf_dir):
-    return QU.catalog_tables(spark, domain_tables(Tables(spark, sf_dir)))
-
-
-@register("catalog_columns")
-def q_catalog_columns(spark, sf_dir):
-    return QU.catalog_columns(spark, domain_tables(Tables(spark, sf_dir)))
-
-
 @register("scan_tables", with_ctes("""
 SELECT username, name, avatar_url, bio, followers, following, public_repos, blog, location, email, twitter_username,
   company, hireable, created_at, scraped_at FROM a_users""", "a_users"))
@@ -330,7 +345,9 @@ def q_cached_profile(spark, sf_dir):
 
 # ------------------------------------------------------------------ stage 1
 NEWEST = {"newest": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY repo_name
-             ORDER BY created_at DESC, id, s_a, s_b, s_c) AS nth FROM a_raw_prs) WHERE nth <= 100"""}
+             ORDER BY created_at DESC, id) AS nth FROM (SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER
+               (PARTITION BY repo_name, id ORDER BY s_a DESC, s_b DESC, s_c DESC) AS k FROM a_raw_prs) WHERE k = 1))
+             WHERE nth <= 100"""}
 
 
 def newest_prs(t: Tables):

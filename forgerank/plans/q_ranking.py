@@ -11,7 +11,7 @@ from ..operators import ranking as R
 from ..operators import scoring as S
 from ..sources.adapter import as_of_col
 from .adapter_sql import with_ctes
-from .q_analysis import link_sql
+from .q_analysis import profile_link_sql
 from .q_scoring import SCORED
 from .registry import Tables, register, rounded
 
@@ -20,7 +20,7 @@ NEED = ("a_users", "a_repos", "a_prs", "a_state")
 
 FB = dict(SCORED)
 FB["fb"] = f"""SELECT b.username, b.name, b.avatar_url, b.total_score, b.n_repos, b.contribution_count,
-  u.bio, u.location, u.company, u.hireable, {link_sql('u.bio', 'u.blog')} AS linkedin,
+  u.bio, u.location, u.company, u.hireable, {profile_link_sql('u')} AS linkedin,
   s.is_open_to_work, s.otw_permanent_failure, s.otw_error_code, s.otw_scraped_at
 FROM board b JOIN a_users u ON b.username = u.username LEFT JOIN a_state s ON b.username = s.username"""
 
@@ -129,7 +129,7 @@ FROM c0""",
     }
     if mode == "regional":
         exc = f"(raised AND {has_needle('error_text')})"
-        ctes["cls"] = f"""SELECT username, attempt, status, open_to_work IS NOT NULL AS success, open_to_work,
+        ctes["cls"] = f"""SELECT username, seq, status, open_to_work IS NOT NULL AS success, open_to_work,
   CASE WHEN http_fail THEN status >= 500 OR status = 429
        WHEN raised OR bad_json OR (nonempty AND first_null) THEN {exc}
        WHEN nonempty AND timed_out THEN TRUE ELSE FALSE END AS retryable,
@@ -145,13 +145,15 @@ FROM c2"""
        WHEN nonempty AND timed_out THEN 'API timeout'
        WHEN open_to_work IS NOT NULL THEN NULL
        ELSE 'Unexpected response format: ' || body END"""
-        ctes["cls"] = f"""SELECT username, attempt, status, open_to_work IS NOT NULL AS success, open_to_work,
+        ctes["cls"] = f"""SELECT username, seq, status, open_to_work IS NOT NULL AS success, open_to_work,
   open_to_work IS NULL AND {has_needle(err)} AS retryable,
   CASE WHEN open_to_work IS NOT NULL THEN NULL ELSE 'FAILED' END AS error_code FROM c2"""
     ctes["res"] = f"""SELECT * EXCLUDE (rr), NOT success AND NOT retryable AS permanent FROM (
-  SELECT *, row_number() OVER (PARTITION BY username ORDER BY CASE WHEN success OR NOT retryable THEN attempt
-    ELSE 1000 - attempt END) AS rr, count(*) OVER (PARTITION BY username) AS attempts_landed
-  FROM cls WHERE attempt <= {D.MAX_RETRIES}) WHERE rr = 1"""
+  SELECT *, row_number() OVER (PARTITION BY username ORDER BY NOT (success OR NOT retryable),
+      CASE WHEN success OR NOT retryable THEN attempt ELSE -attempt END) AS rr,
+    count(*) OVER (PARTITION BY username) AS attempts_landed
+  FROM (SELECT *, CAST(row_number() OVER (PARTITION BY username ORDER BY seq) - 1 AS INTEGER) AS attempt FROM cls)
+  WHERE attempt <= {D.MAX_RETRIES}) WHERE rr = 1"""
     return ctes
 
 
@@ -159,8 +161,8 @@ def outcomes(t: Tables, mode: str = "regional"):
     return O.resolve_attempts(O.classify(t.attempts, mode))
 
 
-CLS_COLS = ["username", "attempt", "status", "success", "open_to_work", "retryable", "error_code"]
-RES_COLS = CLS_COLS + ["permanent", "attempts_landed"]
+CLS_COLS = ["username", "seq", "status", "success", "open_to_work", "retryable", "error_code"]
+RES_COLS = CLS_COLS + ["attempt", "permanent", "attempts_landed"]
 
 
 # S7 / O1 ----------------------------------------------------------------------------

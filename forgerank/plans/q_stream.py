@@ -11,27 +11,25 @@ from ..operators.refresh import full_refresh
 from ..session import scratch_path
 from ..sources import adapter as A
 from ..sources.tables import read_table
-from ..streaming.incremental import dedupe_requests, incremental_refresh, land_in_files
+from ..streaming.incremental import dedupe_requests, incremental_refresh, land_in_files, landing_files
 from .adapter_sql import cust, with_ctes
 from .q_analysis import Q4_CTES
-from .q_ingest import REPO_PAYLOAD, social_accounts
+from .q_ingest import REPO_PAYLOAD
 from .q_ops import NEWEST
 from .q_scoring import SCORE_EXPR
 from .registry import ORACLE, Tables, register, rounded
 
-LANDING_FILES = 4
-
-
 # R1 ---------------------------------------------------------------------------------
 @register("incremental_refresh")
 def q_incremental_refresh(spark, sf_dir):
-    """Merged-PR rows land in 4 files (rows of one PR id together); a file stream
-    processes one file per micro-batch and refreshes only the touched users. The
-    result must equal the one-shot leaderboard."""
+    """Merged-PR rows land in files whose number follows the input (rows of one PR id
+    together); a file stream takes them in four micro-batches and refreshes only the
+    touched users. The result must equal the one-shot leaderboard."""
     t = Tables(spark, sf_dir)
-    landing = land_in_files(t.raw_prs, scratch_path(spark, "landing_prs"), LANDING_FILES, key="id")
+    files = landing_files(t.raw_prs)
+    landing = land_in_files(t.raw_prs, scratch_path(spark, "landing_prs"), files, key="id")
     schema = spark.read.parquet(landing).schema
-    board = incremental_refresh(spark, landing, schema, t.repos, t.users)
+    board = incremental_refresh(spark, landing, schema, t.repos, t.users, files_per_batch=-(-files // 4))
     return rounded(board, "total_score")
 
 
@@ -39,15 +37,22 @@ ORACLE["incremental_refresh"] = ORACLE["leaderboard"]
 
 
 # R2 ---------------------------------------------------------------------------------
-@register("dedupe_requests", f"SELECT DISTINCT 'member:' || {cust('user_id')} AS cache_key FROM events")
+@register("dedupe_requests", f"""
+WITH RECURSIVE req AS (SELECT DISTINCT 'member:' || {cust('user_id')} AS k, ts + to_days(CAST(event_id % 3 * 40 AS INTEGER)) AS t
+  FROM events),
+served AS (SELECT k, min(t) AS t FROM req GROUP BY k
+  UNION ALL SELECT r.k, min(r.t) FROM served s JOIN req r ON r.k = s.k AND r.t >= s.t + INTERVAL 30 DAY GROUP BY r.k, s.t)
+SELECT k AS cache_key, t AS requested_at FROM served""")
 def q_dedupe_requests(spark, sf_dir):
-    """Every event is a lookup request for its user; within the 30-day TTL a key is served once."""
+    """Every event is a lookup request for its user, spread over four months so that keys
+    expire and come back; within the 30-day TTL of a served request a key is not served."""
     e = read_table(spark, sf_dir, "events").select(
         F.concat(F.lit("member:"), cust_login("user_id")).alias("cache_key"),
-        F.col("ts").cast("timestamp").alias("requested_at"))
-    landing = land_in_files(e, scratch_path(spark, "landing_requests"), LANDING_FILES)
+        F.timestamp_add("DAY", (F.col("event_id") % 3 * 40).cast("int"), F.col("ts").cast("timestamp_ntz")).alias("requested_at"))
+    files = landing_files(e)
+    landing = land_in_files(e, scratch_path(spark, "landing_requests"), files, key="cache_key")
     schema = spark.read.parquet(landing).schema
-    return dedupe_requests(spark, landing, schema).select("cache_key")
+    return dedupe_requests(spark, landing, schema, files_per_batch=-(-files // 4))
 
 
 # Q8 ---------------------------------------------------------------------------------
@@ -77,7 +82,7 @@ def q_full_refresh(spark, sf_dir):
     """Q8: every user's profile, repository and merged-PR payloads parsed, upserted
     and scored in one pass."""
     t = Tables(spark, sf_dir)
-    profiles = I.profile_payloads(t.users, social_accounts(F.col("user_key")))
+    profiles = I.profile_payloads(t.users, F.col("social_accounts"))
     repos = I.repo_payloads(AN.user_repo_candidates(t.users, t.repos, t.prs))
     prs = I.pr_payloads(I.newest_prs_per_repo(t.raw_prs))
     return rounded(full_refresh(profiles, repos, prs, A.as_of_col()), "total_score")

@@ -19,24 +19,6 @@ SCALE_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, executor_cores: int = 4, executors: int = 1000) -> dict:
-    """Settings for a large cluster, sized from the bytes read: about 256 MB per
-    scan split and per shuffle partition (before AQE coalescing), never fewer
-    partitions than task slots, skew splitting for partitions 5x the median."""
-    mb = 1024 * 1024
-    slots = executor_cores * executors
-    partitions = max(slots, int(input_bytes // (256 * mb)) + 1)
-    return {
-        **SCALE_CONF,
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(256 * mb),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mb),
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * mb),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
-    }
-
-
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "forgerank", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app_name)
@@ -55,8 +37,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared file system and is used as is.
-    Only when nothing is configured (local tests) a scratch folder is made.
+    On a cluster the setting names a shared file system and is used as is; without it
+    this raises, as a folder of one machine would lose the tables of the others. Only a
+    local master (tests) gets a scratch folder when nothing is configured.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -65,6 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="forgerank-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

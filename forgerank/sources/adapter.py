@@ -60,9 +60,19 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         _plus_days("2010-01-01 00:00:00", k % 4000).alias("created_at"),
         _plus_days("2024-01-01 00:00:00", k % 46).alias("scraped_at"),
         k.alias("user_key"),
+        social_accounts(k).alias("social_accounts"),
     )
 
 
+def social_accounts(k):
+    """Accounts shown on the profile page: two of seven users have one or more."""
+    acct = lambda p, u: F.struct(F.lit(p).alias("provider"), u.alias("url"))
+    tw = acct("TWITTER", F.concat(F.lit("https://twitter.com/u"), k.cast("string")))
+    li = acct("LINKEDIN", F.concat(F.lit("https://www.linkedin.com/in/acct-"), k.cast("string")))
+    return (F.when(k % 7 == 3, F.array(tw, li)).when(k % 7 == 4, F.array(tw))
+             .otherwise(F.array().cast("array<struct<provider:string,url:string>>")))
+
+
 def _topics_by_brand(brand_no):
     b = brand_no % 8
     arr = lambda *xs: F.array(*[F.lit(x) for x in xs])
@@ -151,19 +161,15 @@ def pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enrichment attempts landed by an outside caller, derived from ``events``.
-
-    attempt = per-user order by event_id, first three; status/body by event type.
-    """
-    from pyspark.sql import Window as W
+    """Enrichment attempts landed by an outside caller, one per row of ``events``, in
+    landing order ``seq``; status/body by event type. Which of a user's attempts count
+    is the operator's decision (O2)."""
     e = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
     kk = F.get_json_object(F.col("props"), "$.k").cast("int")
     et = F.col("event_type")
-    w = W.partitionBy("user_id").orderBy("event_id")
-    numbered = e.withColumn("attempt", F.row_number().over(w) - 1).where(F.col("attempt") < 3)
-    return numbered.select(
+    return e.select(
         cust_login(F.col("user_id")).alias("username"),
-        F.col("attempt").cast("int").alias("attempt"),
+        F.col("event_id").alias("seq"),
         F.when(et == "error", F.when(kk < 30, 500).when(kk < 50, 429).otherwise(404))
          .otherwise(200).cast("int").alias("status"),
         F.when(et == "click", F.lit('[{"data":{"open_to_work":true}}]'))

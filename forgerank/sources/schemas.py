@@ -55,9 +55,12 @@ SCHEMAS = {
                 ("website_url", S, True), ("followers", I, True), ("following", I, True),
                 ("public_repos", I, True), ("score", D, True), ("last_fetched", TS, True),
                 ("created_at", TS, True), ("updated_at", TS, True), ("raw_json", S, True)),
-    "repos": st(("id", S, False), ("owner", S, True), ("name", S, True), ("stars", I, True),
-                ("language", S, True), ("topics", ARR, True), ("updated_at", TS, True)),
+    "repos": st(("id", S, False), ("username", S, False), ("repo_name", S, False), ("full_name", S, False),
+                ("stars", I, False), ("forks", I, False), ("language", S, True), ("description", S, True),
+                ("url", S, True), ("pushed_at", TS, True), ("is_fork", B, False), ("topics", ARR, True),
+                ("languages", ARR, True), ("merged_pr_count", I, False), ("merged_prs_by_user_count", I, False)),
     "api_cache": st(("cache_key", S, False), ("response", S, False), ("cached_at", TS, False),
                     ("expires_at", TS, False)),
-    "token_rate_limit": st(("token_index", I, False), ("remaining", I, True), ("reset_at", T.LongType(), True)),
+    "token_rate_limit": st(("token_index", I, False), ("remaining", I, False), ("reset_time", I, False),
+                           ("last_updated", TS, False)),
 }

@@ -8,8 +8,9 @@ overwrites only its own batch partitions, so a replayed batch (after a failure)
 rewrites the same files: the job is idempotent. The current table is the latest
 row per key across batches (upsert on read).
 
-R2 duplicate suppression: ``withWatermark`` + ``dropDuplicatesWithinWatermark``
-serves an identical request key once within the TTL.
+R2 duplicate suppression: each micro-batch looks its request keys up in a log of
+served requests; a request is served unless one of its key was served within the TTL
+before it. Nothing is dropped for being late, and an expired key is served anew.
 """
 
 from __future__ import annotations
@@ -21,11 +22,16 @@ from pyspark.sql import functions as F
 from ..functions import dictionaries as D
 from ..operators import scoring as S
 from ..operators.upsert import upsert_pull_requests
-from ..session import scratch_path
+from ..session import scratch_path, shared
 
 PR_COLS = ["id", "username", "repo_name", "merged_at", "created_at", "seq"]
 
 
+def landing_files(df: DataFrame, least: int = 4) -> int:
+    """Files to land: as many as the input has partitions, which follows its bytes."""
+    return max(least, df.rdd.getNumPartitions())
+
+
 def land_in_files(df: DataFrame, path: str, files: int, key: str | None = None) -> str:
     """Land rows as ``files`` parquet files (one file = one arrival); rows sharing
     ``key`` land in the same file."""
@@ -60,7 +66,7 @@ def _refresh_batch(spark: SparkSession, repos: DataFrame, paths: dict, buckets:
             seen = seen.where(F.col("batch_id") != batch_id)
         new_ids = first if seen is None else first.join(
             seen.select("ibucket", "id"), ["ibucket", "id"], "left_anti")
-        new_ids = new_ids.cache()
+        new_ids = shared(new_ids, "new_ids")
         (new_ids.select("ibucket", "id").withColumn("batch_id", F.lit(batch_id))
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("batch_id", "ibucket").parquet(paths["ids"]))
@@ -69,7 +75,6 @@ def _refresh_batch(spark: SparkSession, repos: DataFrame, paths: dict, buckets:
         (delta.withColumn("batch_id", F.lit(batch_id))
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("batch_id", "ubucket").parquet(paths["pairs"]))
-        new_ids.unpersist()
         touched = delta.select("ubucket", "username").distinct()
         pairs = (spark.read.parquet(paths["pairs"]).join(touched, ["ubucket", "username"], "left_semi")
                       .groupBy("username", "repo_name").agg(F.sum("n").cast("int").alias("user_prs")))
@@ -96,14 +101,32 @@ def _read_state(spark: SparkSession, path: str, schema: str) -> DataFrame | None
         return None
 
 
+BUCKETS = 64
+
+
+def _stored_buckets(spark: SparkSession, path: str, wanted: int) -> int:
+    """The bucket count that the state was begun with; written with the first run, since
+    ids are looked up by bucket and another count would miss them."""
+    there = _read_state(spark, path, "buckets int")
+    if there is not None:
+        return there.first()[0]
+    spark.range(1).select(F.lit(wanted).alias("buckets")).write.parquet(path)
+    return wanted
+
+
 def incremental_refresh(spark: SparkSession, landing: str, schema, repos: DataFrame,
-                        profiles: DataFrame, files_per_batch: int = 1, buckets: int | None = None) -> DataFrame:
+                        profiles: DataFrame, files_per_batch: int = 1, buckets: int = BUCKETS,
+                        state_dir: str | None = None) -> DataFrame:
     """Run the file stream to completion (``Trigger.AvailableNow``) and return the
     refreshed leaderboard (latest score row per user, joined to the profile).
-    ``buckets`` (id and user buckets of the state logs) follows the session's
-    shuffle parallelism, at most 64, unless given."""
-    buckets = buckets or min(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    paths = {k: scratch_path(spark, f"refresh_{k}") for k in ["ids", "pairs", "scores", "ckpt"]}
+
+    ``state_dir`` holds the logs and the stream's checkpoint: a later call with the same
+    folder goes on after the files it has seen. Without one the state is a scratch
+    folder. ``buckets`` (of the id and user logs; more for larger state) is fixed by the
+    first run and kept with the state."""
+    base = state_dir.rstrip("/") if state_dir else scratch_path(spark, "refresh")
+    paths = {k: f"{base}/{k}" for k in ["ids", "pairs", "scores", "ckpt"]}
+    buckets = _stored_buckets(spark, f"{base}/buckets", buckets)
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(landing))
     q = (stream.writeStream.foreachBatch(_refresh_batch(spark, repos, paths, buckets))
@@ -118,16 +141,54 @@ def incremental_refresh(spark: SparkSession, landing: str, schema, repos: DataFr
         "username", "name", "avatar_url", "total_score", "n_repos", "contribution_count")
 
 
+SERVED = "cache_key string, requested_at timestamp_ntz, batch_id long"
+
+
+def _not_served(requests: DataFrame, served: DataFrame, ttl_days: int, arrived_before: bool = False) -> DataFrame:
+    """Requests that no served request of their key covers: served at s, it covers s to
+    s + TTL. If it arrived in an earlier batch its response is there already, so it also
+    covers a late request from less than a TTL before s."""
+    s = served.select(F.col("cache_key").alias("__k"), F.col("requested_at").alias("__s"))
+    start = F.timestamp_add("DAY", F.lit(-ttl_days), F.col("__s"))
+    after = F.col("requested_at") > start if arrived_before else F.col("requested_at") >= F.col("__s")
+    covers = ((F.col("cache_key") == F.col("__k")) & after
+              & (F.col("requested_at") < F.timestamp_add("DAY", F.lit(ttl_days), F.col("__s"))))
+    return requests.join(s, covers, "left_anti")
+
+
+def _serve_batch(spark: SparkSession, path: str, ttl_days: int):
+    """One micro-batch of R2. By key, the first request that nothing served covers is
+    served, then the first one after its TTL, and so on: one grouped minimum a pass, as
+    many passes as TTLs fit into the batch's time span. The log is partitioned by batch
+    and a replayed batch rewrites its own part."""
+    def run(batch: DataFrame, batch_id: int):
+        left = batch.select("cache_key", F.col("requested_at").cast("timestamp_ntz").alias("requested_at"))
+        seen = _read_state(spark, path, SERVED)
+        if seen is not None:
+            left = _not_served(left, seen.where(F.col("batch_id") != batch_id), ttl_days, True)
+        left = shared(left, "requests")
+        picked = []
+        while not left.isEmpty():
+            first = shared(left.groupBy("cache_key").agg(F.min("requested_at").alias("requested_at")), "served_now")
+            picked.append(first)
+            left = shared(_not_served(left, first, ttl_days), "requests")
+        out = spark.createDataFrame([], "cache_key string, requested_at timestamp_ntz")
+        for p in picked:
+            out = out.unionByName(p)
+        (out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+    return run
+
+
 def dedupe_requests(spark: SparkSession, landing: str, schema, ttl_days: int = D.RESPONSE_TTL_DAYS,
-                    files_per_batch: int = 1) -> DataFrame:
-    """R2: identical request keys inside the TTL are served once."""
-    out = scratch_path(spark, "served")
-    ckpt = scratch_path(spark, "served_ckpt")
+                    files_per_batch: int = 1, state_dir: str | None = None) -> DataFrame:
+    """R2: the requests (cache_key, requested_at) that are served; identical keys within
+    the TTL of a served one are not. ``state_dir`` as in ``incremental_refresh``."""
+    base = state_dir.rstrip("/") if state_dir else scratch_path(spark, "served")
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(landing))
-    deduped = (stream.withWatermark("requested_at", f"{ttl_days} days")
-                     .dropDuplicatesWithinWatermark(["cache_key"]))
-    q = (deduped.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
+    q = (stream.writeStream.foreachBatch(_serve_batch(spark, f"{base}/log", ttl_days))
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema(schema).parquet(out)
+    log = _read_state(spark, f"{base}/log", SERVED)
+    return (log if log is not None else spark.createDataFrame([], SERVED)).select("cache_key", "requested_at")

@@ -196,7 +196,7 @@ def test_attempt_resolution(spark):
             ("perm_first", 0, 404, "x", None), ("perm_first", 1, 200, '[{"open_to_work":true}]', None),
             ("three_r", 0, 500, "x", None), ("three_r", 1, 429, "x", None), ("three_r", 2, 503, "x", None)]
     df = spark.createDataFrame(data, "username string, attempt int, status int, body string, error_text string")
-    res = {r["username"]: r for r in O.resolve_attempts(O.classify(df)).collect()}
+    res = {r["username"]: r for r in O.resolve_attempts(O.classify(df), order="attempt").collect()}
     assert res["r_then_ok"]["success"] and res["r_then_ok"]["attempt"] == 1
     assert res["perm_first"]["permanent"] and res["perm_first"]["error_code"] == "HTTP_404"
     assert res["three_r"]["attempt"] == 2 and not res["three_r"]["permanent"]
@@ -312,28 +312,6 @@ def test_incremental_batch_replay_is_idempotent(spark):
     assert abs(latest - (10 * 2 / 4 + 100 * 1 / 1)) < 1e-9
 
 
-def test_hot_key_join_equals_plain_join(spark):
-    from forgerank.operators.skew import hot_key_join
-    big = spark.createDataFrame([(f"u{i}", "hot" if i % 3 else f"k{i}", i) for i in range(300)],
-                                "username string, repo_name string, v int")
-    small = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3), ("none", 4)], "repo_name string, w int")
-    salted = hot_key_join(big, small, "repo_name", ["username"], threshold=10, salts=8)
-    plain = big.join(small, "repo_name", "inner")
-    cols = ["username", "repo_name", "v", "w"]
-    assert sorted(map(tuple, salted.select(*cols).collect())) == sorted(map(tuple, plain.select(*cols).collect()))
-    assert salted.count() == 200 + 2
-
-
-def test_user_repo_stats_with_every_repo_hot(spark):
-    from forgerank.plans.registry import Tables
-    from conftest import SMALL
-    t = Tables(spark, SMALL)
-    cols = ["username", "repo_name", "user_prs", "total_prs", "stars"]
-    hot = S.user_repo_stats(t.prs, t.repos, hot_threshold=0).select(*cols).collect()
-    cold = S.user_repo_stats(t.prs, t.repos).select(*cols).collect()
-    assert sorted(map(tuple, hot)) == sorted(map(tuple, cold))
-
-
 def test_request_dedupe_within_ttl(spark):
     from forgerank.session import scratch_path
     from forgerank.streaming.incremental import dedupe_requests, land_in_files
@@ -346,6 +324,90 @@ def test_request_dedupe_within_ttl(spark):
     assert sorted(r[0] for r in served.select("cache_key").collect()) == ["member:a", "member:b"]
 
 
+def test_expired_and_late_requests_are_served(spark):
+    from forgerank.session import scratch_path
+    from forgerank.streaming.incremental import dedupe_requests, land_in_files
+    t0 = dt.datetime(2024, 5, 1)
+    day = lambda n: t0 + dt.timedelta(days=n)
+    state = scratch_path(spark, "t_state")
+    landing = scratch_path(spark, "t_requests")
+    schema = "cache_key string, requested_at timestamp_ntz"
+    first = [("a", day(0)), ("a", day(10)), ("a", day(45)), ("b", day(0)), ("b", day(30)), ("c", day(100))]
+    land_in_files(spark.createDataFrame(first, schema), landing, 1)
+    df_schema = spark.createDataFrame([], schema).schema
+    got = lambda: sorted(map(tuple, dedupe_requests(spark, landing, df_schema, 30, state_dir=state).collect()))
+    assert got() == [("a", day(0)), ("a", day(45)), ("b", day(0)), ("b", day(30)), ("c", day(100))]
+    # A second run on the same state: a late key, a repeat inside the TTL, one after it.
+    spark.createDataFrame([("late", day(-106)), ("a", day(50)), ("a", day(80))], schema).write.mode("append").parquet(landing)
+    assert got() == [("a", day(0)), ("a", day(45)), ("a", day(80)), ("b", day(0)), ("b", day(30)), ("c", day(100)),
+                     ("late", day(-106))]
+
+
+def test_refresh_goes_on_after_a_stop(spark):
+    from forgerank.session import scratch_path
+    from forgerank.streaming.incremental import incremental_refresh
+    repos = spark.createDataFrame([("a", "o", 10, 4), ("b", "o", 100, 1)], "repo_name string, owner_login string, stars int, total_prs int")
+    users = spark.createDataFrame([("u", "U", "x"), ("v", "V", "y")], "username string, name string, avatar_url string")
+    schema = ("id string, username string, repo_name string, merged_at timestamp_ntz, "
+              "created_at timestamp_ntz, seq struct<a:int>")
+    data = [("1", "u", "o/a", None, None, (1,)), ("2", "u", "o/b", None, None, (2,)), ("3", "v", "o/a", None, None, (3,)),
+            ("2", "u", "o/a", None, None, (4,)), ("4", "v", "o/a", None, None, (5,))]
+    parts = [spark.createDataFrame(data[a:b], schema) for a, b in ((0, 2), (2, 3), (3, 5))]
+    landing, state = scratch_path(spark, "t_landing"), scratch_path(spark, "t_state")
+    for p in parts[:2]:
+        p.coalesce(1).write.mode("append").parquet(landing)
+    s = parts[0].schema
+    incremental_refresh(spark, landing, s, repos, users, buckets=8, state_dir=state)
+    parts[2].coalesce(1).write.mode("append").parquet(landing)
+    resumed = incremental_refresh(spark, landing, s, repos, users, buckets=5, state_dir=state)  # the stored 8 holds
+    once = incremental_refresh(spark, landing, s, repos, users, files_per_batch=100)
+    assert sorted(map(tuple, resumed.collect())) == sorted(map(tuple, once.collect()))
+
+
+def test_inserted_leaderboard_rows_take_defaults(spark, as_of):
+    old = spark.createDataFrame([("a", "A", "x", 1.0, None, True, 2.0)], "username string, name string, avatar_url string, "
+                                "total_score double, updated_at timestamp_ntz, hireable boolean, ai_score double")
+    scores = spark.createDataFrame([("a", 5.0), ("b", 6.0)], "username string, total_score double")
+    prof = spark.createDataFrame([("a", "A2", "x"), ("b", "B", "y")], "username string, name string, avatar_url string")
+    got = {r.username: r for r in U.sync_leaderboard(old, scores, prof, as_of).collect()}
+    assert got["a"].hireable is True and got["a"].ai_score == 2.0 and got["a"].total_score == 5.0
+    assert got["b"].hireable is False and got["b"].ai_score == 0.0
+
+
+def test_added_columns_take_their_default(spark):
+    out = U.evolve_schema(spark.createDataFrame([(1,)], "a int"), {"a": "string", "b": ("boolean", False), "c": "string"})
+    assert out.collect()[0].asDict() == {"a": 1, "b": False, "c": None}
+
+
+def test_iso_times(spark):
+    texts = ["2024-01-01T00:00:00Z", "2024-01-01T00:00:00.123Z", "2024-01-01T02:00:00+02:00", "", None, "not a time"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(I.from_iso(F.col("t")).alias("t"))
+    day = dt.datetime(2024, 1, 1)
+    assert [r.t for r in df.collect()] == [day, day.replace(microsecond=123000), day, None, None, None]
+
+
+def test_repo_nodes_without_owner_or_name_are_skipped(spark):
+    body = '{"user":{"repositories":{"nodes":[{"name":"x","owner":{"login":""}},{"name":"","owner":{"login":"o"}},{"name":"x","owner":{"login":"o"}}]}}}'
+    df = spark.createDataFrame([("u", body)], "cache_key string, response string")
+    assert [r.full_name for r in I.parse_repos(df).collect()] == ["o/x"]
+
+
+def test_a_pr_landed_twice_takes_one_place(spark):
+    rows_ = [("r", "1", "u", dt.datetime(2024, 1, 3), (1,)), ("r", "1", "w", dt.datetime(2024, 1, 3), (2,)), ("r", "2", "u", dt.datetime(2024, 1, 2), (1,)),
+             ("r", "3", "u", dt.datetime(2024, 1, 1), (1,))]
+    df = spark.createDataFrame(rows_, "repo_name string, id string, username string, created_at timestamp_ntz, seq struct<a:int>")
+    assert sorted(rows(I.newest_prs_per_repo(df, 2), "id", "username", "nth")) == [("1", "w", 1), ("2", "u", 2)]
+
+
+def test_odd_messages_raise(spark):
+    bodies = ['[{"messages":{"a":1}}]', '[{"messages":5}]', '[{"messages":true}]', '[{"messages":0,"open_to_work":true}]',
+              '[{"messages":false,"open_to_work":true}]', '[{"messages":null,"open_to_work":true}]']
+    df = spark.createDataFrame([(f"u{i}", i, 200, b, None) for i, b in enumerate(bodies)],
+                               "username string, seq int, status int, body string, error_text string")
+    got = {r.username: (r.error_code, r.open_to_work) for r in O.classify(df).collect()}
+    assert [got[f"u{i}"] for i in range(6)] == [("UNKNOWN_ERROR", None)] * 3 + [(None, True)] * 3
+
+
 def test_pr_with_missing_repo_is_dropped(spark):
     prs = spark.createDataFrame([("1", "u", "o/a"), ("2", "u", "o/gone")], "id string, username string, repo_name string")
     repos = spark.createDataFrame([("a", "o", 10, 20)], "repo_name string, owner_login string, total_prs int, stars int")

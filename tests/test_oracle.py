@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB oracle on the smallest driver scale."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -7,7 +9,8 @@ from oracle_harness import compare, duck
 
 from conftest import SMALL
 
-QUERIES = E.queries()
+# The training-data operators have their own tests.
+QUERIES = {k: f for k, f in E.queries().items() if k != "pipeline" and not re.match(r"op\d+_", k)}
 ORACLE = E.oracle_sql()
 
 
@@ -35,5 +38,4 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    no_sql = set(QUERIES) - set(ORACLE)
-    assert no_sql <= {"catalog_tables", "catalog_columns"}
+    assert set(QUERIES) <= set(ORACLE)
