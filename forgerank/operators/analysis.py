@@ -65,36 +65,19 @@ def owned_repos_with_pr_counts(repos: DataFrame, prs: DataFrame, users: DataFram
 def analyze_users(repos: DataFrame, prs: DataFrame, users: DataFrame, pr_key: str = "short",
                   top_n: int = D.TOP_REPOS_STAGE4, top_skills: int = D.TOP_SKILLS,
                   categories=D.CATEGORIES_SUBSTRING) -> DataFrame:
-    """Q2: per owner, split-credit category sums, top 5 repos, language histogram,
-    first 10 topics alphabetically, contribution count. Users without repos get no row."""
-    from ..session import shared
-    r = categorize_substring(owned_repos_with_pr_counts(repos, prs, users, pr_key), categories)
-    r = shared(r.withColumn("score", stage4_repo_score("stars", "prs")).withColumn(
-        "share", F.when(F.size("categories") > 0, F.col("score") / F.size("categories"))))
-    sums = r.groupBy("owner_login").agg(
-        *[F.sum(F.when(F.array_contains("categories", c), F.col("share")).otherwise(0.0))
-          .alias(f"{c}_score") for c in categories],
-        F.sum("prs").cast("int").alias("contribution_count"))
-    w = W.partitionBy("owner_login").orderBy(F.desc("score"), F.asc("repo_name"))
-    top = (r.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= top_n)
-             .groupBy("owner_login").agg(F.array_sort(F.collect_list(
-                 F.struct("pos", "repo_name", "score"))).alias("top")))
-    langs = language_histogram(r.select("owner_login", "primary_language"), "owner_login")
-    skills = topic_skills(r.select("owner_login", "topics"), "owner_login", top_skills)
-    out = (sums.join(top, "owner_login", "left").join(langs, "owner_login", "left")
-               .join(skills, "owner_login", "left"))
-    total = sum((F.col(f"{c}_score") for c in categories), F.lit(0.0))
-    return out.select(
-        F.lower("owner_login").alias("id"),
-        F.col("owner_login").alias("username"),
-        total.alias("total_score"),
-        *[F.col(f"{c}_score") for c in categories],
-        F.coalesce("skills", F.lit("")).alias("unique_skills"),
-        F.array_join(F.transform("top", lambda x: x["repo_name"]), ",").alias("top_repos"),
-        F.coalesce("languages", F.lit("")).alias("languages"),
-        "contribution_count",
-        F.lit(None).cast("string").alias("linkedin"),
-    )
+    """Q2 with lists as text: the stored rows (``analyses_rows``), their arrays joined by
+    commas. Users without repos get no row."""
+    rows = analyses_rows(repos, prs, users, F.lit(None).cast("timestamp_ntz"), pr_key, categories, top_n, top_skills)
+    return analyses_text(rows).drop("cached_at")
+
+
+def analyses_text(rows: DataFrame) -> DataFrame:
+    """Stored analyses with skills, top repositories (names) and languages as text."""
+    langs = F.array_sort(F.map_entries("languages"))
+    return rows.withColumns({
+        "unique_skills": F.array_join("unique_skills", ","),
+        "top_repos": F.array_join(F.transform("top_repos", lambda x: x["name"]), ","),
+        "languages": F.array_join(F.transform(langs, lambda x: F.concat(x["key"], F.lit(":"), x["value"].cast("string"))), ",")})
 
 
 # A7 / A8 --------------------------------------------------------------------------
@@ -241,13 +224,16 @@ def model_a_inputs(users: DataFrame, repos: DataFrame, prs: DataFrame) -> DataFr
 
 # K8 + X16 ---------------------------------------------------------------------------
 def analyses_rows(repos: DataFrame, prs: DataFrame, users: DataFrame, as_of: Column,
-                  pr_key: str = "short", categories=D.CATEGORIES_SUBSTRING) -> DataFrame:
-    """Q2 in the stored ``analyses`` shape: skills as an array, the top repos as an
-    array of structs (name, owner, stars, prs, score, categories), languages as a
-    map, ``linkedin`` null, ``cached_at`` = as_of."""
+                  pr_key: str = "short", categories=D.CATEGORIES_SUBSTRING,
+                  top_n: int = D.TOP_REPOS_STAGE4, top_skills: int = D.TOP_SKILLS) -> DataFrame:
+    """Q2 in the stored ``analyses`` shape: per owner, split-credit category sums, the
+    first topics alphabetically as an array, the top repos as an array of structs (name,
+    owner, stars, prs, score, categories), languages as a map, contribution count,
+    ``linkedin`` null, ``cached_at`` = as_of."""
+    from ..session import shared
     r = categorize_substring(owned_repos_with_pr_counts(repos, prs, users, pr_key), categories)
-    r = r.withColumn("score", stage4_repo_score("stars", "prs")).withColumn(
-        "share", F.when(F.size("categories") > 0, F.col("score") / F.size("categories")))
+    r = shared(r.withColumn("score", stage4_repo_score("stars", "prs")).withColumn(
+        "share", F.when(F.size("categories") > 0, F.col("score") / F.size("categories"))), "stage4_repos")
     sums = r.groupBy("owner_login").agg(
         *[F.sum(F.when(F.array_contains("categories", c), F.col("share")).otherwise(0.0))
           .alias(f"{c}_score") for c in categories],
@@ -256,11 +242,11 @@ def analyses_rows(repos: DataFrame, prs: DataFrame, users: DataFrame, as_of: Col
     item = F.struct(F.col("repo_name").alias("name"), F.col("owner_login").alias("owner"),
                     F.col("stars").cast("int").alias("stars"), F.col("prs").alias("prs"),
                     F.col("score").alias("score"), F.col("categories").alias("categories"))
-    top = (r.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= D.TOP_REPOS_STAGE4)
+    top = (r.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= top_n)
             .groupBy("owner_login").agg(F.array_sort(F.collect_list(F.struct("pos", item.alias("i"))))
                                         .alias("t")))
     langs = language_histogram(r.select("owner_login", "primary_language"), "owner_login", as_text=False)
-    skills = topic_skills(r.select("owner_login", "topics"), "owner_login")
+    skills = topic_skills(r.select("owner_login", "topics"), "owner_login", top_skills)
     out = (sums.join(top, "owner_login", "left").join(langs, "owner_login", "left")
                .join(skills, "owner_login", "left"))
     total = sum((F.col(f"{c}_score") for c in categories), F.lit(0.0))

@@ -70,27 +70,58 @@ def region_members(board: DataFrame, patterns=D.BAY_AREA_PATTERNS) -> DataFrame:
     return board.where(in_region("location", patterns))
 
 
-# W1 ----------------------------------------------------------------------------------
+# W1 / W2 -----------------------------------------------------------------------------
+def _after(key: dict, score: str = "total_score", name: str = "username") -> Column:
+    """Rows that come after the row with this key in ``score_order``."""
+    s = F.col(score).cast("float")
+    at = F.lit(key["s"]).cast("float")
+    return (s < at) | ((s == at) & (F.col(name) > F.lit(key["u"])))
+
+
+def _last_key(df: DataFrame, n: int) -> dict | None:
+    """The key of the n-th row in ``score_order`` (of the last, if there are fewer)."""
+    top = df.select(F.col("total_score").cast("float").alias("s"), F.col("username").alias("u")).orderBy(
+        F.desc("s"), F.asc("u")).limit(n)
+    row = top.agg(F.max_by(F.struct("s", "u"), F.struct(-F.col("s"), F.col("u"))).alias("last"),
+                  F.count(F.lit(1)).alias("n")).first()
+    return None if not row["n"] else {"s": row["last"]["s"], "u": row["last"]["u"], "n": row["n"]}
+
+
+def ranked_candidates(board: DataFrame, wanted: Column, skip: int, take: int) -> DataFrame:
+    """Rank everyone by score, skip the first ``skip``, and of the ``wanted`` rows after
+    them take the first ``take``, each with its rank in the whole board.
+
+    The board is not sorted as a whole: the key at ``skip`` and the key of the last row
+    taken are two bounded top-n queries, and only the rows between them are ranked."""
+    from ..session import shared
+    board = shared(board, "board")
+    start = _last_key(board, skip) if skip else None
+    if skip and (start is None or start["n"] < skip):
+        return board.limit(0).withColumn("rnk", F.lit(0).cast("long"))
+    rest = board.where(_after(start)) if start else board
+    end = _last_key(rest.where(wanted), take)
+    if end is None:
+        return board.limit(0).withColumn("rnk", F.lit(0).cast("long"))
+    ranked = global_rank(rest.where(~_after(end)), score_order())
+    return ranked.withColumn("rnk", F.col("rnk") + skip).where(wanted)
+
+
 def enrich_candidates_global(board: DataFrame, skip: int = D.GLOBAL_SKIP,
                              take: int = D.GLOBAL_TAKE) -> DataFrame:
-    """Rank everyone, then rank > skip and a link; the first ``take`` by rank."""
-    ranked = global_rank(board, score_order())
-    return (ranked.where((F.col("rnk") > skip) & has_link())
-                  .orderBy("rnk").limit(take))
+    """Rank everyone, then rank > skip and a link; the first ``take`` by rank."""
+    return ranked_candidates(board, has_link(), skip, take)
 
 
-# W2 ----------------------------------------------------------------------------------
-def eligible(skip: int) -> Column:
+def eligible() -> Column:
     """F11, applied after the rank."""
-    return ((F.col("rnk") > skip) & has_link() & F.col("is_open_to_work").isNull()
+    return (has_link() & F.col("is_open_to_work").isNull()
             & ~F.coalesce(F.col("otw_permanent_failure"), F.lit(False)))
 
 
 def enrich_candidates_region(board: DataFrame, skip: int = D.REGION_SKIP,
                              take: int = D.REGION_TAKE, patterns=D.BAY_AREA_PATTERNS) -> DataFrame:
-    """Region filter first, rank inside the region, eligibility after the rank."""
-    ranked = global_rank(region_members(board, patterns), score_order())
-    return ranked.where(eligible(skip)).orderBy("rnk").limit(take)
+    """Region filter first, rank inside the region, eligibility after the rank."""
+    return ranked_candidates(region_members(board, patterns), eligible(), skip, take)
 
 
 # A13 / A14 ---------------------------------------------------------------------------

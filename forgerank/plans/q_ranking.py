@@ -236,7 +236,12 @@ def q_apply_outcomes_overwrite(spark, sf_dir):
 
 # Q5 ---------------------------------------------------------------------------------
 def _round(t: Tables, mode: str, cands):
-    res = outcomes(t, mode)
+    """Attempts of the candidates only, classified once; the resolved outcome goes along
+    with the row it is written to."""
+    from ..session import shared
+    cands = shared(cands, "candidates")
+    mine = t.attempts.join(cands.select("username"), "username", "left_semi")
+    res = shared(O.resolve_attempts(O.classify(mine, mode)), "outcomes")
     upd = (O.apply_outcomes if mode == "regional" else O.apply_outcomes_overwrite)(cands, res, as_of_col())
     out = upd.join(res.select("username", F.col("error_code").alias("outcome")), "username", "left")
     return rounded(out.select("username", "rnk", "total_score", "outcome", *STATE_OUT[1:]), "total_score")

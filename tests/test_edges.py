@@ -187,7 +187,7 @@ def test_rank_offsets_and_eligibility(spark):
                                   "username string, total_score double, linkedin string, "
                                   "is_open_to_work boolean, otw_permanent_failure boolean")
     ranked = R.global_rank(flags, R.score_order())
-    assert sorted(r[0] for r in ranked.where(R.eligible(0)).select("username").collect()) == ["a", "b"]
+    assert sorted(r[0] for r in ranked.where(R.eligible()).select("username").collect()) == ["a", "b"]
 
 
 def test_attempt_resolution(spark):
