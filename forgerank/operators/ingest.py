@@ -113,6 +113,14 @@ def parse_profile(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, bad
 
 
+def unreadable(landed: DataFrame, root: str, reason: str) -> DataFrame:
+    """Payloads that are no JSON, or whose ``root`` object is missing or null: the rows
+    that a parser gives nothing for, with the reason."""
+    body = F.try_parse_json("response")
+    there = F.coalesce(F.schema_of_variant(F.try_variant_get(body, f"$.{root}", "variant")).startswith("OBJECT"), F.lit(False))
+    return landed.where(~there).select("cache_key", F.when(body.isNull(), F.lit("not JSON")).otherwise(F.lit(reason)).alias("reason"))
+
+
 # ------------------------------------------------------------------ S3 repositories
 def _repo_node(prefix: str = "") -> Column:
     g = lambda c: F.col(prefix + c)

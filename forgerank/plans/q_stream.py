@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
+from ..functions import dictionaries as D
 from ..functions.columns import cust_login
 from ..operators import analysis as AN
 from ..operators import ingest as I
@@ -13,7 +16,7 @@ from ..sources import adapter as A
 from ..sources.tables import read_table
 from ..streaming.incremental import dedupe_requests, incremental_refresh, land_in_files, landing_files
 from .adapter_sql import cust, with_ctes
-from .q_analysis import Q4_CTES
+from .q_analysis import Q4_CTES, stage4_ctes
 from .q_ingest import REPO_PAYLOAD
 from .q_ops import NEWEST
 from .q_scoring import SCORE_EXPR
@@ -74,15 +77,39 @@ FULL_REFRESH_CTES = {
 }
 
 
+_STAGE4 = stage4_ctes()
+
+
+def _own_name(sql: str) -> str:
+    """The stage-4 SQL over the refreshed tables, its names kept apart from those above."""
+    sql = re.sub(rf"\b({'|'.join(_STAGE4)})\b(?=\s|$|,|\.|\))", r"z_\1", sql)
+    return sql.replace("a_repos", "k2").replace("a_prs", "sp")
+
+
+FULL_REFRESH_CTES["k2"] = """SELECT owner_login, name AS repo_name, stars, primary_language, topics FROM (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY payload_index DESC, full_name DESC) AS k FROM pfirst) WHERE k = 1"""
+FULL_REFRESH_CTES |= {f"z_{k}": _own_name(v) for k, v in _STAGE4.items()}
+FULL_REFRESH_CTES["z_out"] = ("SELECT owner_login, round(0.0 + " + " + ".join(
+    f"{c}_score" for c in D.CATEGORIES_SUBSTRING) + ", 4) AS analysis_score FROM z_sums")
+
+
 @register("full_refresh", with_ctes("""
-SELECT t.username, u.name, u.avatar_url, round(t.total_score, 4) AS total_score, t.n_repos, t.contribution_count
-FROM tt t JOIN a_users u ON t.username = u.username""", "a_users", "a_repos", "a_prs", "a_raw_prs",
+SELECT u.username, u.name, u.avatar_url, round(t.total_score, 4) AS total_score, t.n_repos, t.contribution_count,
+  round(t.total_score, 4) AS legacy_score, z.analysis_score
+FROM a_users u LEFT JOIN tt t ON t.username = u.username LEFT JOIN z_out z ON z.owner_login = u.username
+WHERE t.username IS NOT NULL OR z.owner_login IS NOT NULL""", "a_users", "a_repos", "a_prs", "a_raw_prs",
                                     extra=FULL_REFRESH_CTES))
 def q_full_refresh(spark, sf_dir):
-    """Q8: every user's profile, repository and merged-PR payloads parsed, upserted
-    and scored in one pass."""
+    """Q8: every user's profile, repository and merged-PR payloads parsed, upserted,
+    scored, synced and analysed; one row for each user with a score or an analysis."""
     t = Tables(spark, sf_dir)
     profiles = I.profile_payloads(t.users, F.col("social_accounts"))
     repos = I.repo_payloads(AN.user_repo_candidates(t.users, t.repos, t.prs))
     prs = I.pr_payloads(I.newest_prs_per_repo(t.raw_prs))
-    return rounded(full_refresh(profiles, repos, prs, A.as_of_col()), "total_score")
+    out = full_refresh(profiles, repos, prs, A.as_of_col())
+    board = (out["leaderboard"].select("username", "total_score")
+             .join(out["totals"].select("username", "n_repos", "contribution_count"), "username")
+             .join(out["legacy_users"].select("username", F.col("score").alias("legacy_score")), "username"))
+    analysed = out["analyses"].select("username", F.col("total_score").alias("analysis_score"))
+    rows = out["users"].select("username", "name", "avatar_url").join(board.join(analysed, "username", "full"), "username")
+    return rounded(rows, "total_score", "legacy_score", "analysis_score")

@@ -433,3 +433,29 @@ def test_skill_frequency_ties_and_case(spark):
     skills = S.top_skills_by_frequency(df).collect()[0]["skills"].split(",")
     # api and go in two repos each; the rest once, alphabetical; gamma's repo has no PRs
     assert skills == ["api", "go", "alpha", "beta", "zeta"]
+
+
+def test_unreadable_payloads_are_kept_apart(spark):
+    df = spark.createDataFrame([("a", "not json"), ("b", '{"user":null}'), ("c", '{"user":{}}'), ("d", None), ("e", "{}")],
+                               "cache_key string, response string")
+    got = dict(rows(I.unreadable(df, "user", "user not found"), "cache_key", "reason"))
+    assert got == {"a": "not JSON", "b": "user not found", "d": "not JSON", "e": "user not found"}
+
+
+def test_a_full_refresh_over_stored_tables(spark, as_of):
+    from forgerank.operators.refresh import full_refresh
+    land = lambda rs: spark.createDataFrame(rs, "cache_key string, response string")
+    prof = land([("u", '{"user":{"login":"u","name":"New"}}'), ("x", "broken")])
+    repo = land([("u", '{"user":{"repositories":{"nodes":[{"name":"r","owner":{"login":"u"},"stargazerCount":50,"pullRequests":{"totalCount":2}}]}}}'),
+                 ("y", '{"user":null}')])
+    prs = land([("u/r", '{"repository":{"pullRequests":{"nodes":[{"id":"1","author":{"login":"u"},"mergedAt":"2024-01-01T00:00:00.5Z"}]}}}')])
+    first = full_refresh(prof, repo, prs, as_of)
+    assert {(r.cache_key, r.payload) for r in first["quarantine"].collect()} == {("x", "profile"), ("y", "repos")}
+    board = first["leaderboard"].collect()
+    assert [(r.username, r.total_score) for r in board] == [("u", 25.0)]
+    assert first["legacy_users"].first()["score"] == 25.0 and first["analyses"].first()["username"] == "u"
+    old = {"analyses": first["analyses"].withColumn("username", F.lit("z")).withColumn("id", F.lit("z")),
+           "user_scores": first["user_scores"].withColumn("username", F.lit("z"))}
+    second = full_refresh(prof, repo, prs, as_of, old)
+    assert sorted(r.username for r in second["analyses"].collect()) == ["u", "z"]
+    assert sorted(r.username for r in second["user_scores"].collect()) == ["u", "z"]
