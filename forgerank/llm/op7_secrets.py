@@ -143,27 +143,31 @@ def redact(docs: DataFrame, spark: SparkSession, mask: str = "[REDACTED]") -> Da
     one) and ``n_chars`` counted anew in the rows that changed."""
     ledger = Ledger(spark, scratch_path(spark, "secret_ledger"))
     ledger.update(versions_of(docs, []))
-    found = by_blob(ledger.findings().where(F.col("rules") == VERSION))
+    # A span begins a new run unless it starts inside one before it. What stays is the text
+    # between the runs and after the last one.
+    before = Window.partitionBy("blob").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (ledger.findings().where(F.col("rules") == VERSION)
+             .withColumn("before", F.coalesce(F.max("end").over(before), F.lit(0))))
+    runs = spans.groupBy(F.col("blob").alias("__blob")).agg(
+        F.sort_array(F.collect_list(F.when(F.col("start") >= F.col("before"), F.struct("start", "before")))).alias("__runs"),
+        F.max("end").alias("__tail"))
     cols = docs.columns
     blob = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    # A span starts a new run unless it begins inside one before it; a run ends at its largest end.
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def step(acc, x):
-        gap = F.when(x["start"] >= acc["at"], F.concat(
-            F.substring(F.col("text"), acc["at"].cast("int") + 1, (x["start"] - acc["at"]).cast("int")), F.lit(mask)))
-        gap = F.when((acc["at"] > 0) & (x["start"] < acc["at"]), F.lit("")).otherwise(gap)
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.concat(acc["out"], gap).alias("out"))
-
-    masked = F.aggregate("__found", first, step, lambda acc: F.concat(
-        acc["out"], F.substring(F.col("text"), acc["at"].cast("int") + 1, F.length("text"))))
-    out = (docs.withColumn("__blob", blob)
-           .join(found.select(F.col("blob").alias("__blob"), F.col("found").alias("__found")), "__blob", "left")
-           .withColumn("__masked", F.when(F.col("__found").isNotNull(), masked)))
+    # Only rows that a rule may match meet the findings; the other texts stay where they lie.
+    maybe = F.coalesce(F.col("text").rlike(MAYBE), F.lit(False))
+
+    def piece(start, end):
+        return F.substring(F.col("text"), (start + 1).cast("int"), (end - start).cast("int"))
+
+    kept = F.concat(F.transform("__runs", lambda x: piece(x["before"], x["start"])),
+                    F.array(piece(F.col("__tail"), F.length("text"))))
+    out = (docs.where(maybe).withColumn("__blob", blob).join(runs, "__blob", "left")
+           .withColumn("__masked", F.when(F.col("__runs").isNotNull(), F.array_join(kept, mask))))
     new = {"text": F.coalesce("__masked", "text"),
            "n_chars": F.when(F.col("__masked").isNotNull(), F.length("__masked").cast("long")).otherwise(F.col("n_chars"))
            if "n_chars" in cols else None}
-    return out.select([new[c].alias(c) if new.get(c) is not None else F.col(f"`{c}`") for c in cols])
+    changed = out.select([new[c].alias(c) if new.get(c) is not None else F.col(f"`{c}`") for c in cols])
+    return changed.union(docs.where(~maybe))
 
 
 def _duck() -> str:
