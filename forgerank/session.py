@@ -78,4 +78,13 @@ def shared(df, name: str = "shared"):
     instead of recomputing the lineage."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def release(*frames) -> None:
+    """Deletes the files of ``shared`` frames that nothing will read any more."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
