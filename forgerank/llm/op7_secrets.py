@@ -33,8 +33,8 @@ def either_case(word: str) -> str:
 KEYWORDS = "|".join(either_case(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
 RULES = [
     ("assign", rf"({KEYWORDS})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
-    ("access", r"AKIA[A-Z0-9]+", 0, 20),
-    ("hex", r"[0-9a-f]+", 0, 24),
+    ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),  # least lengths inside the pattern where what
+    ("hex", r"[0-9a-f]{24,}", 0, 24),  # is too short cannot hide a longer match
 ]
 MAYBE = rf"(?:{KEYWORDS})[\"']?\x20*[:=]|AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}}"
 VERSION = "2026-1"
@@ -172,7 +172,9 @@ def redact(docs: DataFrame, spark: SparkSession, mask: str = "[REDACTED]") -> Da
 
 def _duck() -> str:
     parts = []
-    for no, (_, pattern, group, least) in enumerate(RULES):
+    plain = {"access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+"}
+    for no, (name, pattern, group, least) in enumerate(RULES):
+        pattern = plain.get(name, pattern)
         p = "'" + pattern.replace("'", "''").replace('\\"', '"') + "'"
         parts.append(f"""SELECT rid, {no} AS kind, unnest(range(len(regexp_extract_all(t, {p}, 0)) + 1)) AS i,
             unnest(regexp_extract_all(t, {p}, 0)) AS m, unnest(regexp_extract_all(t, {p}, {group})) AS g,
