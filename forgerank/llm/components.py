@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared
+from ..session import release, shared
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -34,7 +34,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
                  .union(low.select("a", F.col("m").alias("b")))).distinct()
-        cur = shared(small, "edges")
+        last, cur = cur, shared(small, "edges")
+        release(last)
         now = _state(cur)
         if now == state:
             break

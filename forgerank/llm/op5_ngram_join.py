@@ -8,8 +8,10 @@ A set of n shingles that is similar enough to another shares one of its first
 n - ceil(0.8 n) + 1 shingles with the other's, whatever global order both are sorted in.
 So a pair is a candidate only if it shares a prefix shingle under all of three orders:
 the first, by which the postings are joined, puts frequent shingles last; the other two
-are independent pseudo-random orders and are tested on the pairs that the first leaves.
-Length and position bounds prune as well. Survivors are verified on their whole sets.
+are independent pseudo-random orders and are tested, by the number of shingles that the
+prefixes must then share, on the pairs that the first leaves. Length and position bounds
+prune as well, and so do parity signatures of the sets: sets that differ in d shingles
+differ in at most d bits. Only survivors have their whole sets fetched and verified.
 
 Frequencies only shape the first order (any order gives the same links): each task
 reports shingles met in ``COMMON`` or more documents of a slice, and the
@@ -17,7 +19,8 @@ reports shingles met in ``COMMON`` or more documents of a slice, and the
 
 Groups of copies never turn into all pairs. Documents with equal sets are one node for
 the join, linked by their set's digest. In the first round a posting list gives each of
-its documents one pair, with the list's first document of a compatible size; verified
+its documents two pairs, with the list's first document of a compatible size and with the
+one before it by size; verified
 links are joined into components. In the second round only pairs of documents that are
 still in different components and not yet verified are formed. The links left out would
 all lie within a component, so the components are exact.
@@ -38,17 +41,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import shared
-from .common import U64, lower_ascii, mix, row_slices, table, text_buffer, word_bounds, word_hashes
+from ..session import release, shared
+from .common import U64, filtered, id_filter, lower_ascii, mix, row_slices, table, text_buffer, word_bounds, word_hashes
 from .components import components
 
 SIZE = 5
 PERCENT = 80
-COMMON = 6
+COMMON = 4
 COMMON_KEPT = 1 << 17
 ORDERS = 3
-NODE_BITS = 22  # of the filter of ids whose sets are wanted
-SLICE = 4 << 20
+SIGNATURE = 512  # bits at least
+SLICE = 1 << 20
 
 _ORDER = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _PLACE = [U64(x) for x in (0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03, 0x139408DCBBF7A44F,
@@ -90,27 +93,36 @@ def random_prefix(s: np.ndarray, order: int) -> np.ndarray:
     return s[np.argpartition(rank, p - 1)[:p]] if p < len(s) else s
 
 
+def signature(s: np.ndarray) -> np.ndarray:
+    """Parity bits of a set, as 64-bit integers: two sets that differ in d shingles differ in
+    at most d bits. There are two to four bits a shingle, a power of two, so that a long
+    signature folds onto one of half its length."""
+    bits = max(SIGNATURE, 1 << (2 * len(s) - 1).bit_length())
+    odd = np.bincount((mix(s) & U64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def _digests(docs: DataFrame) -> DataFrame:
-    """Rows of documents (doc_id, n, key) and, with a null key, of common shingles (token, n)."""
+    """Rows of documents (doc_id, n, key, sig) and, with a null key, of common shingles (token, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n", "key", "token"]
+        names, kind = ["doc_id", "n", "key", "sig", "token"], pa.list_(pa.int64())
         for whole in batches:
             for batch in row_slices(whole, SLICE):
                 sets = shingle_sets(batch.column("text"))
                 keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else b"" for s in sets]
                 rows = len(sets)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(keys, pa.binary()), pa.nulls(rows, pa.int64())], names=names)
+                    [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
+                     pa.array([signature(s) if len(s) else None for s in sets], kind), pa.nulls(rows, pa.int64())], names=names)
                 distinct = dict(zip(keys, sets))  # copies in the slice count once
                 token, n = np.unique(np.concatenate([*distinct.values(), np.zeros(0, U64)]), return_counts=True)
                 token, n = token[n >= COMMON], n[n >= COMMON]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(token), pa.int64()), pa.array(n.astype(np.int64)),
-                     pa.nulls(len(token), pa.binary()), pa.array(token.view(np.int64))], names=names)
+                    [pa.nulls(len(token), pa.int64()), pa.array(n.astype(np.int64)), pa.nulls(len(token), pa.binary()),
+                     pa.nulls(len(token), kind), pa.array(token.view(np.int64))], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, key binary, token long")
+    return docs.mapInArrow(run, "doc_id long, n long, key binary, sig array<long>, token long")
 
 
 def _postings(docs: DataFrame, common) -> DataFrame:
@@ -146,45 +158,65 @@ def _postings(docs: DataFrame, common) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, s, o1, o2): set and prefixes of the other orders, for the ids (column ``id``).
-    A fixed-size bit filter of the ids is tested before texts are cut into shingles."""
-    top = (1 << NODE_BITS) - 1
-    place = F.xxhash64("id").bitwiseAND(F.lit(top)).cast("int")
-    got = ids.select(place.alias("p")).distinct().toArrow().column("p").to_numpy()  # at most 2**NODE_BITS
-    bits = np.zeros(1 << NODE_BITS, bool)
-    bits[got] = True
-    known = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
-    place = F.xxhash64("doc_id").bitwiseAND(F.lit(top)).cast("int")
+    """(doc_id, s) for the ids (column ``id``). Texts are cut only where the id passes a
+    fixed-size bit filter."""
+    docs = filtered(docs.where("doc_id is not null").select("doc_id", "text"), id_filter(ids, "id"), "doc_id", True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ok = np.unpackbits(known.value).view(bool)
-        for whole in batches:
-            wanted = ok[whole.column("p").to_numpy(zero_copy_only=False)]
-            for batch in row_slices(whole.filter(pa.array(wanted)), SLICE):
-                sets = shingle_sets(batch.column("text"))
-                cols = [sets, *[[random_prefix(s, k) if len(s) else s for s in sets] for k in range(1, ORDERS)]]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), *[pa.array([s.view(np.int64) for s in c], pa.list_(pa.int64())) for c in cols]],
-                    names=["doc_id", "s", "o1", "o2"])
+        for group in batches:
+            for batch in row_slices(group, SLICE):
+                sets = [s.view(np.int64) for s in shingle_sets(batch.column("text"))]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))],
+                                                 names=["doc_id", "s"])
 
-    found = docs.where("doc_id is not null").select("doc_id", "text", place.alias("p")).mapInArrow(
-        run, "doc_id long, s array<long>, o1 array<long>, o2 array<long>")
+    found = docs.mapInArrow(run, "doc_id long, s array<long>")
     return found.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose prefixes meet under the other orders and whose sets are similar."""
-    pairs = shared(pairs, "candidate_pairs")
-    ids = shared(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidate_ids")
-    sets = shared(_sets_of(docs, ids), "candidate_sets")
+def _with_both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    for x in ("a", "b"):
+        pairs = pairs.join(sets.select(*[F.col(c).alias(x if c == "doc_id" else f"{c}{x}") for c in sets.columns]), x)
+    return pairs
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough. The other orders are tried first: sets
+    that share ``least`` shingles share in their prefixes all but those that lie beyond,
+    so a prefix pair that shares fewer settles it without the whole sets."""
+    least = -(-PERCENT * (len(a) + len(b)) // (100 + PERCENT))
+    beyond = max(len(a) - prefix_length(len(a)), len(b) - prefix_length(len(b)))
+    for k in range(1, ORDERS):
+        shared_ = len(np.intersect1d(random_prefix(a, k), random_prefix(b, k), assume_unique=True))
+        if shared_ < max(1, least - beyond):
+            return False
+    inter = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * inter >= PERCENT * (len(a) + len(b) - inter)
+
+
+def _verified(docs: DataFrame, signatures: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the signatures and the other orders leave and whose whole sets
+    are similar. Similar sets differ in at most a ninth of their sizes' sum."""
+    def half(x):  # the other side's set is a little smaller and its signature half as long
+        n = (F.size(x) / 2).cast("int")
+        return F.zip_with(F.slice(x, 1, n), F.slice(x, n + 1, n), lambda p, q: p.bitwiseXOR(q))
+
+    a = F.when(F.size("siga") > F.size("sigb"), half("siga")).otherwise(F.col("siga"))
+    b = F.when(F.size("sigb") > F.size("siga"), half("sigb")).otherwise(F.col("sigb"))
+    apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    near = _with_both(pairs, signatures).where(_sizes_fit("na", "nb")).where(((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("na") + F.col("nb"))))
+    near = shared(near.select("a", "b").distinct(), "near_pairs")
+    ids = shared(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near_ids")
+    sets = shared(_sets_of(docs, ids), "near_sets")
 
-    def side(x):
-        return sets.select(F.col("doc_id").alias(x), *[F.col(c).alias(f"{c}{x}") for c in ("s", "o1", "o2")])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = [similar(a.view(np.uint64), b.view(np.uint64)) for a, b in zip(
+                batch.column("sa").to_numpy(zero_copy_only=False), batch.column("sb").to_numpy(zero_copy_only=False))]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    inter = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - inter
-    ok = (F.arrays_overlap("o1a", "o1b") & F.arrays_overlap("o2a", "o2b") & (100 * inter >= PERCENT * union))
-    return shared(pairs.join(side("a"), "a").join(side("b"), "b").where(ok).select("a", "b").distinct(), "links")
+    links = shared(_with_both(near, sets).select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct(), "links")
+    release(near, ids, sets)
+    return links
 
 
 def _sizes_fit(a: str, b: str):
@@ -196,7 +228,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
     digests = shared(_digests(docs), "shingle_digests")
-    rows = digests.where("key is not null")
+    rows = digests.where("key is not null").drop("token")
+    signatures = rows.where("doc_id is not null and n > 0").select("doc_id", "n", "sig")
 
     # Frequent shingles, most frequent last in the first order.
     top = (digests.where("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
@@ -214,16 +247,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lists = _postings(docs, common).withColumn("size", (F.log("n") * 1e6).cast("long"))
     by_token = Window.partitionBy("token")
     fitting = by_token.orderBy("size").rangeBetween(-223200, 0)  # 10**6 * log(100 / PERCENT), rounded up
-    lists = (lists.withColumn("first", F.min(F.struct("size", "doc_id", "n")).over(fitting))
+    before = F.lag(F.struct("doc_id", "n")).over(by_token.orderBy("size", "doc_id"))
+    lists = (lists.withColumn("prev", before).withColumn("first", F.min(F.struct("size", "doc_id", "n")).over(fitting))
              .withColumn("low", F.min("doc_id").over(by_token)).withColumn("high", F.max("doc_id").over(by_token)))
     lists = shared(lists.where("low <> high").select(
-        "token", "n", "place", "doc_id", F.col("first.doc_id").alias("lead"), F.col("first.n").alias("lead_n")),
-        "posting_lists")
+        "token", "n", "place", "doc_id", F.col("first.doc_id").alias("lead"), F.col("first.n").alias("lead_n"),
+        F.col("prev.doc_id").alias("prev"), F.col("prev.n").alias("prev_n")), "posting_lists")
 
-    pairs = (lists.where("lead <> doc_id").where(_sizes_fit("n", "lead_n"))
-             .select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct())
+    mates = F.array(F.struct(F.col("lead").alias("a"), F.col("lead_n").alias("m")),
+                    F.struct(F.col("prev").alias("a"), F.col("prev_n").alias("m")))
+    pairs = (lists.select("n", F.col("doc_id").alias("b"), F.inline(mates)).where("a <> b").where(_sizes_fit("n", "m"))
+             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     tried = shared(pairs, "first_pairs")
-    links = _verified(docs, tried).union(equal)
+    links = _verified(docs, signatures, tried).union(equal)
     parts = shared(components(links, "a", "b"), "components")
 
     # What the first round leaves: pairs across components.
@@ -232,15 +268,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     part = (part.withColumn("low", F.min("c").over(by_token)).withColumn("high", F.max("c").over(by_token))
             .where("low <> high").drop("low", "high"))
     part = shared(part, "open_lists")
+    release(lists)
     x = part.select("token", *[F.col(c).alias(f"{c}_a") for c in ("n", "place", "doc_id", "c")])
     y = part.select("token", *[F.col(c).alias(f"{c}_b") for c in ("n", "place", "doc_id", "c")])
     reach = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     need = (100 + PERCENT) * reach >= PERCENT * (F.col("n_a") + F.col("n_b"))
     more = (x.join(y, "token").where("c_a <> c_b and (n_a < n_b or (n_a = n_b and doc_id_a < doc_id_b))")
             .where(_sizes_fit("n_a", "n_b")).where(need)
-            .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct())
-    both = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = _verified(docs, more.join(both, ["a", "b"], "left_anti"))
+            .select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct())
+    more = _verified(docs, signatures, more.join(tried, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         tops = parts.withColumnRenamed("id", "x")
 

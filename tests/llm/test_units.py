@@ -112,6 +112,17 @@ def test_shingle_prefixes_leave_all_links():
                 assert len(shared) >= max(1, least - beyond)
 
 
+def test_signatures_never_differ_in_more_bits_than_sets_in_shingles():
+    r = np.random.default_rng(6)
+    for n in (1, 5, 255, 257, 300, 4000):
+        a = np.unique(r.integers(0, 1 << 60, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[n // 10:], r.integers(0, 1 << 60, n // 7).astype(np.uint64)]))
+        x, y = (np.unpackbits(op5_ngram_join.signature(s).view(np.uint8)) for s in (a, b))
+        while len(x) != len(y):
+            x, y = (z[:len(z) // 2] ^ z[len(z) // 2:] if len(z) == max(len(x), len(y)) else z for z in (x, y))
+        assert (x != y).sum() <= len(np.setxor1d(a, b))
+
+
 def test_large_group_of_near_copies(spark):
     r = random.Random(5)
     base = [f"w{r.randint(0, 9999)}" for _ in range(80)]
