@@ -9,8 +9,8 @@ n - ceil(0.8 n) + 1 shingles with the other's, whatever global order both are so
 So a pair is a candidate only if it shares a prefix shingle under all of three orders:
 the first, by which the postings are joined, puts frequent shingles last; the other two
 are independent pseudo-random orders and are tested, by the number of shingles that the
-prefixes must then share, on the pairs that the first leaves. Length and position bounds
-prune as well, and so do parity signatures of the sets: sets that differ in d shingles
+prefixes must then share, on the pairs that the first leaves. Length bounds prune as
+well, and so do parity signatures of the sets: sets that differ in d shingles
 differ in at most d bits. Only survivors have their whole sets fetched and verified.
 
 Frequencies only shape the first order (any order gives the same links): each task
@@ -126,8 +126,8 @@ def _digests(docs: DataFrame) -> DataFrame:
 
 
 def _postings(docs: DataFrame, common) -> DataFrame:
-    """(token, n, place, doc_id) for the first order's prefix of every document; of
-    documents with equal sets in a task, the first one's."""
+    """(token, n, doc_id) for the first order's prefix of every document; of documents with
+    equal sets in a task, the first one's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, level = common.value
@@ -148,13 +148,13 @@ def _postings(docs: DataFrame, common) -> DataFrame:
                         rank = np.where(token[at] == s, rank | (level[at] << U64(46)), rank)
                     p = prefix_length(len(s))
                     picked = np.argsort(rank, kind="stable")[:p]
-                    out.append((s[picked], np.full(p, len(s)), np.arange(p), np.full(p, doc)))
+                    out.append((s[picked], np.full(p, len(s)), np.full(p, doc)))
                 cols = [np.concatenate([o[k] for o in out] or [np.zeros(0)]).astype(np.uint64 if k == 0 else np.int64)
-                        for k in range(4)]
+                        for k in range(3)]
                 yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cols],
-                                                 names=["token", "n", "place", "doc_id"])
+                                                 names=["token", "n", "doc_id"])
 
-    return docs.mapInArrow(run, "token long, n long, place long, doc_id long")
+    return docs.mapInArrow(run, "token long, n long, doc_id long")
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -251,7 +251,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lists = (lists.withColumn("prev", before).withColumn("first", F.min(F.struct("size", "doc_id", "n")).over(fitting))
              .withColumn("low", F.min("doc_id").over(by_token)).withColumn("high", F.max("doc_id").over(by_token)))
     lists = shared(lists.where("low <> high").select(
-        "token", "n", "place", "doc_id", F.col("first.doc_id").alias("lead"), F.col("first.n").alias("lead_n"),
+        "token", "n", "doc_id", F.col("first.doc_id").alias("lead"), F.col("first.n").alias("lead_n"),
         F.col("prev.doc_id").alias("prev"), F.col("prev.n").alias("prev_n")), "posting_lists")
 
     mates = F.array(F.struct(F.col("lead").alias("a"), F.col("lead_n").alias("m")),
@@ -264,18 +264,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # What the first round leaves: pairs across components.
     part = lists.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "token", "n", "place", "doc_id", F.coalesce("component", "doc_id").alias("c"))
+        "token", "n", "doc_id", F.coalesce("component", "doc_id").alias("c"))
     part = (part.withColumn("low", F.min("c").over(by_token)).withColumn("high", F.max("c").over(by_token))
             .where("low <> high").drop("low", "high"))
     part = shared(part, "open_lists")
     release(lists)
-    x = part.select("token", *[F.col(c).alias(f"{c}_a") for c in ("n", "place", "doc_id", "c")])
-    y = part.select("token", *[F.col(c).alias(f"{c}_b") for c in ("n", "place", "doc_id", "c")])
-    reach = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    need = (100 + PERCENT) * reach >= PERCENT * (F.col("n_a") + F.col("n_b"))
-    more = (x.join(y, "token").where("c_a <> c_b and (n_a < n_b or (n_a = n_b and doc_id_a < doc_id_b))")
-            .where(_sizes_fit("n_a", "n_b")).where(need)
-            .select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct())
+    # A pair's shared prefix shingles are all in open lists; as for the other orders, they must
+    # be at least ``least`` minus what lies beyond the prefixes.
+    x = part.select("token", *[F.col(c).alias(f"{c}_a") for c in ("n", "doc_id", "c")])
+    y = part.select("token", *[F.col(c).alias(f"{c}_b") for c in ("n", "doc_id", "c")])
+    least = F.expr(f"({PERCENT} * (n_a + n_b) + {99 + PERCENT}) div {100 + PERCENT}")
+    beyond = F.expr(f"({PERCENT} * greatest(n_a, n_b) + 99) div 100") - 1
+    more = (x.join(y, "token").where("c_a <> c_b and doc_id_a < doc_id_b").where(_sizes_fit("n_a", "n_b"))
+            .groupBy("doc_id_a", "n_a", "doc_id_b", "n_b").agg(F.count(F.lit(1)).alias("k"))
+            .where(F.col("k") >= least - beyond)
+            .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct())
     more = _verified(docs, signatures, more.join(tried, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         tops = parts.withColumnRenamed("id", "x")
