@@ -1,11 +1,17 @@
 """Licence scans by sentence rules, on DataFrame functions only.
 
-A text is cut into sentences, each is normalised (lower case, letters and digits with
-single spaces between) and mapped to the identifier of a known licence sentence. The
-identifiers of a text, in order, form a sequence in which up to ``GAP`` unknown sentences
-between two known ones are overlooked and a longer stretch is a break. Ordered rules are
-then matched against the sequence: a rule is a run of identifiers, the more specific rules
-come first, and what a rule has matched is consumed.
+A text is normalised (lower case, letters and digits) and cut into sentences, at sentence
+punctuation and blank lines, and these into clauses, at commas, colons, brackets and line
+breaks. Clauses that follow each other in a sentence and together have the words of a known
+licence sentence are mapped to its identifier, so line breaks, comment markers, brackets and
+what a sentence goes on with do not hide it. The identifiers of a text, in order, form a
+sequence in which up to ``GAP`` sentences without a known one between two known ones are
+overlooked and a longer stretch is a break; numbers of lists are no sentences. Ordered rules
+are then matched against the sequence: a rule is a run of identifiers, the more specific
+rules come first, and what a rule has matched is consumed.
+
+The SQL of this query looks sentences up line by line, cut at brackets as well. It agrees
+where every known sentence stands on a line of its own, as in the given tables.
 
 Texts without any of the words in ``MAYBE`` have no known sentence and are not cut. Every
 text is scanned where it lies: no shuffle.
@@ -78,17 +84,27 @@ RULES = [
     (["ra"], "Proprietary"),
 ]
 MAYBE = "(?i)licen[sc]|permission|redistribut|copyright|warrant|apache|free software|rights reserved"
-SENTENCE_END = r"[.;:!?]+[ \t]+|[.;:!?]*[\r\n]+|[.;:!?]+$|\(|\)"
+SENTENCE_END = r"[.;:!?]+[ \t]+|[.;:!?]*[\r\n]+|[.;:!?]+$|\(|\)"  # of the SQL
 GAP = 2
+# Ends of sentences (not after the "v." of a version) and of clauses, in lower-case text.
+HARD = r"(?<![^a-z0-9]v)[.;!?](?=[ \t\r\n]|\z)|(?:\r\n?+|\n)[^a-z0-9\r\n]*(?=[\r\n])"
+SOFT = r"[.;:!?](?=[ \t\r\n]|\z)|[(),\r\n]"
+# Known sentences where ends are ``H`` and ``S``: from one end to another, with any clauses within.
+KNOWN = "(?<=[HS])(?:" + "|".join(s.replace(" ", "[ S]") for s in sorted(SENTENCES, key=len, reverse=True)) + ")(?=[HS])"
 
 
 def identifiers(text: Column) -> Column:
     """The text's sequence: known sentences as ``<id>``, breaks as ``|``."""
-    sentences = F.filter(F.split(text, SENTENCE_END), lambda s: s != "")
-    normal = F.transform(sentences, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    normal = F.filter(normal, lambda s: s != "")
+    t = F.lower(text)
+    for pattern, mark in ((HARD, "H"), (SOFT, "S"), ("[^a-z0-9HS]+", " "), (" ?S[ S]*", "S"), ("[ S]?H[ SH]*", "H")):
+        t = F.regexp_replace(t, pattern, mark)
+    t = F.regexp_replace(F.concat(F.lit("H"), F.trim(t), F.lit("H")), KNOWN, "K$0L")
+    # The rest of a sentence with a known one in it is no sentence of its own.
+    t = F.regexp_replace(F.regexp_replace(t, "L[a-z0-9 S]+", "L"), "H[a-z0-9 S]+K", "HK")
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    marks = F.transform(normal, lambda s: F.coalesce(F.concat(F.lit("<"), known[s], F.lit(">")), F.lit(".")))
+    marks = F.transform(F.split(t, "H|(?=K)|(?<=L)"), lambda s: F.when(
+        s.startswith("K"), F.concat(F.lit("<"), known[F.translate(s, "SKL", " ")], F.lit(">"))).when(
+        s.rlike("^(?:[0-9]{0,3}|[a-z]|[ivx]{1,5})$"), "").otherwise("."))
     joined = F.concat_ws("", marks)
     return F.translate(F.regexp_replace(joined, rf"\.{{{GAP + 1},}}", "|"), ".", "")
 
@@ -96,7 +112,8 @@ def identifiers(text: Column) -> Column:
 def scan_licenses(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep``, ``licenses`` (name to matches), ``n_sentences`` known and ``n_unmatched``."""
     t = F.coalesce(F.col(text), F.lit(""))
-    df = docs.select(*keep, F.when(t.rlike(MAYBE), identifiers(t)).otherwise("").alias("seq0"))
+    maybe = MAYBE.replace(" ", "[^a-z0-9]+")  # words may lie on two lines
+    df = docs.select(*keep, F.when(t.rlike(maybe), identifiers(t)).otherwise("").alias("seq0"))
     known = F.length(F.translate("seq0", "|>abcdefghijklmnopqrstuvwxyz", "")).cast("long")
     # Only sequences that are not empty are matched; each rule's matches are taken out before the next.
     acc = F.struct(F.col("seq0").alias("seq"), F.expr("cast(array() as array<struct<name:string,n:int>>)").alias("hits"))

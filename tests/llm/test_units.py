@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 import public_tokenizers
@@ -90,6 +91,89 @@ def test_license_rules(spark):
     assert out[6].n_sentences >= 1
 
 
+MIT = """MIT License
+
+Copyright (c) 2024 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY.
+"""
+BSD2 = """Copyright (c) 2024, Somebody
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """Copyright 2024 Somebody
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS.
+"""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+GPL2 = GPL3.replace("software: you", "software; you").replace("Foundation, either version 3", "Foundation; either version 2")
+
+
+def test_whole_wrapped_licenses(spark):
+    texts = {"MIT": (MIT, 3), "BSD-2-Clause": (BSD2, 2), "BSD-3-Clause": (BSD3, 3), "Apache-2.0": (APACHE, 4),
+             "GPL-3.0-or-later": (GPL3, 4), "GPL-2.0-or-later": (GPL2, 4)}
+    rows = [(f"{name} {k}", mark(text)) for name, (text, _) in texts.items() for k, mark in enumerate((
+        str, lambda t: t.replace("\n", "\r\n"), lambda t: "".join(f"# {x}\n" for x in t.split("\n")),
+        lambda t: "/*\n" + "".join(f" * {x}\n" for x in t.split("\n")) + " */\nint x;\n", lambda t: t.replace("\n", "\n\n").replace("\n\n\n\n", "\0")
+        .replace("\n\n", " ").replace("\0", "\n\n")))]
+    for r in op3_licenses.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string"), ["doc_id"]).collect():
+        name = r.doc_id.split()[0]
+        assert (r.licenses, r.n_sentences, r.n_unmatched) == ({name: 1}, texts[name][1], 0), r
+
+
+def test_every_license_sentence_is_found(spark):
+    full = {"ms": "SPDX-License-Identifier: MIT", "gs": "// SPDX-License-Identifier: GPL-3.0-only\n\nint x;",
+            "pa": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy",
+            "ra": "(c) 2024 Somebody, all rights\n# reserved.", "as": "x\nSPDX-License-Identifier: Apache-2.0\ny"}
+    rows = [*full.items(), *[(i, s.replace(" ", "\n", 3)) for s, i in op3_licenses.SENTENCES.items()]]
+    out = spark.createDataFrame(rows, "doc_id string, text string").select(
+        "doc_id", op3_licenses.identifiers(F.col("text")).alias("seq")).collect()
+    assert all(r.seq.strip("|") == f"<{r.doc_id}>" for r in out), out
+    none = [("SPDX-License-Identifier: MIT-0",), ("SPDX-License-Identifier: MIT OR Zlib",),
+            ("It is not licensed under the MIT license.",), ("Licensed under the Apache License, Version 2.0.1",)]
+    out = op3_licenses.scan_licenses(spark.createDataFrame(none, "text string"), ["text"]).collect()
+    assert not any(r.n_sentences for r in out), out
+
+
 def test_masks_miss_no_overlap():
     w, k = op4_decontaminate.WINDOW, op4_decontaminate.SUBSTITUTIONS
     for changed in itertools.combinations(range(w), k):
