@@ -305,6 +305,32 @@ def test_repeats_at_all_kinds_of_places(spark):
     assert got == sorted(brute.op8(rows))
 
 
+def test_many_contexts_of_one_gram_are_not_one_group(spark, monkeypatch):
+    r = random.Random(5)
+    word = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    p, q = word(450), word(390)
+    rows = [{"doc_id": k, "text": word(r.randint(0, 250)) + (p[r.randint(0, 30):] if k % 3 else q) + word(r.randint(0, 450))}
+            for k in range(60)]
+    rows += [{"doc_id": k, "text": t} for k, t in ((60, rows[0]["text"]), (61, p), (62, p + "x"), (63, q), (64, word(9) + q + word(9)))]
+    rows += [{"doc_id": 65 + k, "text": rows[1]["text"]} for k in range(9)]
+    groups, spans = [], op8_suffix_dedup._spans
+
+    def watched(contexts, length):
+        groups.extend(x["count"] for x in contexts.groupBy("gram").count().collect())
+        return spans(contexts, length)
+
+    docs = spark.createDataFrame([(x["doc_id"], x["text"]) for x in rows], "doc_id long, text string")
+    want = sorted(brute.op8(rows))
+    for most in (1000, 7, 1):
+        monkeypatch.setattr(op8_suffix_dedup, "HOT", most)
+        monkeypatch.setattr(op8_suffix_dedup, "_spans", watched)
+        groups.clear()
+        out = op8_suffix_dedup.remove_repeats(docs)
+        got = sorted((x.doc_id, x.n_bytes, sum(s.b - s.a for s in x.spans), len(x.spans), brute.sha(bytes(x.kept))) for x in out.collect())
+        assert got == want, most
+        assert max(groups, default=0) <= most, most
+
+
 def test_thresholds_follow_the_source(spark):
     plain = "the plain words of a page go on and on without any mark number {}"
     code = "a | b | c | d # e # f # g * h * i {} | j | k | l | m | n"
