@@ -6,12 +6,13 @@ documents link when their sets' Jaccard similarity is at least ``PERCENT`` / 100
 
 A set of n shingles that is similar enough to another shares one of its first
 n - ceil(0.8 n) + 1 shingles with the other's, whatever global order both are sorted in.
-So a pair is a candidate only if it shares a prefix shingle under all of three orders:
-the first, by which the postings are joined, puts frequent shingles last; the other two
-are independent pseudo-random orders and are tested, by the number of shingles that the
-prefixes must then share, on the pairs that the first leaves. Length bounds prune as
-well, and so do parity signatures of the sets: sets that differ in d shingles
-differ in at most d bits. Only survivors have their whole sets fetched and verified.
+The first order, which puts frequent shingles last, makes the candidates: its prefixes are the
+postings that are joined. What prunes these before any set is moved are length bounds and
+parity signatures of the sets: sets that differ in d shingles differ in at most d bits.
+The pairs left have their whole sets fetched. The other two orders, independent and
+pseudo-random, are computed from those sets and tested, by the number of shingles that the
+prefixes must then share, right before the exact intersection: they save that, and neither
+candidates nor movement.
 
 Frequencies only shape the first order (any order gives the same links): each task
 reports shingles met in ``COMMON`` or more documents of a slice, and the
@@ -180,7 +181,7 @@ def _with_both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sorted sets are similar enough. The other orders are tried first: sets
+    """Whether two sorted whole sets are similar enough. The other orders are tried first: sets
     that share ``least`` shingles share in their prefixes all but those that lie beyond,
     so a prefix pair that shares fewer settles it without the whole sets."""
     least = -(-PERCENT * (len(a) + len(b)) // (100 + PERCENT))
@@ -194,8 +195,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _verified(docs: DataFrame, signatures: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that the signatures and the other orders leave and whose whole sets
-    are similar. Similar sets differ in at most a ninth of their sizes' sum."""
+    """The pairs (a, b) that the signatures leave and whose whole sets are similar. Similar sets differ in at most a ninth of their sizes' sum."""
     def half(x):  # the other side's set is a little smaller and its signature half as long
         n = (F.size(x) / 2).cast("int")
         return F.zip_with(F.slice(x, 1, n), F.slice(x, n + 1, n), lambda p, q: p.bitwiseXOR(q))
