@@ -2,8 +2,8 @@
 predecessor kept. Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but
 the last return the columns of ``documents``.
 
-Rows of ``docs`` are documents; rows with a null id cannot be told apart by the stages
-that decide by id, which keep them. Repeated rows with one id fall or stay together.
+Rows of ``docs`` are documents: the stages that drop rows decide by a key of each row, which
+is stored before they look at it, so rows with null or repeated ids are told apart.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgerank.llm import op1_bpe, op4_decontaminate, op5_ngram_join, op7_secrets, op10_classifier
-from forgerank.llm.common import table
-from forgerank.session import scratch_path
+from forgerank.llm.common import free_name, table
+from forgerank.session import scratch_path, shared
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,19 +23,36 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return scored.where("predicted = 1").select(cols)
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs``, stored with a key of each row, and the key's name."""
+    key = free_name(docs, "row_key")
+    return shared(docs.withColumn(key, F.monotonically_increasing_id()), "keyed_rows"), key
+
+
+def _without_rows(docs: DataFrame, key: str, drop: DataFrame) -> DataFrame:
+    """The rows whose key is not in ``drop``'s only column, without the key."""
+    drop = drop.toDF("__drop").distinct()
+    return docs.join(drop, docs[key] == F.col("__drop"), "left_anti").drop(key)
+
+
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (operator 5): the one with the smallest id."""
-    groups = op5_ngram_join.near_duplicates(docs)
-    drop = (groups.where("doc_id is not null and component_id <> doc_id")
-            .select(F.col("doc_id").alias("__drop")).distinct())
-    return docs.join(drop, docs["doc_id"] == F.col("__drop"), "left_anti")
+    """One row of each group of near-duplicates (operator 5): the one with the smallest id,
+    of several with this id or with none the first."""
+    docs, key = _keyed(docs)
+    groups = op5_ngram_join.near_duplicates(docs.select(F.col(key).alias("doc_id"), "text"))
+    groups = shared(groups.select(F.col("doc_id").alias("r"), F.col("component_id").alias("c")), "row_groups")
+    many = groups.where("r <> c").select("c").distinct()
+    rows = groups.join(many, "c", "left_semi").join(docs.select(F.col(key).alias("r"), "doc_id"), "r")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "r")
+    first = rows.groupBy("c").agg(F.min(rank).alias("first")).select("c", F.col("first.r").alias("stays"))
+    return _without_rows(docs, key, rows.join(first, "c").where("r <> stays").select("r"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no benchmark item overlaps with (operator 4)."""
-    found = op4_decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark"))
-    drop = found.select(F.col("doc_id").alias("__drop")).distinct()
-    return docs.join(drop, docs["doc_id"] == F.col("__drop"), "left_anti")
+    """Rows that no benchmark item overlaps with (operator 4)."""
+    docs, key = _keyed(docs)
+    found = op4_decontaminate.overlaps(docs.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return _without_rows(docs, key, found.select("doc_id"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

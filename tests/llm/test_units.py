@@ -378,3 +378,18 @@ def test_pipeline(spark, request, kind):
             have = sorted((r.doc_id or 0, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in after.collect())
             assert have == sorted((a or 0, *b) for a, *b in brute.op1(given))
         docs = after
+
+
+def test_pipeline_drops_by_row(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    r = random.Random(3)
+    word = lambda n: " ".join(r.choice("ox elm ash oak yew fir bay fig") + str(r.randint(0, 99)) for _ in range(n))
+    a, b, item = word(60), word(60), word(30)
+    rows = [(None, a), (None, a), (7, a), (8, b), (8, b), (8, item + " " + word(20)), (8, word(50)), (None, item), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted(map(str, ((x.doc_id, x.text) for x in pipeline.ngram_join(spark, docs, "").collect())))
+    assert out == sorted(map(str, [(7, a), (8, b), *rows[5:]]))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = sorted(map(str, ((x.doc_id, x.text) for x in pipeline.decontamination(spark, docs, str(tmp_path)).collect())))
+    assert out == sorted(map(str, [*rows[:5], rows[6], *rows[8:]]))
