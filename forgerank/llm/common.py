@@ -100,12 +100,13 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, first): byte bounds of the words ``[^\\x20\\x09-\\x0D]+`` of all
-    rows, and for row i its words at first[i]:first[i + 1]."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray, chars: np.ndarray = _WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first): byte bounds of the words of all rows, runs of the bytes that are
+    set in ``chars`` (``[^\\x20\\x09-\\x0D]+`` if not given), and for row i its words at
+    first[i]:first[i + 1]."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = _WORD[data]
+    inside = chars[data]
     before, after = np.empty_like(inside), np.empty_like(inside)
     before[0], before[1:] = False, inside[:-1]
     after[-1], after[:-1] = False, inside[1:]

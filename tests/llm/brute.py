@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import base64
+import bisect
 import collections
 import hashlib
+import math
 import re
 import struct
 import zlib
@@ -181,3 +183,79 @@ def op9(docs):
         out.append((d["doc_id"], len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t),
                     len(lines) - len(set(lines)), len(twice), len(w) < 10 or 100 * len(twice) > 20 * len(w)))
     return out
+
+
+def op11(rows):
+    by = collections.defaultdict(list)
+    for r in rows:
+        if r["conv_id"] is not None:
+            role, text = r["role"] or "", r["text"] or ""
+            digest = sha(f"{len(role.encode())}:{role}{text}")
+            by[r["conv_id"]].append(((r["turn"] is not None, r["turn"] or 0, role, digest), (role, text)))
+    own = {c: [t for _, t in sorted(x)] for c, x in by.items()}
+    built = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        built[c] = tuple(own.get(c - c % 100, [])[:h] + turns[h:])
+    members = collections.defaultdict(list)
+    for c, turns in built.items():
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(c)
+    kids, leaves, saved = collections.Counter(), collections.Counter(), collections.Counter()
+    for node in members:
+        if node:
+            kids[node[:-1]] += 1
+    for node, own_members in members.items():
+        gain = (len(own_members) - 1) * len(node[-1][1]) if node else 0
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += node not in kids
+            saved[node[:d]] += gain
+    return [(min(m), len(node), min(members[node[:-1]]) if node else None, len(m), kids[node], leaves[node], saved[node],
+             sha(",".join(str(c) for c in sorted(m) if built[c] == node))) for node, m in members.items()]
+
+
+RUNS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def op12(docs, items, buckets=10_000):
+    def features(text):
+        w = RUNS.findall((text or "").translate(LOWER))
+        return len(w), [zlib.crc32(" ".join(w[i:i + m]).encode()) % buckets for m in (1, 2, 3) for i in range(len(w) - m + 1)]
+
+    found = [(d["doc_id"], *features(d["text"])) for d in docs]
+    s, t = collections.Counter(b for *_, f in found for b in f), collections.Counter(b for i in items for b in features(i["text"])[1])
+    s_all, t_all = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (s_all + buckets) / ((s[b] + 1) * (t_all + buckets)))) for b in range(buckets)]
+    rows = []
+    for doc, n, f in found:
+        h = int(sha(f"42:{'' if doc is None else doc}")[:8], 16)
+        weight = sum(gain[b] for b in f)
+        rows.append((doc, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), n))
+    able = sorted((r for r in rows if r[4] >= 20), key=lambda r: (-r[3], r[0] is not None, r[0] or 0, r[1]))
+    drawn = 5 * len(able) // 100
+    return [(*r[:4], k + 1 if k < drawn else None) for k, r in enumerate(able)] + [(*r[:4], None) for r in rows if r[4] < 20]
+
+
+def op13(docs, capacity=4096):
+    """The pieces, without their places."""
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    out = []
+    for d in docs:
+        ids = [*library.encode(d["text"] or "", add_special_tokens=False).ids, 1]
+        for k, a in enumerate(range(0, len(ids), capacity)):
+            part = ids[a:a + capacity]
+            out.append((d["doc_id"], k, a, len(part), zlib.crc32(packed(part))))
+    return out
+
+
+def best_fit(lengths, capacity=4096):
+    """Sequences that best fit decreasing uses."""
+    gaps, n = [], 0
+    for s in sorted(lengths, reverse=True):
+        i = bisect.bisect_left(gaps, s)
+        if i == len(gaps):
+            n, g = n + 1, capacity
+        else:
+            g = gaps.pop(i)
+        bisect.insort(gaps, g - s)
+    return n

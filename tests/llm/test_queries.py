@@ -79,6 +79,33 @@ def test_quality_counts(spark, where):
           "n_dup_lines", "n_repeat_words", "base_failed")
 
 
+def test_prefix_trie(spark, where):
+    check(spark, "op11_prefix_trie", where, brute.op11(rows(where, "conversations")), "conv_id", "depth", "parent_conv_id",
+          "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def test_resample(spark, where):
+    check(spark, "op12_resample", where, brute.op12(rows(where, "documents"), rows(where, "benchmark")),
+          "doc_id", "n_features", "weight", "score", "rank")
+
+
+def test_packing(spark, where):
+    out = queries.QUERIES["op13_packing"](spark, where).collect()
+    want = brute.op13(rows(where, "documents"))
+    assert collections.Counter(tuple(r)[:5] for r in out) == collections.Counter(want)
+    by = collections.defaultdict(list)
+    for r in out:
+        by[r.sequence_id].append((r.offset, r.length))
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    best = brute.best_fit([w[3] for w in want])
+    assert best <= 1 + len(by) <= 2 + 1.005 * best
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql(spark, where, name):
     import duckdb
