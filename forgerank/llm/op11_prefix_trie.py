@@ -11,8 +11,13 @@ last turn; grouped by the last key that is left they give the level's nodes and,
 same aggregation, smallest member, members, children, leaves and saved code points of the
 subtree. Equal paths are one row from the level on where they meet, before any shuffle
 (partial aggregation), so a sequence that a third of all conversations share costs a row a
-task. Every level is written once and is the next one's input; there are as many levels as
-the longest conversation has turns.
+task. Every level is written once and is the next one's input.
+
+The ``SINGLE`` levels nearest to the root are peeled one by one. Below them most rows meet no other
+for many turns, so these levels are peeled in bands whose widths double: a row that shares
+no node of the band with another loses all its turns in the band at once, and where rows
+do meet, their band is halved until it is one level. So a conversation of n turns takes
+some log n steps, and only as many more as there are levels where sequences part.
 
 Held at once are one conversation's path (20 bytes a turn) and nothing else: the ids of
 the conversations that end in a node are sorted and hashed as a stream.
@@ -80,8 +85,75 @@ def paths(ids: DataFrame, turns: DataFrame) -> DataFrame:
         "conv_id", F.coalesce("path", F.array()).cast(PATH).alias("path"))
 
 
-def _key(depth: int, k: str):
-    return F.element_at("path", depth)[k] if depth > 0 else F.lit(0).cast("long")
+SINGLE = 8
+SUMS = ["n_convs", "n_children", "n_leaves", "saved"]
+NODE = "depth int, k1 long, k2 long, p1 long, p2 long, conv_id long, n_convs long, n_children long, n_leaves long, saved long"
+
+
+def _keys(depth: int) -> list:
+    """The key of the path's node at this depth; the root's is zero."""
+    return [F.element_at("path", depth)[k] if depth else F.lit(0).cast("long") for k in ("k1", "k2")]
+
+
+def _stripped(rows: DataFrame, depth: int) -> DataFrame:
+    """Finished rows as their nodes' parents at this depth see them."""
+    return rows.select("conv_id", F.slice("path", 1, depth).alias("path"), "n_convs", F.lit(1).cast("long").alias("n_children"),
+                       "n_leaves", "saved")
+
+
+def _level(rows: DataFrame, d: int) -> tuple[DataFrame, DataFrame]:
+    """(nodes, rows for the next level) of the rows at depth d, regrouped."""
+    k1, k2 = _keys(d)
+    level = rows.groupBy(k1.alias("k1"), k2.alias("k2")).agg(
+        F.min("conv_id").alias("conv_id"), *[F.sum(c).alias(c) for c in SUMS], F.first("path").alias("path"))
+    gain = (F.col("n_convs") - 1) * F.element_at("path", d)["size"] if d else F.lit(0)
+    done = shared(level.select(
+        "k1", "k2", "conv_id", "n_convs", "n_children",
+        F.when(F.col("n_children") == 0, 1).otherwise(F.col("n_leaves")).cast("long").alias("n_leaves"),
+        (F.col("saved") + gain).alias("saved"), "path"), "trie_level")
+    p1, p2 = _keys(d - 1) if d else [F.lit(None).cast("long")] * 2
+    nodes = done.select(F.lit(d).alias("depth"), "k1", "k2", p1.alias("p1"), p2.alias("p2"), "conv_id", *SUMS)
+    return nodes, _stripped(done, d - 1) if d else None
+
+
+def _alone(rows: DataFrame, lo: int) -> tuple[DataFrame, DataFrame]:
+    """(nodes, rows at depth ``lo``) of rows that share no node below ``lo`` with another."""
+    size = F.size("path")
+    leaves = F.when(F.col("n_children") == 0, 1).otherwise(F.col("n_leaves")).cast("long")
+
+    def saved(depth):  # what the turns from this depth to the path's end save
+        texts = F.aggregate(F.slice("path", depth, size - depth + 1), F.lit(0).cast("long"), lambda t, x: t + x["size"])
+        return F.col("saved") + (F.col("n_convs") - 1) * texts
+
+    each = rows.withColumn("depth", F.explode(F.sequence(F.lit(lo + 1), size)))
+    at, up = F.element_at("path", F.col("depth")), F.when(F.col("depth") > 1, F.element_at("path", F.greatest(F.col("depth") - 1, F.lit(1))))
+    nodes = each.select(
+        "depth", at["k1"].alias("k1"), at["k2"].alias("k2"), F.coalesce(up["k1"], F.lit(0)).alias("p1"),
+        F.coalesce(up["k2"], F.lit(0)).alias("p2"), "conv_id", "n_convs",
+        F.when(F.col("depth") == size, F.col("n_children")).otherwise(1).cast("long").alias("n_children"), leaves.alias("n_leaves"),
+        saved(F.col("depth")).alias("saved"))
+    done = rows.select("conv_id", "path", "n_convs", leaves.alias("n_leaves"), saved(F.lit(lo + 1)).alias("saved"))
+    return nodes, _stripped(done, lo)
+
+
+def _descend(rows: DataFrame, lo: int, hi: int, nodes: list[DataFrame]) -> DataFrame:
+    """Peels rows whose depths lie above ``lo`` and up to ``hi`` down to ``lo``."""
+    if hi - lo == 1:
+        found, up = _level(rows, hi)
+        nodes.append(found)
+        return up
+    k1, k2 = _keys(lo + 1)
+    rows = shared(rows.withColumn("k1", k1).withColumn("k2", k2), "band")
+    many = shared(rows.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2"), "meeting")
+    if many.isEmpty():
+        found, up = _alone(rows, lo)
+        nodes.append(found)
+        return up
+    found, up = _alone(rows.join(many, ["k1", "k2"], "left_anti"), lo)
+    nodes.append(found)
+    meeting, mid = rows.join(many, ["k1", "k2"], "left_semi").drop("k1", "k2"), (lo + hi) // 2
+    upper = _descend(meeting.where(F.size("path") > mid), mid, hi, nodes)
+    return up.unionByName(_descend(meeting.where(F.size("path") <= mid).unionByName(upper), lo, mid, nodes))
 
 
 def peel(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -89,39 +161,33 @@ def peel(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     conv_id, n_convs, n_children, n_leaves, saved), p1 and p2 the parent's key; ``ended`` has
     (depth, k1, k2, conv_id) for every conversation and the node that it ends in."""
     spark = conversations.sparkSession
-    at = scratch_path(spark, "paths")
-    (conversations.withColumn("n_turns", F.size("path")).write.mode("overwrite").partitionBy("n_turns").parquet(at))
-    ends = spark.read.schema(f"conv_id long, path {PATH}, n_turns int").parquet(at)
-    deepest = ends.agg(F.max("n_turns")).first()[0]
-    levels, up = [], None
-    for d in range(-1 if deepest is None else deepest, -1, -1):
-        one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-        rows = ends.where(F.col("n_turns") == d).select(
-            "conv_id", "path", one.alias("n_convs"), none.alias("n_children"), none.alias("n_leaves"), none.alias("saved"))
-        if up is not None:
-            rows = rows.unionByName(up.select(
-                "conv_id", F.slice("path", 1, d).alias("path"), "n_convs", one.alias("n_children"), "n_leaves", "saved"))
-        level = rows.groupBy(_key(d, "k1").alias("k1"), _key(d, "k2").alias("k2")).agg(
-            F.min("conv_id").alias("conv_id"), *[F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved")],
-            F.first("path").alias("path"))
-        gain = (F.col("n_convs") - 1) * F.element_at("path", d)["size"] if d > 0 else none
-        up = shared(level.select(
-            "k1", "k2", "conv_id", "n_convs", "n_children",
-            F.when(F.col("n_children") == 0, 1).otherwise(F.col("n_leaves")).cast("long").alias("n_leaves"),
-            (F.col("saved") + gain).alias("saved"), "path"), "trie_level")
-        parent = [_key(d - 1, f"k{k}") if d > 0 else F.lit(None).cast("long") for k in (1, 2)]
-        levels.append(up.select(F.lit(d).alias("depth"), "k1", "k2", parent[0].alias("p1"), parent[1].alias("p2"),
-                                "conv_id", "n_convs", "n_children", "n_leaves", "saved"))
-    last = F.when(F.col("n_turns") > 0, F.element_at("path", -1))
-    ended = ends.select(F.col("n_turns").alias("depth"), *[
-        F.coalesce(last[k], F.lit(0)).cast("long").alias(k) for k in ("k1", "k2")], "conv_id")
-    if not levels:
-        return spark.createDataFrame([], "depth int, k1 long, k2 long, p1 long, p2 long, conv_id long, n_convs long, "
-                                         "n_children long, n_leaves long, saved long"), ended
-    nodes = levels[0]
-    for level in levels[1:]:
-        nodes = nodes.union(level)
-    return nodes, ended
+    last = F.when(F.size("path") > 0, F.element_at("path", -1))
+    ended = conversations.select(F.size("path").alias("depth"), *[
+        F.coalesce(last[k], F.lit(0)).cast("long").alias(k) for k in ("k1", "k2")], "conv_id", "path")
+    # Conversations with equal turns are one row from here on; a row waits in the band of its depth.
+    none = F.lit(0).cast("long")
+    distinct = ended.groupBy("depth", "k1", "k2").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"),
+                                                      F.first("path").alias("path"))
+    beyond = F.ceil(F.log2(F.greatest(F.col("depth"), F.lit(SINGLE)) / SINGLE)).cast("int")
+    at = scratch_path(spark, "waiting")
+    (distinct.select("conv_id", "path", "n_convs", none.alias("n_children"), none.alias("n_leaves"), none.alias("saved"),
+                     (F.least(F.col("depth"), F.lit(SINGLE)) + beyond).alias("band"))
+     .write.mode("overwrite").partitionBy("band").parquet(at))
+    waiting = spark.read.schema(f"conv_id long, path {PATH}, n_convs long, n_children long, n_leaves long, saved long, band int").parquet(at)
+    deepest = waiting.agg(F.max("band")).first()[0]
+    nodes, up = [], None
+    for band in range(-1 if deepest is None else deepest, -1, -1):
+        rows = waiting.where(F.col("band") == band).drop("band")
+        rows = rows if up is None else rows.unionByName(up)
+        if band > SINGLE:
+            up = _descend(rows, SINGLE << (band - SINGLE - 1), SINGLE << (band - SINGLE), nodes)
+        else:
+            found, up = _level(rows, band)
+            nodes.append(found)
+    out = spark.createDataFrame([], NODE)
+    for found in nodes:
+        out = out.union(found)
+    return out, ended.drop("path")
 
 
 def ends_digest(ended: DataFrame) -> DataFrame:

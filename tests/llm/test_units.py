@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import brute
 import public_tokenizers
 from forgerank.llm import (op1_bpe, op2_chat, op3_licenses, op4_decontaminate, op5_ngram_join, op6_token_files, op7_secrets,
-                           op8_suffix_dedup, op9_quality, op10_classifier, range_coder)
+                           op8_suffix_dedup, op9_quality, op10_classifier, op11_prefix_trie, op12_resample, op13_packing, range_coder)
 from forgerank.llm.components import components
 from forgerank.llm.deep_shallow import deep_shallow_order
 from forgerank.session import scratch_path
@@ -393,3 +393,66 @@ def test_pipeline_drops_by_row(spark, tmp_path):
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     out = sorted(map(str, ((x.doc_id, x.text) for x in pipeline.decontamination(spark, docs, str(tmp_path)).collect())))
     assert out == sorted(map(str, [*rows[:5], rows[6], *rows[8:]]))
+
+
+def test_trie_of_deep_conversations(spark):
+    r = random.Random(3)
+    long = [f"t{i}" for i in range(40)]
+    talks = {k * 7 + 3: long[:r.choice([9, 15, 23, 40])] + [f"x{k % 3}{i}" for i in range(r.randint(0, 9))] for k in range(12)}
+    talks |= {1000: ["a"] * 70, 1001: ["a"] * 70, 1002: ["a"] * 69 + ["b"], 1099: ["z"], 2005: ["q"]}
+    rows = [{"conv_id": c, "turn": i, "role": "u", "text": t} for c, turns in talks.items() for i, t in enumerate(turns)]
+    turns = op11_prefix_trie.ordered_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    out = op11_prefix_trie.prefix_trie(op11_prefix_trie.paths(*op11_prefix_trie.rebuilt_turns(turns)))
+    got = out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved", "ends_sha256").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute.op11(rows)))
+
+
+def test_crcs_of_word_runs():
+    import pyarrow as pa
+    import zlib
+
+    texts = ["Hello World it's a test é中 9x", None, "", "a" * 100 + " bb cc " + "d" * 49 + " e", "one", "x y z x y z" * 50]
+    buckets, owner, words = op12_resample.features(pa.array(texts))
+    for i, t in enumerate(texts):
+        w = brute.RUNS.findall((t or "").translate(brute.LOWER))
+        want = sorted(zlib.crc32(" ".join(w[k:k + m]).encode()) % 10_000 for m in (1, 2, 3) for k in range(len(w) - m + 1))
+        assert words[i] == len(w) and sorted(buckets[owner == i].tolist()) == want
+
+
+def test_bit_planes_give_the_sum():
+    r = np.random.default_rng(1)
+    owner = np.sort(r.integers(0, 150, 20_000))
+    buckets, gain = r.integers(0, 10_000, 20_000), r.integers(-20_000, 20_000, 10_000)
+    buckets[:3000] = 7  # a bucket that one document holds many times
+    want = np.zeros(150, np.int64)
+    np.add.at(want, owner, gain[buckets])
+    assert op12_resample.weigh(buckets, owner, 150, *op12_resample.gain_planes(gain)) == want.tolist()
+    assert op12_resample.weigh(buckets, owner, 150, *op12_resample.gain_planes(0 * gain)) == [0] * 150
+
+
+def test_ids_as_the_library_gives_them():
+    data = {"file": open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()}
+    encode = op13_packing.Encoder(data)
+    r = random.Random(5)
+    for k in range(3000):
+        chars = "abS'tİßſ \n\t!?-1²9éÉ\xa0ʼ" if k % 2 else "aΣσς\u0301\u0300e \x1c\u3000中0½ﬁ\u200b<|endoftext|>'Ll "
+        s = "".join(r.choice(chars) for _ in range(r.randint(0, 40))) + r.choice(["", "<|endoftext|>", " <|startoftext|>x"])
+        want = encode.library.encode(s, add_special_tokens=False).ids
+        assert np.frombuffer(encode(s), "<u4").tolist() == want, s
+
+
+@pytest.mark.parametrize("kind", ["mixed", "third", "tiny", "full"])
+def test_packing_of_lengths(spark, kind):
+    r = np.random.default_rng(2)
+    lengths = {"mixed": r.integers(1, 101, 900), "third": np.concatenate([np.full(400, 34), r.integers(1, 101, 500)]),
+               "tiny": r.integers(1, 6, 2000), "full": np.full(50, 100)}[kind].tolist()
+    items = spark.createDataFrame([(i, n, n) for i, n in enumerate(lengths)], "id long, length long, rank long").repartition(5)
+    out = op13_packing.pack(items.drop("rank"), capacity=100, order=["id"]).collect()
+    assert sorted((x.id, x.length) for x in out) == list(enumerate(lengths))
+    by = {}
+    for x in out:
+        by.setdefault(x.sequence_id, []).append((x.offset, x.length))
+    for places in by.values():
+        places.sort()
+        assert [o for o, _ in places] == np.cumsum([0, *[n for _, n in places]])[:-1].tolist() and sum(n for _, n in places) <= 100
+    assert len(by) <= 1.03 * brute.best_fit(lengths, 100) + 1
