@@ -19,9 +19,9 @@ depends on the lengths that occur, not on the number of documents. In the end pi
 their places by rank, one to one. Every round's gaps are written before they are used, so
 a lost executor reads files again and ranks never change.
 
-Encoding: the library is called once for each distinct pre-token of a text that a
-worker has not met (up to ``MEMO`` remembered, then anew); texts with characters outside ``PLAIN``, or
-with a special token's string, are cut at white space alone, which the tokenizer drops.
+Encoding: the library is given each distinct pre-token that a worker has not met once (up to
+``MEMO`` remembered, then anew); texts with characters outside ``PLAIN``, or with a special token's
+string, go to it cut at white space alone, which the tokenizer drops.
 
 Defined results: a null text encodes as the empty text, a piece of the end id alone; rows are
 documents of their own, also with the same or without an id; an empty table gives an empty
@@ -49,42 +49,68 @@ CAPACITY = 4096
 END_ID = 1
 MEMO = 400_000
 SLICE = 2 << 20
-# FIXED VALUES: characters for which lower-casing and cutting here and in the library agree, the tokenizer's pre-token pattern.
+# FIXED VALUES: characters for which lower-casing and cutting here and in the library agree, the mark of a token
+# that ends a word, the tokenizer's pre-token pattern.
 PLAIN = r"[\t\n\r\x20-\x7e\xa0-ɏ]*+"
+WORD_END = "</w>"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
 
 class Encoder:
-    """Ids of texts by a tokenizers file, little-endian unsigned 32-bit integers."""
+    """Ids of texts by a tokenizers file, little-endian unsigned 32-bit integers. A text is cut at
+    white space into chunks, a chunk that is not remembered into pre-tokens; those that are new
+    go to the library as one text, whose ids are cut after each that ends a word."""
 
     def __init__(self, data: dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         if "library" not in data:
-            data["library"], data["memo"] = Tokenizer.from_str(data["file"]), {}
-        self.library, self.memo = data["library"], data["memo"]
+            library = data["library"] = Tokenizer.from_str(data["file"])
+            data["chunks"], data["words"] = {}, {}
+            vocabulary = library.get_vocab()
+            data["ends"] = np.zeros(max(vocabulary.values()) + 1, bool)
+            data["ends"][[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        self.library, self.chunks, self.words, self.ends = (data[k] for k in ("library", "chunks", "words", "ends"))
         self.plain = regex.compile(PLAIN).fullmatch
         self.fine = regex.compile(PATTERN).findall
         self.coarse = regex.compile(r"[^\t\n\r ]+").findall
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
 
+    def whole(self, texts: list[str]) -> list[bytes]:
+        got = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in got]
+
+    def learn(self, chunks: set[str]) -> None:
+        """Remembers the ids of chunks of a plain text."""
+        cut = {c: self.fine(c) for c in chunks}
+        new = list({w for words in cut.values() for w in words if w not in self.words})
+        if len(self.words) + len(new) > MEMO:
+            self.words.clear()
+            new = list({w for words in cut.values() for w in words})
+        if new:
+            raw = self.whole([" ".join(new)])[0]
+            ends = np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) * 4 + 4
+            if len(ends) != len(new):
+                self.words.update(zip(new, self.whole(new)))
+            else:
+                self.words.update((w, raw[a:b]) for w, a, b in zip(new, [0, *ends[:-1].tolist()], ends.tolist()))
+        words = self.words
+        self.chunks.update((c, b"".join([words[w] for w in own])) for c, own in cut.items())
+
     def __call__(self, text: str) -> bytes:
-        if self.plain(text) and not any(s in text for s in self.special):
-            words = self.fine(text.lower())
-        else:
-            words = self.coarse(text)
-        memo = self.memo
+        if not self.plain(text) or any(s in text for s in self.special):
+            return b"".join(self.whole(self.coarse(text)))
+        chunks, memo = text.lower().split(), self.chunks
         try:
-            return b"".join([memo[w] for w in words])
+            return b"".join([memo[c] for c in chunks])
         except KeyError:
-            new = list({w for w in words if w not in memo})
+            new = {c for c in chunks if c not in memo}
             if len(memo) + len(new) > MEMO:
                 memo.clear()
-                new = list(set(words))
-            for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-                memo[w] = np.array(e.ids, "<u4").tobytes()
-            return b"".join([memo[w] for w in words])
+                new = set(chunks)
+            self.learn(new)
+            return b"".join([memo[c] for c in chunks])
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID, capacity: int = CAPACITY,
