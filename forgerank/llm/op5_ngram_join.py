@@ -7,12 +7,12 @@ documents link when their sets' Jaccard similarity is at least ``PERCENT`` / 100
 A set of n shingles that is similar enough to another shares one of its first
 n - ceil(0.8 n) + 1 shingles with the other's, whatever global order both are sorted in.
 The first order, which puts frequent shingles last, makes the candidates: its prefixes are the
-postings that are joined. What prunes these before any set is moved are length bounds and
-parity signatures of the sets: sets that differ in d shingles differ in at most d bits.
-The pairs left have their whole sets fetched. The other two orders, independent and
-pseudo-random, are computed from those sets and tested, by the number of shingles that the
-prefixes must then share, right before the exact intersection: they save that, and neither
-candidates nor movement.
+postings that are joined, and a pair is formed only at places from which on its sets can
+still share enough. The candidates are then intersected with three more filters before any
+set is moved: length bounds, parity signatures (sets that differ in d shingles differ in at
+most d bits), and the prefixes under two other orders, independent and pseudo-random, which
+must share as many shingles as similar sets share there. The signatures prune most of them.
+Only pairs that pass all have their whole sets fetched and compared.
 
 Frequencies only shape the first order (any order gives the same links): each task
 reports shingles met in ``COMMON`` or more documents of a slice, and the
@@ -21,10 +21,11 @@ reports shingles met in ``COMMON`` or more documents of a slice, and the
 Groups of copies never turn into all pairs. Documents with equal sets are one node for
 the join, linked by their set's digest. In the first round a posting list gives each of
 its documents two pairs, with the list's first document of a compatible size and with the
-one before it by size; verified
-links are joined into components. In the second round only pairs of documents that are
-still in different components and not yet verified are formed. The links left out would
-all lie within a component, so the components are exact.
+one before it by size; verified links are joined into components. Then come rounds of
+chance, in which a document is paired with a neighbour of another component in a random
+order of its list, for as long as they close lists. In the last round all pairs of documents
+that are still in different components and not yet verified are formed. The links left out
+would all lie within a component, so the components are exact.
 
 Defined results: null or empty texts have no shingles and link with nothing; a text of
 fewer words is one shingle; rows with the same id are one document that links by any of
@@ -39,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import release, shared
@@ -51,6 +52,7 @@ PERCENT = 80
 COMMON = 4
 COMMON_KEPT = 1 << 17
 ORDERS = 3
+CHANCES = 4  # rounds of chance before all open pairs are formed
 SIGNATURE = 512  # bits at least
 SLICE = 1 << 20
 
@@ -127,8 +129,8 @@ def _digests(docs: DataFrame) -> DataFrame:
 
 
 def _postings(docs: DataFrame, common) -> DataFrame:
-    """(token, n, doc_id) for the first order's prefix of every document; of documents with
-    equal sets in a task, the first one's."""
+    """(token, n, doc_id, place) for the first order's prefix of every document, with the token's
+    place in it; of documents with equal sets in a task, the first one's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, level = common.value
@@ -149,29 +151,31 @@ def _postings(docs: DataFrame, common) -> DataFrame:
                         rank = np.where(token[at] == s, rank | (level[at] << U64(46)), rank)
                     p = prefix_length(len(s))
                     picked = np.argsort(rank, kind="stable")[:p]
-                    out.append((s[picked], np.full(p, len(s)), np.full(p, doc)))
+                    out.append((s[picked], np.full(p, len(s)), np.full(p, doc), np.arange(p)))
                 cols = [np.concatenate([o[k] for o in out] or [np.zeros(0)]).astype(np.uint64 if k == 0 else np.int64)
-                        for k in range(3)]
+                        for k in range(4)]
                 yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cols],
-                                                 names=["token", "n", "doc_id"])
+                                                 names=["token", "n", "doc_id", "place"])
 
-    return docs.mapInArrow(run, "token long, n long, doc_id long")
+    return docs.mapInArrow(run, "token long, n long, doc_id long, place long")
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, s) for the ids (column ``id``). Texts are cut only where the id passes a
-    fixed-size bit filter."""
+    """(doc_id, n, s, o1, o2) for the ids (column ``id``), and few others: a document's set and its
+    prefixes under the other orders. Texts are cut only where the id passes a fixed-size bit filter."""
     docs = filtered(docs.where("doc_id is not null").select("doc_id", "text"), id_filter(ids, "id"), "doc_id", True)
+    names = ["doc_id", "n", "s", *[f"o{k}" for k in range(1, ORDERS)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in batches:
             for batch in row_slices(group, SLICE):
-                sets = [s.view(np.int64) for s in shingle_sets(batch.column("text"))]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))],
-                                                 names=["doc_id", "s"])
+                sets = shingle_sets(batch.column("text"))
+                cols = [sets, *[[random_prefix(s, k) if len(s) else s for s in sets] for k in range(1, ORDERS)]]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                     *[pa.array([x.view(np.int64) for x in col], pa.list_(pa.int64())) for col in cols]], names=names)
 
-    found = docs.mapInArrow(run, "doc_id long, s array<long>")
-    return found.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    return docs.mapInArrow(run, ", ".join(["doc_id long", "n long", *[f"{c} array<long>" for c in names[2:]]]))
 
 
 def _with_both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -180,22 +184,28 @@ def _with_both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sorted whole sets are similar enough. The other orders are tried first: sets
-    that share ``least`` shingles share in their prefixes all but those that lie beyond,
-    so a prefix pair that shares fewer settles it without the whole sets."""
-    least = -(-PERCENT * (len(a) + len(b)) // (100 + PERCENT))
-    beyond = max(len(a) - prefix_length(len(a)), len(b) - prefix_length(len(b)))
-    for k in range(1, ORDERS):
-        shared_ = len(np.intersect1d(random_prefix(a, k), random_prefix(b, k), assume_unique=True))
-        if shared_ < max(1, least - beyond):
-            return False
-    inter = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * inter >= PERCENT * (len(a) + len(b) - inter)
+def _least(a: str, b: str) -> Column:
+    """The shingles that similar sets of these sizes share at least."""
+    return F.expr(f"({PERCENT} * ({a} + {b}) + {99 + PERCENT}) div {100 + PERCENT}")
+
+
+def _room(n_a: str, at_a: str, n_b: str, at_b: str) -> Column:
+    """Whether sets whose first common shingle lies at these places of the first order can be similar:
+    all others that they share come after it in both."""
+    return F.least(F.col(n_a) - F.col(at_a), F.col(n_b) - F.col(at_b)) >= _least(n_a, n_b)
+
+
+def _share_prefix(k: int) -> Column:
+    """Whether two prefixes under order k share as many shingles as similar sets must share
+    there: all that they share but those that can lie beyond a prefix."""
+    beyond = F.expr(f"({PERCENT} * greatest(na, nb) + 99) div 100") - 1
+    return F.size(F.array_intersect(f"o{k}a", f"o{k}b")) >= F.greatest(F.lit(1), _least("na", "nb") - beyond)
 
 
 def _verified(docs: DataFrame, signatures: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that the signatures leave and whose whole sets are similar. Similar sets differ in at most a ninth of their sizes' sum."""
+    """The pairs (a, b) that every filter leaves and whose whole sets are similar. The signatures come
+    first, similar sets differing in at most a ninth of their sizes' sum; then the prefixes under the
+    other orders, and only then sets are moved, all within Spark's own rows."""
     def half(x):  # the other side's set is a little smaller and its signature half as long
         n = (F.size(x) / 2).cast("int")
         return F.zip_with(F.slice(x, 1, n), F.slice(x, n + 1, n), lambda p, q: p.bitwiseXOR(q))
@@ -205,24 +215,54 @@ def _verified(docs: DataFrame, signatures: DataFrame, pairs: DataFrame) -> DataF
     apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     near = _with_both(pairs, signatures).where(_sizes_fit("na", "nb")).where(((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("na") + F.col("nb"))))
     near = shared(near.select("a", "b").distinct(), "near_pairs")
-    ids = shared(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near_ids")
+    ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     sets = shared(_sets_of(docs, ids), "near_sets")
+    left = _with_both(near, sets.drop("s")).where(_sizes_fit("na", "nb"))
+    for k in range(1, ORDERS):
+        left = left.where(_share_prefix(k))
+    left = shared(left.select("a", "b").distinct(), "prefix_pairs")
+    both = _with_both(left, sets.select("doc_id", "s"))
+    links = shared(both.where(similar("sa", "sb")).select("a", "b").distinct(), "links")
+    release(near, sets, left)
+    return links
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = [similar(a.view(np.uint64), b.view(np.uint64)) for a, b in zip(
-                batch.column("sa").to_numpy(zero_copy_only=False), batch.column("sb").to_numpy(zero_copy_only=False))]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    links = shared(_with_both(near, sets).select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct(), "links")
-    release(near, ids, sets)
-    return links
+def similar(a: str, b: str) -> Column:
+    """Whether two whole sets are similar enough."""
+    inter = F.size(F.array_intersect(a, b))
+    return 100 * inter >= PERCENT * (F.size(a) + F.size(b) - inter)
 
 
 def _sizes_fit(a: str, b: str):
     return (PERCENT * F.greatest(a, b) <= 100 * F.least(a, b))
 
 
+def _open(lists: DataFrame, parts: DataFrame) -> tuple[DataFrame, int]:
+    """The lists that hold documents of several components, with these (``c``), and their number of rows."""
+    by_token = Window.partitionBy("token")
+    part = lists.drop("c").join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "token", "n", "doc_id", "place", F.coalesce("component", "doc_id").alias("c"))
+    part = (part.withColumn("low", F.min("c").over(by_token)).withColumn("high", F.max("c").over(by_token))
+            .where("low <> high").drop("low", "high"))
+    part = shared(part, "open_lists")
+    return part, part.count()
+
+
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after further links: these are lifted to the components that they join."""
+    tops = parts.withColumnRenamed("id", "x")
+
+    def top_of(col):
+        return F.coalesce(F.col("component"), F.col(col)).alias(col)
+
+    lifted = (links.join(tops, F.col("a") == F.col("x"), "left").select(top_of("a"), "b")
+              .join(tops, F.col("b") == F.col("x"), "left").select("a", top_of("b")))
+    up = shared(components(lifted, "a", "b"), "components").select(F.col("id").alias("u"), F.col("component").alias("v"))
+    every = parts.union(up.select("u", "u"))
+    return shared(every.join(up, F.col("component") == F.col("u"), "left").groupBy("id").agg(
+        F.min(F.coalesce("v", "component")).alias("component")), "components")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -250,49 +290,48 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     before = F.lag(F.struct("doc_id", "n")).over(by_token.orderBy("size", "doc_id"))
     lists = (lists.withColumn("prev", before).withColumn("first", F.min(F.struct("size", "doc_id", "n")).over(fitting))
              .withColumn("low", F.min("doc_id").over(by_token)).withColumn("high", F.max("doc_id").over(by_token)))
-    lists = shared(lists.where("low <> high").select(
-        "token", "n", "doc_id", F.col("first.doc_id").alias("lead"), F.col("first.n").alias("lead_n"),
-        F.col("prev.doc_id").alias("prev"), F.col("prev.n").alias("prev_n")), "posting_lists")
-
-    mates = F.array(F.struct(F.col("lead").alias("a"), F.col("lead_n").alias("m")),
-                    F.struct(F.col("prev").alias("a"), F.col("prev_n").alias("m")))
-    pairs = (lists.select("n", F.col("doc_id").alias("b"), F.inline(mates)).where("a <> b").where(_sizes_fit("n", "m"))
+    lists = shared(lists.where("low <> high").select("token", "n", "doc_id", "place", F.col("first").dropFields("size").alias("first"), "prev"),
+                   "posting_lists")
+    pairs = (lists.select("n", F.col("doc_id").alias("b"), F.explode(F.array("first", "prev")).alias("x"))
+             .select("n", "b", F.col("x.doc_id").alias("a"), F.col("x.n").alias("m"))
+             .where("a <> b").where(_sizes_fit("n", "m"))
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     tried = shared(pairs, "first_pairs")
     links = _verified(docs, signatures, tried).union(equal)
     parts = shared(components(links, "a", "b"), "components")
 
-    # What the first round leaves: pairs across components.
-    part = lists.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "token", "n", "doc_id", F.coalesce("component", "doc_id").alias("c"))
-    part = (part.withColumn("low", F.min("c").over(by_token)).withColumn("high", F.max("c").over(by_token))
-            .where("low <> high").drop("low", "high"))
-    part = shared(part, "open_lists")
+    # Rounds of chance: each document of a list is tried with a neighbour of another component in
+    # a random order, a pair a posting, as long as that closes lists. Groups in which many
+    # pairs link become one component here, before all their pairs would be formed.
+    part, size = _open(lists, parts)
     release(lists)
-    # A pair's shared prefix shingles are all in open lists; as for the other orders, they must
-    # be at least ``least`` minus what lies beyond the prefixes.
-    x = part.select("token", *[F.col(c).alias(f"{c}_a") for c in ("n", "doc_id", "c")])
-    y = part.select("token", *[F.col(c).alias(f"{c}_b") for c in ("n", "doc_id", "c")])
-    least = F.expr(f"({PERCENT} * (n_a + n_b) + {99 + PERCENT}) div {100 + PERCENT}")
-    beyond = F.expr(f"({PERCENT} * greatest(n_a, n_b) + 99) div 100") - 1
-    more = (x.join(y, "token").where("c_a <> c_b and doc_id_a < doc_id_b").where(_sizes_fit("n_a", "n_b"))
-            .groupBy("doc_id_a", "n_a", "doc_id_b", "n_b").agg(F.count(F.lit(1)).alias("k"))
-            .where(F.col("k") >= least - beyond)
+    for k in range(1, CHANCES + 1):
+        by_chance = by_token.orderBy(F.xxhash64("doc_id", F.lit(k)), "doc_id", "c")
+        other = F.lag(F.struct("doc_id", "n", "c")).over(by_chance)
+        pairs = (part.select("n", F.col("doc_id").alias("b"), "c", other.alias("x"))
+                 .where((F.col("c") != F.col("x.c")) & _sizes_fit("n", "x.n"))
+                 .select(F.least("x.doc_id", "b").alias("a"), F.greatest("x.doc_id", "b").alias("b")).distinct())
+        pairs = shared(pairs.join(tried, ["a", "b"], "left_anti"), "chance_pairs")
+        found = _verified(docs, signatures, pairs)
+        tried = tried.union(pairs)
+        if found.isEmpty():
+            break
+        parts = _joined(parts, found)
+        last, before = part, size
+        part, size = _open(last, parts)
+        release(last)
+        if 10 * size > 9 * before:
+            break
+
+    # What is left: pairs across components, formed where their place in the lists allows them to be similar.
+    x = part.select("token", *[F.col(c).alias(f"{c}_a") for c in ("n", "doc_id", "place", "c")])
+    y = part.select("token", *[F.col(c).alias(f"{c}_b") for c in ("n", "doc_id", "place", "c")])
+    more = (x.join(y, (x["token"] == y["token"]) & F.expr("c_a <> c_b and doc_id_a < doc_id_b") & _sizes_fit("n_a", "n_b")
+                   & _room("n_a", "place_a", "n_b", "place_b"))
             .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct())
     more = _verified(docs, signatures, more.join(tried, ["a", "b"], "left_anti"))
     if not more.isEmpty():
-        tops = parts.withColumnRenamed("id", "x")
-
-        def top_of(col):
-            return F.coalesce(F.col("component"), F.col(col)).alias(col)
-
-        lifted = (more.join(tops, F.col("a") == F.col("x"), "left").select(top_of("a"), "b")
-                  .join(tops, F.col("b") == F.col("x"), "left").select("a", top_of("b")))
-        up = shared(components(lifted, "a", "b"), "components").select(F.col("id").alias("u"), F.col("component").alias("v"))
-        every = parts.union(up.select("u", "u"))
-        parts = every.join(up, F.col("component") == F.col("u"), "left").groupBy("id").agg(
-            F.min(F.coalesce("v", "component")).alias("component"))
-        parts = shared(parts, "components")
+        parts = _joined(parts, more)
     parts = parts.groupBy("id").agg(F.min("component").alias("component"))
     out = rows.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
