@@ -53,10 +53,13 @@ _KIND[128:, 4] = True
 
 
 def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sums of consecutive ranges of ``values``, empty ranges included."""
-    total = np.zeros(len(values) + 1, np.float64)
-    np.cumsum(values, out=total[1:])
-    return total[bounds[1:]] - total[bounds[:-1]]
+    """Sums of consecutive ranges of ``values``, empty ranges included; a range's sum does not
+    depend on its neighbours, not even in the last bit."""
+    out = np.zeros(len(bounds) - 1, np.float64)
+    some = np.flatnonzero(bounds[1:] > bounds[:-1])
+    if len(some):
+        out[some] = np.add.reduceat(np.asarray(values, np.float64), bounds[some])
+    return out
 
 
 def grouped(owner: np.ndarray, key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,26 +168,29 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> list:
-    """(text, n_chars, quality) of at most ``bound`` labelled rows that are not held out."""
+    """Features and quality of at most ``bound`` labelled documents that are not held out; of rows
+    with one id, of the row whose text has the least hash."""
     picked = (labels.where("doc_id is not null and quality is not null").where(~held_out())
               .groupBy("doc_id").agg(F.min("quality").alias("__y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound))
     chars = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), chars.alias("chars"))
     rows = rows.join(F.broadcast(picked), "doc_id")  # at most ``bound`` rows
+    rows = rows.withColumn("__h", F.xxhash64("text", "chars"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bounds, place, weight, stats = featurize(batch.column("text"), batch.column("chars"))
             cut = bounds.astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("__y"),
+                batch.column("doc_id"), batch.column("__h"), batch.column("__y"),
                 pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(place, pa.int64())),
                 pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(weight, pa.float64())),
-                pa.array(list(stats), pa.list_(pa.float64()))], names=["doc_id", "y", "place", "weight", "stats"])
+                pa.array(list(stats), pa.list_(pa.float64()))], names=["doc_id", "h", "y", "place", "weight", "stats"])
 
-    out = rows.mapInArrow(run, "doc_id long, y int, place array<long>, weight array<double>, stats array<double>")
-    return out.dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
+    out = rows.mapInArrow(run, "doc_id long, h long, y int, place array<long>, weight array<double>, stats array<double>")
+    one = out.groupBy("doc_id").agg(F.min_by(F.struct("y", "place", "weight", "stats"), "h").alias("f"))
+    return one.select("doc_id", "f.*").orderBy("doc_id").toArrow()
 
 
 def train(docs: DataFrame, labels: DataFrame):

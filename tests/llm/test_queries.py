@@ -140,6 +140,31 @@ def test_classifier_on_held_out_rows(spark):
     assert all(again[r.doc_id] == r.score for r in out)
 
 
+def test_classifier_whatever_the_order_of_rows(spark):
+    docs = [d | {"doc_id": d["doc_id"] % 60} for d in rows(SMALL, "documents")]
+    cols = "doc_id long, text string, n_chars long, row long"
+    first = spark.createDataFrame([(d["doc_id"], d["text"], d["n_chars"], i) for i, d in enumerate(docs)], cols).repartition(3)
+    again = first.orderBy(fm.F.desc("row")).repartition(7)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    a, b = ({r.row: r.score for r in fm.classify(df, labels).collect()} for df in (first, again))
+    assert a == b
+
+
+def test_classifier_scores_as_the_pairwise_sum(spark, odd_dir):
+    """Every score again from the fitted model, one document at a time and pair by pair of factors."""
+    docs, labels = (spark.read.parquet(f"{odd_dir}/{t}.parquet") for t in ("documents", "labels"))
+    cuts, (w0, w, v) = fm.train(docs, labels)
+    import math
+    import pyarrow as pa
+    for r in fm.classify(docs, labels).collect():
+        if len(r.text or "") > 3000:
+            continue
+        idx, val, at = fm.with_bins(*fm.featurize(pa.array([r.text], pa.string()), pa.array([r.n_chars], pa.int64())), cuts)
+        x = list(zip(idx.tolist(), val.tolist()))
+        raw = w0 + sum(w[i] * c for i, c in x) + sum(float(v[i] @ v[j]) * c * d for k, (i, c) in enumerate(x) for j, d in x[:k])
+        assert abs(1 / (1 + math.exp(-max(-30, min(30, raw)))) - r.score) < 1e-9
+
+
 def test_classifier_without_labels(spark, odd_dir):
     docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
