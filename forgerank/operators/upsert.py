@@ -188,6 +188,25 @@ def live_responses(responses: DataFrame, as_of: Column) -> DataFrame:
     return responses.where(F.col("expires_at") > as_of)
 
 
+def _day(spark, as_of: Column) -> str:
+    return spark.range(1).select(F.date_format(as_of, "yyyy-MM-dd")).first()[0]
+
+
+def purge_expired_parts(store, as_of: Column) -> None:
+    """K10 on a table in parts by day of expiry: days before the present one leave the manifest
+    unread, only the present day is rewritten, and the later ones keep their files."""
+    today = _day(store.spark, as_of)
+    store.drop([p for p in store.parts() if p < today or p == "none"])
+    if today in store.parts():
+        store.replace(purge_expired(store.read([today]), as_of), [today])
+
+
+def live_parts(store, as_of: Column) -> DataFrame:
+    """F7 on a table in parts by day of expiry: no file of an earlier day is read."""
+    today = _day(store.spark, as_of)
+    return live_responses(store.read([p for p in store.parts() if today <= p != "none"]), as_of)
+
+
 # K13 ----------------------------------------------------------------------------
 def evolve_schema(df: DataFrame, columns: dict) -> DataFrame:
     """ADD COLUMN IF NOT EXISTS: ``columns`` gives a type, or a type and the default that

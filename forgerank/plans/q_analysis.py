@@ -110,23 +110,23 @@ SELECT lower(s.owner_login) AS id, s.owner_login AS username,
   s.contribution_count, coalesce(k.unique_skills, '') AS unique_skills, t.top_repos, coalesce(l.languages, '') AS languages,
   CASE WHEN u.user_key % 3 = 0 THEN {moment} - INTERVAL 1 DAY ELSE {moment} END AS cached_at
 FROM sums s JOIN a_users u ON u.username = s.owner_login LEFT JOIN topagg t ON s.owner_login = t.owner_login
-LEFT JOIN langs l ON s.owner_login = l.owner_login LEFT JOIN tskills k ON s.owner_login = k.owner_login
-WHERE u.user_key % 3 <> 2 OR u.user_key % 2 = 0""", "a_users", "a_repos", "a_prs", extra=stage4_ctes())
+LEFT JOIN langs l ON s.owner_login = l.owner_login LEFT JOIN tskills k ON s.owner_login = k.owner_login""", "a_users", "a_repos", "a_prs", extra=stage4_ctes())
 
 
 @register("upsert_analyses", _k8_sql())
 def q_upsert_analyses(spark, sf_dir):
-    """K8: two thirds of the users have an older stored row (total -1, a day before);
-    some users are analysed anew, stored or not, and some keep their old row."""
+    """K8: two thirds of the users have an older stored row (total -1, a day before); two
+    thirds are analysed anew, stored or not, and a third keeps its old row."""
     from ..session import shared
     from ..sources.adapter import as_of_col
+    from .q_ops import through_store
     t = Tables(spark, sf_dir)
     keys = t.users.select("username", "user_key")
     rows = shared(AN.analyses_rows(t.repos, t.prs, t.users, as_of_col()).join(keys, "username"), "analyses")
     old = (rows.where("user_key % 3 = 0 or user_key % 2 = 0").drop("user_key")
            .withColumn("total_score", F.lit(-1.0)).withColumn("cached_at", F.timestamp_add("DAY", F.lit(-1), "cached_at")))
-    new = rows.where("user_key % 3 = 1 or (user_key % 3 = 2 and user_key % 2 = 0)").drop("user_key")
-    out = AN.analyses_text(AN.upsert_analyses(old, new))
+    new = rows.where("user_key % 3 <> 0").drop("user_key")
+    out = AN.analyses_text(through_store(old, new, ["id"], AN.upsert_analyses))
     return rounded(out.select(*[c.strip() for c in K8_COLS.split(",")]), "total_score")
 
 

@@ -11,6 +11,8 @@ from ..operators import quality as QU
 from ..operators import scoring as S
 from ..operators import upsert as U
 from ..sources import adapter as A
+from ..session import scratch_path
+from ..sources.store import Store, day_part, hash_part
 from ..sources.tables import read_table
 from .adapter_sql import with_ctes
 from .q_analysis import Q4_CTES, link_sql
@@ -81,6 +83,17 @@ def q_discover_todo(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ upserts
+STORE_BUCKETS = 16  # parts of the queries' stores; a larger table is given more when it is created
+
+
+def through_store(old, batch, keys, change):
+    """``batch`` merged into a stored version of ``old`` in parts by key: only the parts that the
+    batch touches are read and written anew."""
+    store = Store.of(old, scratch_path(old.sparkSession, "store"), hash_part(keys, STORE_BUCKETS))
+    store.merge(batch, change)
+    return store.read()
+
+
 @register("upsert_users", with_ctes("""
 SELECT username, name, bio, followers, public_repos, scraped_at FROM a_users""", "a_users"))
 def q_upsert_users(spark, sf_dir):
@@ -91,7 +104,7 @@ def q_upsert_users(spark, sf_dir):
             .withColumn("scraped_at", F.timestamp_add("DAY", F.lit(-40), "scraped_at")))
     earlier = u.withColumn("bio", F.lit(None).cast("string")).withColumn(
         "scraped_at", F.timestamp_add("DAY", F.lit(-1), "scraped_at"))
-    out = U.upsert_users(old, u.unionByName(earlier))
+    out = through_store(old, u.unionByName(earlier), ["username"], U.upsert_users)
     return out.select("username", "name", "bio", "followers", "public_repos", "scraped_at")
 
 
@@ -112,7 +125,7 @@ def q_upsert_repos_short_name(spark, sf_dir):
     early = landed.where(F.col("scraped_at") < F.expr("TIMESTAMP_NTZ '2024-02-06 00:00:00'"))
     late = landed.where(F.col("scraped_at") >= F.expr("TIMESTAMP_NTZ '2024-02-06 00:00:00'"))
     old = U.upsert_repos_short_name(None, early, ["scraped_at", "repo_key"])
-    out = U.upsert_repos_short_name(old, late, ["scraped_at", "repo_key"])
+    out = through_store(old, late, ["repo_name"], lambda o, n: U.upsert_repos_short_name(o, n, ["scraped_at", "repo_key"]))
     return out.select(*K2_COLS)
 
 
@@ -132,7 +145,7 @@ def q_upsert_pull_requests(spark, sf_dir):
     early = F.col("seq.a") % 2 == 0
     first = raw.where(early).withColumn("seq", F.struct(F.lit(0).alias("batch"), "seq"))
     second = raw.where(~early).withColumn("seq", F.struct(F.lit(1).alias("batch"), "seq"))
-    return U.upsert_pull_requests(U.upsert_pull_requests(None, first), second)
+    return through_store(U.upsert_pull_requests(None, first), second, ["id"], U.upsert_pull_requests)
 
 
 K4_SCORE_OLD = SCORE_EXPR.replace("total_prs", "t_old")
@@ -156,7 +169,7 @@ def q_upsert_user_repo_scores(spark, sf_dir):
     old = (S.user_repo_scores(old_stats)
            .withColumn("computed_at", F.timestamp_add("DAY", F.lit(-1), A.as_of_col())))
     new = stats.withColumn("repo_score", repo_score("user_prs", "total_prs", "stars"))
-    out = U.upsert_user_repo_scores(old, new, A.as_of_col())
+    out = through_store(old, new, ["username", "repo_name"], lambda o, n: U.upsert_user_repo_scores(o, n, A.as_of_col()))
     return rounded(out.select("username", "repo_name", "user_prs", "total_prs", "stars", "repo_score",
                               "computed_at"), "repo_score")
 
@@ -170,7 +183,8 @@ def q_upsert_user_scores(spark, sf_dir):
     tot = S.user_scores(S.user_repo_scores(S.user_repo_stats(t.prs, t.repos))).select("username", "total_score")
     old = tot.withColumn("total_score", F.col("total_score") * 2).withColumn(
         "updated_at", F.timestamp_add("DAY", F.lit(-1), A.as_of_col()))
-    return rounded(U.upsert_user_scores(old, tot, A.as_of_col()), "total_score")
+    out = through_store(old, tot, ["username"], lambda o, n: U.upsert_user_scores(o, n, A.as_of_col()))
+    return rounded(out, "total_score")
 
 
 SCORED_T = {"stats": STATS_SQL,
@@ -198,7 +212,7 @@ def q_sync_legacy_users(spark, sf_dir):
                    F.col("scraped_at").alias("last_fetched"), F.col("scraped_at").alias("updated_at"),
                    extract_link(None, F.col("bio"), F.col("blog")).alias("linkedin"), "created_at")
     tot = S.user_scores(S.user_repo_scores(S.user_repo_stats(t.prs, t.repos)))
-    out = U.sync_legacy_users(old, tot, u, A.as_of_col())
+    out = through_store(old, tot, ["username"], lambda o, n: U.sync_legacy_users(o, n, u, A.as_of_col()))
     return rounded(out.select("username", "name", "website_url", "score", "followers", "public_repos",
                               "linkedin", "created_at", "last_fetched"), "score")
 
@@ -223,7 +237,7 @@ def q_sync_leaderboard(spark, sf_dir):
         F.col("scraped_at").alias("updated_at"), "location", "is_open_to_work",
         F.coalesce("hireable", F.lit(False)).alias("hireable"), F.lit(1.5).alias("ai_score"))
     tot = S.user_scores(S.user_repo_scores(S.user_repo_stats(t.prs, t.repos)))
-    out = U.sync_leaderboard(old, tot, t.users, A.as_of_col())
+    out = through_store(old, tot, ["username"], lambda o, n: U.sync_leaderboard(o, n, t.users, A.as_of_col()))
     return rounded(out.select("username", "name", "total_score", "updated_at", "location", "is_open_to_work",
                               "hireable", "ai_score"), "total_score")
 
@@ -247,7 +261,7 @@ def q_upsert_responses(spark, sf_dir):
     landed = landed_responses(Tables(spark, sf_dir))
     half = F.col("seq") % 2 == 0
     old = U.upsert_responses(None, landed.where(half), F.timestamp_add("DAY", F.lit(-1), A.as_of_col()))
-    return U.upsert_responses(old, landed.where(~half), A.as_of_col())
+    return through_store(old, landed.where(~half), ["cache_key"], lambda o, n: U.upsert_responses(o, n, A.as_of_col()))
 
 
 RESP_SQL = """SELECT 'event:' || CAST(event_id AS VARCHAR) AS cache_key, props AS response, ts AS cached_at,
@@ -261,14 +275,22 @@ def response_table(spark, sf_dir):
                     F.timestamp_add("DAY", F.lit(D.RESPONSE_TTL_DAYS), "ts").alias("expires_at"))
 
 
+def landing_store(spark, sf_dir):
+    return Store.of(response_table(spark, sf_dir), scratch_path(spark, "landing"), day_part("expires_at"))
+
+
 @register("purge_expired", with_ctes(f"SELECT * FROM resp WHERE expires_at >= {AS_OF_SQL}", extra={"resp": RESP_SQL}))
 def q_purge_expired(spark, sf_dir):
-    return U.purge_expired(response_table(spark, sf_dir), A.as_of_col())
+    """K10 on the landing table in parts by day of expiry: expired days are dropped unread."""
+    store = landing_store(spark, sf_dir)
+    U.purge_expired_parts(store, A.as_of_col())
+    return store.read()
 
 
 @register("live_responses", with_ctes(f"SELECT * FROM resp WHERE expires_at > {AS_OF_SQL}", extra={"resp": RESP_SQL}))
 def q_live_responses(spark, sf_dir):
-    return U.live_responses(response_table(spark, sf_dir), A.as_of_col())
+    """F7 on the same table: only days of expiry from the present one on are read."""
+    return U.live_parts(landing_store(spark, sf_dir), A.as_of_col())
 
 
 @register("evolve_schema", with_ctes("""
