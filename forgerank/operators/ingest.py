@@ -151,6 +151,27 @@ def repo_payloads(candidates: DataFrame) -> DataFrame:
                       F.to_json(F.struct(user.alias("user"))).alias("response"))
 
 
+def repository_payloads(repos: DataFrame) -> DataFrame:
+    """One payload a repository."""
+    rows = repos.withColumn("name", F.col("repo_name"))
+    return rows.select(F.concat("owner_login", F.lit("/"), "repo_name").alias("cache_key"),
+                       F.to_json(F.struct(_repo_node().alias("repository"))).alias("response"))
+
+
+def parse_repository(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A repository's own payload -> (repo_name ``owner/name``, stars, total_prs), counts 0 where they are
+    missing. Returns ``(rows, quarantine)``; payloads that are no JSON, or without a repository of
+    an owner and a name, are quarantined whole, with the reason."""
+    p = landed.select("cache_key", "response", F.from_json("response", T.StructType([T.StructField("repository", REPO)])).alias("p"))
+    owner, name = F.nullif(F.col("p.repository.owner.login"), F.lit("")), F.nullif(F.col("p.repository.name"), F.lit(""))
+    there = owner.isNotNull() & name.isNotNull()
+    reason = F.when(F.try_parse_json("response").isNull(), F.lit("not JSON")).otherwise(F.lit("repository not found"))
+    rows = p.where(there).select(F.concat(owner, F.lit("/"), name).alias("repo_name"),
+                                 F.coalesce("p.repository.stargazerCount", F.lit(0)).alias("stars"),
+                                 F.coalesce("p.repository.pullRequests.totalCount", F.lit(0)).alias("total_prs"))
+    return rows, p.where(~there).select("cache_key", "response", reason.alias("reason"))
+
+
 def parse_repos(landed: DataFrame) -> DataFrame:
     """S3 + F14 + U1: owned ++ contributed, rows lacking owner or name skipped,
     defaults 0/null/false/[], first per ``owner/name`` kept in payload order."""

@@ -14,7 +14,8 @@ from ..operators.refresh import full_refresh
 from ..session import scratch_path
 from ..sources import adapter as A
 from ..sources.tables import read_table
-from ..streaming.incremental import dedupe_requests, incremental_refresh, land_in_files, landing_files
+from ..streaming.incremental import (Refresh, board, dedupe_requests, land_in_files, land_in_order, landing_files,
+                                     refresh_pull_requests, refresh_repositories)
 from .adapter_sql import cust, with_ctes
 from .q_analysis import Q4_CTES, stage4_ctes
 from .q_ingest import REPO_PAYLOAD
@@ -25,15 +26,24 @@ from .registry import ORACLE, Tables, register, rounded
 # R1 ---------------------------------------------------------------------------------
 @register("incremental_refresh")
 def q_incremental_refresh(spark, sf_dir):
-    """Merged-PR rows land in files whose number follows the input (rows of one PR id
-    together); a file stream takes them in four micro-batches and refreshes only the
-    touched users. The result must equal the one-shot leaderboard."""
+    """Repository payloads land with half the stars and one pull request more than there are, except for
+    every fifth repository, which is not there yet; some payloads are broken. Pull requests land
+    in four arrivals by their landing order, so ids come back in later ones. Then all repositories
+    land as they are now. The result must equal the one-shot leaderboard."""
     t = Tables(spark, sf_dir)
+    state = Refresh(spark, scratch_path(spark, "refresh"))
+    early = t.repos.where("repo_key % 5 <> 0").withColumn("stars", F.floor(F.col("stars") / 2).cast("int")).withColumn(
+        "total_prs", F.col("total_prs") + 1)
+    payloads = I.repository_payloads(early).withColumn(
+        "response", F.when(F.crc32("cache_key") % 10 == 0, F.substring("response", 1, 40)).otherwise(F.col("response")))
+    landing = land_in_files(payloads, scratch_path(spark, "landing_repos"), 2)
+    refresh_repositories(state, landing, files_per_batch=2)
     files = landing_files(t.raw_prs)
-    landing = land_in_files(t.raw_prs, scratch_path(spark, "landing_prs"), files, key="id")
-    schema = spark.read.parquet(landing).schema
-    board = incremental_refresh(spark, landing, schema, t.repos, t.users, files_per_batch=-(-files // 4))
-    return rounded(board, "total_score")
+    prs = land_in_order(t.raw_prs, scratch_path(spark, "landing_prs"), F.col("seq.a"), 4, files, "id")
+    refresh_pull_requests(state, prs, spark.read.parquet(prs).schema, files_per_batch=files)
+    land_in_files(I.repository_payloads(t.repos), landing, 2, mode="append")
+    refresh_repositories(state, landing, files_per_batch=2)
+    return rounded(board(state, t.users), "total_score")
 
 
 ORACLE["incremental_refresh"] = ORACLE["leaderboard"]
@@ -48,14 +58,16 @@ served AS (SELECT k, min(t) AS t FROM req GROUP BY k
 SELECT k AS cache_key, t AS requested_at FROM served""")
 def q_dedupe_requests(spark, sf_dir):
     """Every event is a lookup request for its user, spread over four months so that keys
-    expire and come back; within the 30-day TTL of a served request a key is not served."""
+    expire and come back; within the 30-day TTL of a served request a key is not served. They land in
+    four arrivals by time, so a key's requests come in several."""
     e = read_table(spark, sf_dir, "events").select(
         F.concat(F.lit("member:"), cust_login("user_id")).alias("cache_key"),
         F.timestamp_add("DAY", (F.col("event_id") % 3 * 40).cast("int"), F.col("ts").cast("timestamp_ntz")).alias("requested_at"))
     files = landing_files(e)
-    landing = land_in_files(e, scratch_path(spark, "landing_requests"), files, key="cache_key")
+    landing = land_in_order(e, scratch_path(spark, "landing_requests"), F.unix_micros(F.col("requested_at").cast("timestamp")), 4, files,
+                            "cache_key")
     schema = spark.read.parquet(landing).schema
-    return dedupe_requests(spark, landing, schema, files_per_batch=-(-files // 4))
+    return dedupe_requests(spark, landing, schema, files_per_batch=files)
 
 
 # Q8 ---------------------------------------------------------------------------------

@@ -1,30 +1,55 @@
 """Structured Streaming jobs.
 
-R1 incremental refresh: merged-PR rows land as files; each micro-batch
-(``foreachBatch``) keeps incremental state (an id log and per (user, repo) count
-deltas), recomputes stage 2/3 only for the users it touched from their per-repo
-counts, and writes their scores into a score log under its batch id. Every write
-overwrites only its own batch partitions, so a replayed batch (after a failure)
-rewrites the same files: the job is idempotent. The current table is the latest
-row per key across batches (upsert on read).
+R1 incremental refresh keeps scores current under landed pull requests and landed repositories,
+in either order, without going back to what was landed before:
+
+* ``ids``: ids of pull requests seen (``sources.id_log``); only an id's first row counts (K3);
+* ``pairs``: pull requests by (repository, user), in parts by repository, so that it is
+  the reverse index from a repository to its contributors as well;
+* ``repos``: stars and total of each repository;
+* ``scores``: by user the sums over the user's pairs, in parts by user.
+
+A batch touches pairs: those that got pull requests, or all of a repository whose stars or total
+have changed. Each touched pair gives its user the difference between its share before and
+after, so a famous repository costs one row a contributor and no user is
+recomputed. Shares are added as decimals, so differences cancel exactly and the sums do
+not depend on the order of batches. A share that has become zero leaves a tombstone: the
+pair keeps its last positive share, and ``scores(keep_stale=True)`` counts that as a stored
+row that is not overwritten would (D11).
+
+A batch is exactly once. What it changes is computed in full and written to its staging folder before
+any table is touched; every table then takes it under the batch's tag, once. A batch that
+is replayed after its first table has been published takes its changes from there.
+
+Payloads of repositories that cannot be read go to ``dead_letters`` with the reason and the parser's
+version; a run with another version takes them up again.
 
 R2 duplicate suppression: each micro-batch looks its request keys up in a log of
 served requests; a request is served unless one of its key was served within the TTL
-before it. Nothing is dropped for being late, and an expired key is served anew.
+before it. Nothing is dropped for being late, and an expired key is served anew. The log is cut by
+day, and a batch reads only the days within a TTL of its requests.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import dictionaries as D
+from ..functions.columns import repo_score
+from ..operators import ingest as I
 from ..operators import scoring as S
-from ..operators.upsert import upsert_pull_requests
-from ..session import scratch_path, shared
+from ..operators.upsert import upsert, upsert_pull_requests
+from ..session import release, scratch_path, shared
+from ..sources.id_log import IdLog
+from ..sources.store import Store, hash_part
 
 PR_COLS = ["id", "username", "repo_name", "merged_at", "created_at", "seq"]
+BUCKETS = 16
 
 
 def landing_files(df: DataFrame, least: int = 4) -> int:
@@ -32,116 +57,221 @@ def landing_files(df: DataFrame, least: int = 4) -> int:
     return max(least, df.rdd.getNumPartitions())
 
 
-def land_in_files(df: DataFrame, path: str, files: int, key: str | None = None) -> str:
+def land_in_files(df: DataFrame, path: str, files: int, key: str | None = None, mode: str = "overwrite") -> str:
     """Land rows as ``files`` parquet files (one file = one arrival); rows sharing
     ``key`` land in the same file."""
     parts = df.repartition(files, key) if key else df.repartition(files)
-    parts.write.mode("overwrite").parquet(path)
+    parts.write.mode(mode).parquet(path)
     return path
 
 
-def bucket_of(col: str, buckets: int):
-    return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
-
-
-def _refresh_batch(spark: SparkSession, repos: DataFrame, paths: dict, buckets: int):
-    """One micro-batch of R1, incremental state instead of a rescan:
-
-    * ids seen so far live in an id log partitioned by id bucket; the batch's first
-      row per id (K3, landing order) is anti-joined against it, so only ids never
-      seen before count (a repeated id only updates state/merged_at, which no
-      score reads);
-    * per (user, repo) PR-count deltas of the new ids are appended to a count log
-      partitioned by user bucket;
-    * touched users are recomputed from their per-repo counts (semi join on user
-      bucket + user, pruned by dynamic partition pruning), not from their PRs.
-
-    Every write overwrites only this batch's partitions, so a replay is idempotent.
-    """
-    def run(batch: DataFrame, batch_id: int):
-        first = upsert_pull_requests(None, batch.select(*PR_COLS), order=["seq"])
-        first = first.withColumn("ibucket", bucket_of("id", buckets))
-        seen = _read_state(spark, paths["ids"], ID_LOG_SCHEMA)
-        if seen is not None:
-            seen = seen.where(F.col("batch_id") != batch_id)
-        new_ids = first if seen is None else first.join(
-            seen.select("ibucket", "id"), ["ibucket", "id"], "left_anti")
-        new_ids = shared(new_ids, "new_ids")
-        (new_ids.select("ibucket", "id").withColumn("batch_id", F.lit(batch_id))
-                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id", "ibucket").parquet(paths["ids"]))
-        delta = (new_ids.groupBy("username", "repo_name").agg(F.count("id").alias("n"))
-                        .withColumn("ubucket", bucket_of("username", buckets)))
-        (delta.withColumn("batch_id", F.lit(batch_id))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id", "ubucket").parquet(paths["pairs"]))
-        touched = delta.select("ubucket", "username").distinct()
-        pairs = (spark.read.parquet(paths["pairs"]).join(touched, ["ubucket", "username"], "left_semi")
-                      .groupBy("username", "repo_name").agg(F.sum("n").cast("int").alias("user_prs")))
-        r = repos.select(S.full_name().alias("repo_name"), "total_prs", "stars")
-        totals = S.user_scores(S.user_repo_scores(pairs.join(r, "repo_name", "inner")))
-        fresh = touched.select("username").join(totals, "username", "left").select(
-            "username", F.coalesce("total_score", F.lit(0.0)).alias("total_score"),
-            F.coalesce("n_repos", F.lit(0)).alias("n_repos"),
-            F.coalesce("contribution_count", F.lit(0)).alias("contribution_count"))
-        (fresh.withColumn("batch_id", F.lit(batch_id))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").parquet(paths["scores"]))
-    return run
-
-
-ID_LOG_SCHEMA = "ibucket int, id string, batch_id long"
+def land_in_order(df: DataFrame, path: str, order: Column, arrivals: int, files: int, key: str) -> str:
+    """Land rows in ``arrivals`` that follow each other by a number, each as ``files`` files:
+    rows sharing ``key`` are in one file of an arrival, and in as many arrivals as their numbers span."""
+    at = F.coalesce(order.cast("double"), F.lit(float("-inf")))
+    cuts = df.select(F.percentile_approx(at, [k / arrivals for k in range(1, arrivals)], 10000)).first()[0] or []
+    bounds = [None, *cuts, None]
+    for low, high in zip(bounds, bounds[1:]):
+        some = F.lit(True) if low is None else at > low
+        land_in_files(df.where(some if high is None else some & (at <= high)), path, files, key, "append")
+    return path
 
 
-def _read_state(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    """The state table, or None before the first batch wrote it."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return None
+# ------------------------------------------------------------------ R1
+SHARE = "decimal(38,12)"
+PAIRS = f"repo_name string, username string, n long, share {SHARE}, last {SHARE}, last_n long"
+REPO_ROWS = "repo_name string, stars int, total_prs int"
+SUMS = {"total": SHARE, "n_repos": "long", "prs": "long", "last_total": SHARE, "last_repos": "long", "last_prs": "long"}
+LETTERS = "digest string, cache_key string, response string, reason string, version string, n_tries long, solved boolean"
+
+
+def _schema(text: str) -> T.StructType:
+    return T.StructType.fromDDL(text)
+
+
+class Refresh:
+    """The state of R1 under ``path`` and the batches that change it."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.spark, self.path = spark, path.rstrip("/")
+
+        def store(name, schema, keys):
+            return Store.create(spark, f"{self.path}/{name}", _schema(schema), hash_part(keys, buckets))
+
+        self.ids = IdLog(spark, f"{self.path}/ids", buckets)
+        self.pairs = store("pairs", PAIRS, ["repo_name"])
+        self.repos = store("repos", REPO_ROWS, ["repo_name"])
+        self.totals = store("scores", "username string, " + ", ".join(f"{c} {t}" for c, t in SUMS.items()), ["username"])
+        self.dead_letters = store("dead_letters", LETTERS, ["digest"])
+
+    # ---- the two kinds of batches
+    def pull_requests(self, batch: DataFrame, tag: str) -> None:
+        """Landed pull requests: ids that are new count for their pair."""
+        def changes():
+            first = upsert_pull_requests(None, batch.select(*PR_COLS), order=["seq"])
+            new = self._staged(tag, "ids", self.ids.unseen(first).select("id", "username", "repo_name"))
+            got = new.where("username is not null and repo_name is not null").groupBy("repo_name", "username").agg(
+                F.count(F.lit(1)).alias("d"))
+            stored = self.pairs.read(self.pairs.touched(got)).join(got, ["repo_name", "username"], "right").select(
+                "repo_name", "username", F.coalesce("n", F.lit(0)).alias("n"), "share", "last", "last_n",
+                (F.coalesce("n", F.lit(0)) + F.col("d")).alias("n_new"))
+            known = self.repos.read(self.repos.touched(got))
+            return stored.join(known, "repo_name", "left")
+
+        self._apply(tag, changes, ids=True)
+
+    def repositories(self, rows: DataFrame, tag: str, order: list[str] | None = None) -> None:
+        """Repository rows (repo_name, stars, total_prs): all pairs of those that have changed. Of several
+        rows of one repository the last by ``order`` counts."""
+        def changes():
+            last = upsert(None, rows.where("repo_name is not null").select("repo_name", "stars", "total_prs", *(order or [])),
+                          ["repo_name"], order or ["stars", "total_prs"], drop=order or [])
+            stored = self.repos.read(self.repos.touched(last))
+            old = stored.select("repo_name", F.struct("stars", "total_prs").alias("old"))
+            changed = last.join(old, "repo_name", "left").where(~F.col("old").eqNullSafe(F.struct("stars", "total_prs"))).drop("old")
+            changed = self._staged(tag, "repos", changed)
+            pairs = self.pairs.read(self.pairs.touched(changed)).withColumn("n_new", F.col("n"))
+            return pairs.join(changed, "repo_name")
+
+        self._apply(tag, changes)
+
+    def repository_payloads(self, landed: DataFrame, tag: str, parse: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+                            version: str = "1") -> None:
+        """Landed payloads (cache_key, response) of repositories. ``parse`` gives (rows, unreadable payloads with
+        a reason). Payloads that other versions of the parser could not read are tried again."""
+        parse = parse or I.parse_repository
+        again = self.dead_letters.read().where(~F.col("solved") & (F.col("version") != version))
+        both = shared(landed.select("cache_key", "response").unionByName(again.select("cache_key", "response")).distinct(), "payloads")
+        rows, bad = parse(both)
+        digest = F.sha2(F.concat_ws(":", F.coalesce("cache_key", F.lit("")), F.coalesce("response", F.lit(""))), 256)
+        failed = bad.select(digest.alias("digest"), "cache_key", "response", "reason")
+        tried = both.select(digest.alias("digest")).join(self.dead_letters.read().select("digest"), "digest", "left_semi")
+        letters = failed.withColumn("solved", F.lit(False)).unionByName(
+            tried.join(failed, "digest", "left_anti").withColumn("solved", F.lit(True)), allowMissingColumns=True)
+        letters = shared(letters.dropDuplicates(["digest"]), "letters")
+        self.repositories(rows, tag)
+        self.dead_letters.merge(letters, lambda old, new: self._letters(old, new, version), tag)
+
+    @staticmethod
+    def _letters(old: DataFrame, new: DataFrame, version: str) -> DataFrame:
+        o, n = old.alias("o"), new.alias("n")
+        both = o.join(n, "digest", "full")
+        hit = F.col("n.solved").isNotNull()
+        return both.select(
+            "digest", *[F.coalesce(f"o.{c}", f"n.{c}").alias(c) for c in ("cache_key", "response")],
+            F.coalesce("n.reason", "o.reason").alias("reason"), F.when(hit, F.lit(version)).otherwise(F.col("o.version")).alias("version"),
+            (F.coalesce("o.n_tries", F.lit(0)) + hit.cast("long")).alias("n_tries"), F.coalesce("n.solved", "o.solved").alias("solved"))
+
+    # ---- one batch, once
+    def _staging(self, tag: str) -> str:
+        return f"{self.path}/staging/{tag}"
+
+    def _staged(self, tag: str, name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self._staging(tag)}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self._staging(tag)}/{name}")
+
+    def _begun(self, tag: str) -> bool:
+        """Whether a table has taken the batch; it was staged in full before."""
+        return self.ids.has(tag) or any(tag in s.manifest()["tags"] for s in (self.pairs, self.repos, self.totals))
+
+    def _apply(self, tag: str, changes, ids: bool = False) -> None:
+        if not self._begun(tag):
+            touched = changes()
+            share = repo_score("n_new", "total_prs", "stars").cast(SHARE)
+            there = share > 0
+            touched = touched.select(
+                "repo_name", "username", F.col("n").alias("n_old"), F.col("share").alias("share_old"), F.col("last").alias("last_old"),
+                F.col("last_n").alias("last_n_old"), F.col("n_new").alias("n"), F.coalesce(share, F.lit(0)).cast(SHARE).alias("share"),
+                F.when(there, share).otherwise(F.col("last")).cast(SHARE).alias("last"),
+                F.when(there, F.col("n_new")).otherwise(F.col("last_n")).cast("long").alias("last_n"))
+            self._staged(tag, "pairs", touched)
+        touched = self.spark.read.parquet(f"{self._staging(tag)}/pairs")
+        if ids:
+            self.ids.add(self.spark.read.parquet(f"{self._staging(tag)}/ids"), tag)
+        else:
+            repos = self.spark.read.schema(_schema(REPO_ROWS)).parquet(f"{self._staging(tag)}/repos")
+            self.repos.merge(repos, lambda o, n: upsert(o, n, ["repo_name"], ["stars"]), tag)
+        self.pairs.merge(touched.select("repo_name", "username", "n", "share", "last", "last_n"),
+                         lambda o, n: upsert(o, n, ["repo_name", "username"], ["n"]), tag)
+
+        def part(new, old, count=None):
+            a, b = F.col(new), F.col(old)
+            if count is None:
+                return F.coalesce(a, F.lit(0)) - F.coalesce(b, F.lit(0))
+            return F.when(a > 0, count[0]).otherwise(0) - F.when(b > 0, count[1]).otherwise(0)
+
+        ones = (F.lit(1), F.lit(1))
+        deltas = {"total": part("share", "share_old"), "n_repos": part("share", "share_old", ones),
+                  "prs": part("share", "share_old", (F.col("n"), F.col("n_old"))), "last_total": part("last", "last_old"),
+                  "last_repos": part("last", "last_old", ones), "last_prs": part("last_n", "last_n_old")}
+        users = touched.groupBy("username").agg(*[F.sum(d).cast(SUMS[c]).alias(c) for c, d in deltas.items()])
+        users = users.where(F.greatest(*[F.abs(c) for c in SUMS]) > 0)
+        self.totals.merge(users, lambda o, n: o.unionByName(n).groupBy("username").agg(
+            *[F.sum(c).cast(t).alias(c) for c, t in SUMS.items()]), tag)
+        self.pairs.files.delete(self._staging(tag))
+
+    # ---- reading
+    def scores(self, keep_stale: bool = False) -> DataFrame:
+        """(username, total_score, n_repos, contribution_count). With ``keep_stale`` a share that has become
+        zero still counts as it last was; without, it is gone, and so are users with nothing else."""
+        a = "last_" if keep_stale else ""
+        return self.totals.read().where(F.col(f"{a or 'n_'}repos") > 0).select(
+            "username", F.col(f"{a}total").cast("double").alias("total_score"), F.col(f"{a or 'n_'}repos").alias("n_repos"),
+            F.col(f"{a}prs").alias("contribution_count"))
+
+
+def _stream(spark: SparkSession, landing: str, schema, files_per_batch: int, checkpoint: str, take) -> None:
+    """Runs a file stream to its present end."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
+    q = (stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
-BUCKETS = 64
+def refresh_repositories(state: Refresh, landing: str, files_per_batch: int = 1, parse=None, version: str = "1") -> None:
+    """Takes up repository payloads (cache_key, response) that have landed since the last call."""
+    _stream(state.spark, landing, "cache_key string, response string", files_per_batch, f"{state.path}/ckpt_repos",
+            lambda batch, k: state.repository_payloads(batch, f"repos-{k}", parse, version))
 
 
-def _stored_buckets(spark: SparkSession, path: str, wanted: int) -> int:
-    """The bucket count that the state was begun with; written with the first run, since
-    ids are looked up by bucket and another count would miss them."""
-    there = _read_state(spark, path, "buckets int")
-    if there is not None:
-        return there.first()[0]
-    spark.range(1).select(F.lit(wanted).alias("buckets")).write.parquet(path)
-    return wanted
+def refresh_pull_requests(state: Refresh, landing: str, schema, files_per_batch: int = 1) -> None:
+    """Takes up pull requests that have landed since the last call."""
+    _stream(state.spark, landing, schema, files_per_batch, f"{state.path}/ckpt",
+            lambda batch, k: state.pull_requests(batch, f"prs-{k}"))
 
 
 def incremental_refresh(spark: SparkSession, landing: str, schema, repos: DataFrame,
                         profiles: DataFrame, files_per_batch: int = 1, buckets: int = BUCKETS,
-                        state_dir: str | None = None) -> DataFrame:
-    """Run the file stream to completion (``Trigger.AvailableNow``) and return the
-    refreshed leaderboard (latest score row per user, joined to the profile).
+                        state_dir: str | None = None, keep_stale: bool = False) -> DataFrame:
+    """Brings the state up to the present repositories (a table; its changes are found) and to all
+    landed pull requests, and returns the refreshed leaderboard.
 
-    ``state_dir`` holds the logs and the stream's checkpoint: a later call with the same
+    ``state_dir`` holds the tables and the streams' checkpoints: a later call with the same
     folder goes on after the files it has seen. Without one the state is a scratch
-    folder. ``buckets`` (of the id and user logs; more for larger state) is fixed by the
-    first run and kept with the state."""
-    base = state_dir.rstrip("/") if state_dir else scratch_path(spark, "refresh")
-    paths = {k: f"{base}/{k}" for k in ["ids", "pairs", "scores", "ckpt"]}
-    buckets = _stored_buckets(spark, f"{base}/buckets", buckets)
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .parquet(landing))
-    q = (stream.writeStream.foreachBatch(_refresh_batch(spark, repos, paths, buckets))
-         .option("checkpointLocation", paths["ckpt"]).trigger(availableNow=True).start())
-    q.awaitTermination()
-    scores = spark.read.parquet(paths["scores"])
-    latest = scores.groupBy("username").agg(F.max_by(
-        F.struct("total_score", "n_repos", "contribution_count"), "batch_id").alias("s"))
-    current = latest.select("username", "s.*").where(F.col("n_repos") > 0)
+    folder. ``buckets`` (more for larger state) is fixed by the first run and kept."""
+    state = Refresh(spark, state_dir or scratch_path(spark, "refresh"), buckets)
+    rows = repos.select(S.full_name().alias("repo_name"), "stars", "total_prs")
+    state.repositories(rows, f"table-{state.repos.version()}")
+    refresh_pull_requests(state, landing, schema, files_per_batch)
+    return board(state, profiles, keep_stale)
+
+
+def board(state: Refresh, profiles: DataFrame, keep_stale: bool = False) -> DataFrame:
+    """The current scores of users with a profile."""
     p = profiles.select("username", "name", "avatar_url")
-    return current.join(p, "username", "inner").select(
+    return state.scores(keep_stale).join(p, "username").select(
         "username", "name", "avatar_url", "total_score", "n_repos", "contribution_count")
 
 
-SERVED = "cache_key string, requested_at timestamp_ntz, batch_id long"
+# ------------------------------------------------------------------ R2
+def _read_state(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The state table, or None before the first batch wrote it."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return None
+
+
+SERVED = "cache_key string, requested_at timestamp_ntz, day string, batch_id long"
 
 
 def _not_served(requests: DataFrame, served: DataFrame, ttl_days: int, arrived_before: bool = False) -> DataFrame:
@@ -156,39 +286,57 @@ def _not_served(requests: DataFrame, served: DataFrame, ttl_days: int, arrived_b
     return requests.join(s, covers, "left_anti")
 
 
+def _near(log: DataFrame, requests: DataFrame, ttl_days: int) -> DataFrame:
+    """The log's days within a TTL of the requests, as literal bounds that leave other folders unread."""
+    def day(c, n):
+        return F.date_format(F.timestamp_add("DAY", F.lit(n), c), "yyyy-MM-dd")
+
+    low, high = requests.agg(day(F.min("requested_at"), -ttl_days), day(F.max("requested_at"), ttl_days)).first()
+    return log.where(F.lit(False)) if low is None else log.where((F.col("day") >= low) & (F.col("day") <= high))
+
+
 def _serve_batch(spark: SparkSession, path: str, ttl_days: int):
     """One micro-batch of R2. By key, the first request that nothing served covers is
     served, then the first one after its TTL, and so on: one grouped minimum a pass, as
-    many passes as TTLs fit into the batch's time span. The log is partitioned by batch
-    and a replayed batch rewrites its own part."""
+    many passes as TTLs fit into the batch's time span. The log is partitioned by day and
+    batch; a replayed batch leaves out what it wrote and writes the same parts again."""
     def run(batch: DataFrame, batch_id: int):
-        left = batch.select("cache_key", F.col("requested_at").cast("timestamp_ntz").alias("requested_at"))
+        left = shared(batch.select("cache_key", F.col("requested_at").cast("timestamp_ntz").alias("requested_at")), "requests")
         seen = _read_state(spark, path, SERVED)
         if seen is not None:
-            left = _not_served(left, seen.where(F.col("batch_id") != batch_id), ttl_days, True)
-        left = shared(left, "requests")
+            near = _near(seen, left, ttl_days).where(F.col("batch_id") != batch_id)
+            left = shared(_not_served(left, near, ttl_days, True), "requests")
         picked = []
         while not left.isEmpty():
             first = shared(left.groupBy("cache_key").agg(F.min("requested_at").alias("requested_at")), "served_now")
             picked.append(first)
-            left = shared(_not_served(left, first, ttl_days), "requests")
+            rest = shared(_not_served(left, first, ttl_days), "requests")
+            release(left)
+            left = rest
         out = spark.createDataFrame([], "cache_key string, requested_at timestamp_ntz")
         for p in picked:
             out = out.unionByName(p)
-        (out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        out = out.withColumn("day", F.coalesce(F.date_format("requested_at", "yyyy-MM-dd"), F.lit("none"))).withColumn("batch_id", F.lit(batch_id))
+        (out.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "batch_id").parquet(path))
     return run
 
 
+def forget_served(spark: SparkSession, state_dir: str, before: str) -> None:
+    """Drops the days of the served log before this one (YYYY-MM-DD), whole and unread. Requests from
+    up to a TTL after them that arrive later are then served again."""
+    from ..sources.store import _Files
+    files = _Files(spark, state_dir)
+    for name in files.names(f"{state_dir.rstrip('/')}/log"):
+        if name.startswith("day=") and name[4:] < before:
+            files.delete(f"{state_dir.rstrip('/')}/log/{name}")
+
+
 def dedupe_requests(spark: SparkSession, landing: str, schema, ttl_days: int = D.RESPONSE_TTL_DAYS,
                     files_per_batch: int = 1, state_dir: str | None = None) -> DataFrame:
     """R2: the requests (cache_key, requested_at) that are served; identical keys within
     the TTL of a served one are not. ``state_dir`` as in ``incremental_refresh``."""
     base = state_dir.rstrip("/") if state_dir else scratch_path(spark, "served")
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .parquet(landing))
-    q = (stream.writeStream.foreachBatch(_serve_batch(spark, f"{base}/log", ttl_days))
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
+    _stream(spark, landing, schema, files_per_batch, f"{base}/ckpt", _serve_batch(spark, f"{base}/log", ttl_days))
     log = _read_state(spark, f"{base}/log", SERVED)
     return (log if log is not None else spark.createDataFrame([], SERVED)).select("cache_key", "requested_at")

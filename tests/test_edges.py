@@ -293,25 +293,6 @@ def test_typed_analyses_and_upsert(spark, as_of):
     assert again.count() == 1
 
 
-def test_incremental_batch_replay_is_idempotent(spark):
-    from forgerank.session import scratch_path
-    from forgerank.streaming.incremental import _refresh_batch
-    repos = spark.createDataFrame([("a", "o", 10, 4), ("b", "o", 100, 1)],
-                                  "repo_name string, owner_login string, stars int, total_prs int")
-    schema = ("id string, username string, repo_name string, merged_at timestamp_ntz, "
-              "created_at timestamp_ntz, seq struct<a:int>")
-    b0 = spark.createDataFrame([("1", "u", "o/a", None, None, (1,)), ("2", "u", "o/a", None, None, (2,))], schema)
-    b1 = spark.createDataFrame([("2", "u", "o/b", None, None, (0,)), ("3", "u", "o/b", None, None, (1,))], schema)
-    paths = {k: scratch_path(spark, f"t_{k}") for k in ["ids", "pairs", "scores"]}
-    run = _refresh_batch(spark, repos, paths, 4)
-    run(b0, 0)
-    run(b0, 0)          # replay of the same batch
-    run(b1, 1)          # id 2 was seen in batch 0: it keeps repo o/a
-    s = spark.read.parquet(paths["scores"])
-    latest = s.groupBy("username").agg(F.max_by("total_score", "batch_id").alias("t")).collect()[0]["t"]
-    assert abs(latest - (10 * 2 / 4 + 100 * 1 / 1)) < 1e-9
-
-
 def test_request_dedupe_within_ttl(spark):
     from forgerank.session import scratch_path
     from forgerank.streaming.incremental import dedupe_requests, land_in_files
