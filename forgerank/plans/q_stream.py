@@ -31,14 +31,14 @@ def q_incremental_refresh(spark, sf_dir):
     in four arrivals by their landing order, so ids come back in later ones. Then all repositories
     land as they are now. The result must equal the one-shot leaderboard."""
     t = Tables(spark, sf_dir)
-    state = Refresh(spark, scratch_path(spark, "refresh"))
+    files = landing_files(t.raw_prs)
+    state = Refresh(spark, scratch_path(spark, "refresh"), buckets=files)  # as many parts as the input asks for
     early = t.repos.where("repo_key % 5 <> 0").withColumn("stars", F.floor(F.col("stars") / 2).cast("int")).withColumn(
         "total_prs", F.col("total_prs") + 1)
     payloads = I.repository_payloads(early).withColumn(
         "response", F.when(F.crc32("cache_key") % 10 == 0, F.substring("response", 1, 40)).otherwise(F.col("response")))
     landing = land_in_files(payloads, scratch_path(spark, "landing_repos"), 2)
     refresh_repositories(state, landing, files_per_batch=2)
-    files = landing_files(t.raw_prs)
     prs = land_in_order(t.raw_prs, scratch_path(spark, "landing_prs"), F.col("seq.a"), 4, files, "id")
     refresh_pull_requests(state, prs, spark.read.parquet(prs).schema, files_per_batch=files)
     land_in_files(I.repository_payloads(t.repos), landing, 2, mode="append")

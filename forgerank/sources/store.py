@@ -145,13 +145,14 @@ class Store:
         """The parts that rows of the batch lie in: at most as many as there are parts."""
         return [r[0] for r in batch.select(part_of((m or self.manifest())["spec"]).alias("p")).distinct().collect()]
 
-    def merge(self, batch: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame], tag: str | None = None) -> bool:
-        """Replaces the touched parts by ``change(their rows, batch)``, whose rows must stay in these
-        parts; False if a write with this tag is published already."""
+    def merge(self, batch: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame], tag: str | None = None,
+              parts: list[str] | None = None) -> bool:
+        """Replaces the touched parts (``parts``, where they are known) by ``change(their rows, batch)``, whose
+        rows must stay in these parts; False if a write with this tag is published already."""
         m = self.manifest()
         if tag is not None and tag in m["tags"]:
             return False
-        parts = self.touched(batch, m)
+        parts = self.touched(batch, m) if parts is None else parts
         if not parts:
             return False
         return self._write(m, change(self._rows(m, set(parts)), batch), parts, tag)

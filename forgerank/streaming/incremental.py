@@ -112,11 +112,11 @@ class Refresh:
             new = self._staged(tag, "ids", self.ids.unseen(first).select("id", "username", "repo_name"))
             got = new.where("username is not null and repo_name is not null").groupBy("repo_name", "username").agg(
                 F.count(F.lit(1)).alias("d"))
-            stored = self.pairs.read(self.pairs.touched(got)).join(got, ["repo_name", "username"], "right").select(
+            parts = self.pairs.touched(got)  # of the repositories too, which are dealt alike
+            stored = self.pairs.read(parts).join(got, ["repo_name", "username"], "right").select(
                 "repo_name", "username", F.coalesce("n", F.lit(0)).alias("n"), "share", "last", "last_n",
                 (F.coalesce("n", F.lit(0)) + F.col("d")).alias("n_new"))
-            known = self.repos.read(self.repos.touched(got))
-            return stored.join(known, "repo_name", "left")
+            return stored.join(self.repos.read(parts), "repo_name", "left"), parts
 
         self._apply(tag, changes, ids=True)
 
@@ -131,7 +131,7 @@ class Refresh:
             changed = last.join(old, "repo_name", "left").where(~F.col("old").eqNullSafe(F.struct("stars", "total_prs"))).drop("old")
             changed = self._staged(tag, "repos", changed)
             pairs = self.pairs.read(self.pairs.touched(changed)).withColumn("n_new", F.col("n"))
-            return pairs.join(changed, "repo_name")
+            return pairs.join(changed, "repo_name"), None
 
         self._apply(tag, changes)
 
@@ -175,8 +175,9 @@ class Refresh:
         return self.ids.has(tag) or any(tag in s.manifest()["tags"] for s in (self.pairs, self.repos, self.totals))
 
     def _apply(self, tag: str, changes, ids: bool = False) -> None:
+        parts = None
         if not self._begun(tag):
-            touched = changes()
+            touched, parts = changes()
             share = repo_score("n_new", "total_prs", "stars").cast(SHARE)
             there = share > 0
             touched = touched.select(
@@ -192,7 +193,7 @@ class Refresh:
             repos = self.spark.read.schema(_schema(REPO_ROWS)).parquet(f"{self._staging(tag)}/repos")
             self.repos.merge(repos, lambda o, n: upsert(o, n, ["repo_name"], ["stars"]), tag)
         self.pairs.merge(touched.select("repo_name", "username", "n", "share", "last", "last_n"),
-                         lambda o, n: upsert(o, n, ["repo_name", "username"], ["n"]), tag)
+                         lambda o, n: upsert(o, n, ["repo_name", "username"], ["n"]), tag, parts)
 
         def part(new, old, count=None):
             a, b = F.col(new), F.col(old)
