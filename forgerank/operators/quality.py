@@ -1,4 +1,4 @@
-"""Data checks and catalog listings.
+"""Key audit.
 
 The reference lists key constraints from the database catalog; here the keys are
 checked on the data itself: rows, duplicated keys and null keys per table, as one
