@@ -98,19 +98,17 @@ class Encoder:
         words = self.words
         self.chunks.update((c, b"".join([words[w] for w in own])) for c, own in cut.items())
 
-    def __call__(self, text: str) -> bytes:
-        if not self.plain(text) or any(s in text for s in self.special):
-            return b"".join(self.whole(self.coarse(text)))
-        chunks, memo = text.lower().split(), self.chunks
-        try:
-            return b"".join([memo[c] for c in chunks])
-        except KeyError:
-            new = {c for c in chunks if c not in memo}
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = set(chunks)
-            self.learn(new)
-            return b"".join([memo[c] for c in chunks])
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. What is new in all of them is learnt at once."""
+        cut = [t.lower().split() if self.plain(t) and not any(s in t for s in self.special) else None for t in texts]
+        plain = [c for c in cut if c is not None]
+        new = set().union(*plain) - self.chunks.keys()
+        if len(self.chunks) + len(new) > MEMO:
+            self.chunks.clear()
+            new = set().union(*plain)
+        self.learn(new)
+        get = self.chunks.__getitem__
+        return [b"".join(map(get, c)) if c is not None else b"".join(self.whole(self.coarse(t))) for c, t in zip(cut, texts)]
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID, capacity: int = CAPACITY,
@@ -126,8 +124,8 @@ def pieces(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID, capacity:
         for whole in batches:
             for batch in row_slices(whole, SLICE):
                 owner, piece, length, crc = [], [], [], []
-                for i, t in enumerate(batch.column("text").to_pylist()):
-                    ids = encode(t or "") + end
+                for i, ids in enumerate(encode([t or "" for t in batch.column("text").to_pylist()])):
+                    ids += end
                     for k, a in enumerate(range(0, len(ids), width)):
                         part = ids[a:a + width]
                         owner.append(i)

@@ -438,7 +438,8 @@ def test_ids_as_the_library_gives_them():
         chars = "abS'tİßſ \n\t!?-1²9éÉ\xa0ʼ" if k % 2 else "aΣσς\u0301\u0300e \x1c\u3000中0½ﬁ\u200b<|endoftext|>'Ll "
         s = "".join(r.choice(chars) for _ in range(r.randint(0, 40))) + r.choice(["", "<|endoftext|>", " <|startoftext|>x"])
         want = encode.library.encode(s, add_special_tokens=False).ids
-        assert np.frombuffer(encode(s), "<u4").tolist() == want, s
+        assert np.frombuffer(encode([s, "a"])[0], "<u4").tolist() == want, s
+    assert encode([]) == [] and encode(["", " "]) == [b"", b""]
 
 
 @pytest.mark.parametrize("kind", ["mixed", "third", "tiny", "full"])
