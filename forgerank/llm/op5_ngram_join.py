@@ -21,11 +21,9 @@ reports shingles met in ``COMMON`` or more documents of a slice, and the
 Groups of copies never turn into all pairs. Documents with equal sets are one node for
 the join, linked by their set's digest. In the first round a posting list gives each of
 its documents two pairs, with the list's first document of a compatible size and with the
-one before it by size; verified links are joined into components. Then come rounds of
-chance, in which a document is paired with a neighbour of another component in a random
-order of its list, for as long as they close lists. In the last round all pairs of documents
-that are still in different components and not yet verified are formed. The links left out
-would all lie within a component, so the components are exact.
+one before it by size; verified links are joined into components. In the second round
+only pairs of documents that are still in different components and not yet verified are
+formed. The links left out would all lie within a component, so the components are exact.
 
 Defined results: null or empty texts have no shingles and link with nothing; a text of
 fewer words is one shingle; rows with the same id are one document that links by any of
@@ -52,7 +50,6 @@ PERCENT = 80
 COMMON = 4
 COMMON_KEPT = 1 << 17
 ORDERS = 3
-CHANCES = 4  # rounds of chance before all open pairs are formed
 SIGNATURE = 512  # bits at least
 SLICE = 1 << 20
 
@@ -237,15 +234,13 @@ def _sizes_fit(a: str, b: str):
     return (PERCENT * F.greatest(a, b) <= 100 * F.least(a, b))
 
 
-def _open(lists: DataFrame, parts: DataFrame) -> tuple[DataFrame, int]:
-    """The lists that hold documents of several components, with these (``c``), and their number of rows."""
+def _open(lists: DataFrame, parts: DataFrame) -> DataFrame:
+    """The lists that hold documents of several components, with these (``c``)."""
     by_token = Window.partitionBy("token")
-    part = lists.drop("c").join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+    part = lists.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "token", "n", "doc_id", "place", F.coalesce("component", "doc_id").alias("c"))
-    part = (part.withColumn("low", F.min("c").over(by_token)).withColumn("high", F.max("c").over(by_token))
-            .where("low <> high").drop("low", "high"))
-    part = shared(part, "open_lists")
-    return part, part.count()
+    part = part.withColumn("low", F.min("c").over(by_token)).withColumn("high", F.max("c").over(by_token))
+    return shared(part.where("low <> high").drop("low", "high"), "open_lists")
 
 
 def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
@@ -300,30 +295,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = _verified(docs, signatures, tried).union(equal)
     parts = shared(components(links, "a", "b"), "components")
 
-    # Rounds of chance: each document of a list is tried with a neighbour of another component in
-    # a random order, a pair a posting, as long as that closes lists. Groups in which many
-    # pairs link become one component here, before all their pairs would be formed.
-    part, size = _open(lists, parts)
+    part = _open(lists, parts)
     release(lists)
-    for k in range(1, CHANCES + 1):
-        by_chance = by_token.orderBy(F.xxhash64("doc_id", F.lit(k)), "doc_id", "c")
-        other = F.lag(F.struct("doc_id", "n", "c")).over(by_chance)
-        pairs = (part.select("n", F.col("doc_id").alias("b"), "c", other.alias("x"))
-                 .where((F.col("c") != F.col("x.c")) & _sizes_fit("n", "x.n"))
-                 .select(F.least("x.doc_id", "b").alias("a"), F.greatest("x.doc_id", "b").alias("b")).distinct())
-        pairs = shared(pairs.join(tried, ["a", "b"], "left_anti"), "chance_pairs")
-        found = _verified(docs, signatures, pairs)
-        tried = tried.union(pairs)
-        if found.isEmpty():
-            break
-        parts = _joined(parts, found)
-        last, before = part, size
-        part, size = _open(last, parts)
-        release(last)
-        if 10 * size > 9 * before:
-            break
-
-    # What is left: pairs across components, formed where their place in the lists allows them to be similar.
+    # What the first round leaves: pairs across components, formed where their place in the lists allows them to be similar.
     x = part.select("token", *[F.col(c).alias(f"{c}_a") for c in ("n", "doc_id", "place", "c")])
     y = part.select("token", *[F.col(c).alias(f"{c}_b") for c in ("n", "doc_id", "place", "c")])
     more = (x.join(y, (x["token"] == y["token"]) & F.expr("c_a <> c_b and doc_id_a < doc_id_b") & _sizes_fit("n_a", "n_b")
