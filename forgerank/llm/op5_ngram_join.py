@@ -23,7 +23,7 @@ the join, linked by their set's digest. In the first round a posting list gives
 its documents two pairs, with the list's first document of a compatible size and with the
 one before it by size; verified links are joined into components. In the second round
 only pairs of documents that are still in different components and not yet verified are
-formed. The links left out would all lie within a component, so the components are exact.
+formed, and only if their signatures, folded to 256 bits, allow it. The links left out would all lie within a component, so the components are exact.
 
 Defined results: null or empty texts have no shingles and link with nothing; a text of
 fewer words is one shingle; rows with the same id are one document that links by any of
@@ -234,13 +234,16 @@ def _sizes_fit(a: str, b: str):
     return (PERCENT * F.greatest(a, b) <= 100 * F.least(a, b))
 
 
-def _open(lists: DataFrame, parts: DataFrame) -> DataFrame:
-    """The lists that hold documents of several components, with these (``c``)."""
+def _open(lists: DataFrame, parts: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The lists that hold documents of several components, with these (``c``) and with the documents'
+    signatures folded to four integers."""
     by_token = Window.partitionBy("token")
     part = lists.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "token", "n", "doc_id", "place", F.coalesce("component", "doc_id").alias("c"))
     part = part.withColumn("low", F.min("c").over(by_token)).withColumn("high", F.max("c").over(by_token))
-    return shared(part.where("low <> high").drop("low", "high"), "open_lists")
+    part = part.where("low <> high").drop("low", "high")
+    folded = [F.expr(f"aggregate(sequence({k}, size(sig) - 1, 4), 0L, (t, i) -> t ^ sig[i])").alias(f"s{k}") for k in range(4)]
+    return shared(part.join(signatures.select("doc_id", "n", *folded), ["doc_id", "n"]), "open_lists")
 
 
 def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
@@ -295,13 +298,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = _verified(docs, signatures, tried).union(equal)
     parts = shared(components(links, "a", "b"), "components")
 
-    part = _open(lists, parts)
+    part = _open(lists, parts, signatures)
     release(lists)
     # What the first round leaves: pairs across components, formed where their place in the lists allows them to be similar.
-    x = part.select("token", *[F.col(c).alias(f"{c}_a") for c in ("n", "doc_id", "place", "c")])
-    y = part.select("token", *[F.col(c).alias(f"{c}_b") for c in ("n", "doc_id", "place", "c")])
+    x = part.select("token", *[F.col(c).alias(f"{c}_a") for c in ("n", "doc_id", "place", "c", "s0", "s1", "s2", "s3")])
+    y = part.select("token", *[F.col(c).alias(f"{c}_b") for c in ("n", "doc_id", "place", "c", "s0", "s1", "s2", "s3")])
+    apart = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(4)), F.lit(0))
     more = (x.join(y, (x["token"] == y["token"]) & F.expr("c_a <> c_b and doc_id_a < doc_id_b") & _sizes_fit("n_a", "n_b")
-                   & _room("n_a", "place_a", "n_b", "place_b"))
+                   & _room("n_a", "place_a", "n_b", "place_b")
+                   & ((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("n_a") + F.col("n_b"))))
             .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct())
     more = _verified(docs, signatures, more.join(tried, ["a", "b"], "left_anti"))
     if not more.isEmpty():
