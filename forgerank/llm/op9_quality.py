@@ -4,9 +4,10 @@ Per document: counts over its whole text. Per (lang, source): one quantile sketc
 metric, a histogram over buckets of bounded relative width (a value keeps its top
 ``BITS`` bits). Such sketches merge by adding counts, so they are built map-side and
 shuffled as a few hundred rows a group, and the sketch of a language is the sum of
-its sources'. A group of fewer than ``MIN_GROUP`` documents takes its thresholds from
-its language, a language of fewer from all documents. Thresholds are the quartiles
-widened by ``FENCE`` times their distance and a least margin; documents outside go.
+its sources'. A group's quartiles are blended with its language's, and these with those of
+all documents: of n documents they weigh n / (n + ``PRIOR``), for every n, so no size of a
+group is a switch. Thresholds are the blended quartiles widened by ``FENCE`` times their
+distance and a least margin; documents outside go.
 
 All values are integers (ratios in thousandths), so results do not depend on the order
 in which sketches are merged.
@@ -30,7 +31,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 # Parameters of the adaptive thresholds.
 BITS = 6
-MIN_GROUP = 200
+PRIOR = 20
 FENCE = 3
 # metric -> (numerator, denominator, least margin above, least margin below or None)
 METRICS = {
@@ -97,9 +98,9 @@ def sketches(rows: DataFrame) -> DataFrame:
             .groupBy("lang", "source", "metric", "bucket").agg(F.count(F.lit(1)).alias("n")))
 
 
-def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """Merges the sketches to ``by`` and reads each group's fences from the quartiles: by
-    group, ``total`` and a map of (low, high) by metric."""
+def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """Merges the sketches to ``by`` and reads the quartiles: by group, a map of
+    (n, q1, q3) by metric."""
     merged = sketch.groupBy(*by, "metric", "bucket").agg(F.sum("n").alias("n"))
     hist = (merged.groupBy(*by, "metric")
             .agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("h"), F.sum("n").alias("total")))
@@ -111,14 +112,37 @@ def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
             F.coalesce(a["at"], F.when(4 * (a["seen"] + x["n"]) >= k * F.col("total"), x["bucket"])).alias("at")),
             lambda a: a["at"])
 
-    q = hist.select(*by, "metric", "total", quantile(1).alias("q1"), quantile(3).alias("q3"))
-    above = F.create_map(*[x for m, v in METRICS.items() for x in (F.lit(m), F.lit(v[2]))])
-    below = F.create_map(*[x for m, v in METRICS.items() for x in (F.lit(m), F.lit(v[3]).cast("int"))])
-    spread = FENCE * (F.col("q3") - F.col("q1"))
-    pair = F.struct((F.col("q1") - spread - below[F.col("metric")]).alias("low"),
-                    (F.col("q3") + spread + above[F.col("metric")]).alias("high"))
-    return q.groupBy(*by).agg(F.max("total").alias("total"),
-                              F.map_from_entries(F.collect_list(F.struct("metric", pair))).alias("fence"))
+    q = F.struct(F.col("total").alias("n"), quantile(1).alias("q1"), quantile(3).alias("q3"))
+    return (hist.select(*by, "metric", q.alias("q")).groupBy(*by)
+            .agg(F.map_from_entries(F.collect_list(F.struct("metric", "q"))).alias("q")))
+
+
+def blend(own: Column, parent: Column, q: str) -> Column:
+    """Quartile ``q`` of a group of n documents, weighed n / (n + PRIOR) against its parent's."""
+    n = F.coalesce(own["n"], F.lit(0).cast("long"))
+    return F.call_function("div", n * F.coalesce(own[q], F.lit(0).cast("long")) + PRIOR * parent, n + PRIOR)
+
+
+def group_fences(groups: DataFrame, sketch: DataFrame) -> DataFrame:
+    """(lang, source) of ``groups``, each once, with a map of (low, high) by metric; null
+    bounds where no document passes the base rules at all."""
+    whole = quartiles(sketch, []).collect()  # one row: three numbers a metric
+    whole = whole[0]["q"] if whole else {}
+
+    def named(by, name):
+        return quartiles(sketch, by).select(*[F.col(c).alias(f"__{name}_{c}") for c in by], F.col("q").alias(f"__{name}"))
+
+    o, g = named(["lang", "source"], "own"), named(["lang"], "lang")
+    df = (groups.select("lang", "source").distinct()
+          .join(o, F.col("lang").eqNullSafe(F.col("__own_lang")) & F.col("source").eqNullSafe(F.col("__own_source")), "left")
+          .join(g, F.col("lang").eqNullSafe(F.col("__lang_lang")), "left"))
+    entries = []
+    for m, (_, _, above, below) in METRICS.items():
+        q1, q3 = [blend(F.col("__own")[m], blend(F.col("__lang")[m], F.lit(whole[m][q] if m in whole else None).cast("long"), q), q)
+                  for q in ("q1", "q3")]
+        spread = FENCE * (q3 - q1)
+        entries += [F.lit(m), F.struct((q1 - spread - F.lit(below).cast("long")).alias("low"), (q3 + spread + above).alias("high"))]
+    return df.select("lang", "source", F.create_map(*entries).alias("fence"))
 
 
 def quality_rules(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -127,23 +151,7 @@ def quality_rules(docs: DataFrame, keep: list[str], text: str = "text") -> DataF
     rows = features(docs, cols, text).withColumn("base_failed", base_failed())
     rows = shared(rows, "quality_counts")
     sketch = shared(sketches(rows), "quality_sketches")
-    own = fences(sketch, ["lang", "source"]).where(F.col("total") >= MIN_GROUP)
-    lang = fences(sketch, ["lang"]).where(F.col("total") >= MIN_GROUP)
-    whole = fences(sketch, []).collect()  # one row: three pairs of numbers
-    whole = F.create_map(*[x for m, f in whole[0]["fence"].items() for x in (
-        F.lit(m), F.struct(F.lit(f["low"]).cast("long").alias("low"), F.lit(f["high"]).cast("long").alias("high")))]) \
-        if whole else F.lit(None)
-
-    def named(df, name):
-        return df.select(*[F.col(c).alias(f"__{name}_{c}") for c in df.columns if c in ("lang", "source")],
-                         F.col("fence").alias(f"__{name}"))
-
-    o, g = named(own, "own"), named(lang, "lang")
-    groups = rows.select("lang", "source").distinct()
-    groups = (groups.join(o, F.col("lang").eqNullSafe(F.col("__own_lang")) & F.col("source").eqNullSafe(F.col("__own_source")), "left")
-              .join(g, F.col("lang").eqNullSafe(F.col("__lang_lang")), "left")
-              .select(F.col("lang").alias("__l"), F.col("source").alias("__s"),
-                      F.coalesce(F.col("__own"), F.col("__lang"), whole).alias("fence")))
+    groups = group_fences(rows, sketch).withColumnsRenamed({"lang": "__l", "source": "__s"})
     out = rows.join(groups, F.col("lang").eqNullSafe(F.col("__l")) & F.col("source").eqNullSafe(F.col("__s")), "left")
     inside = F.lit(True)
     for m in METRICS:
@@ -168,25 +176,29 @@ def _duck() -> str:
     def buck(v):
         return f"({v} - {v} % (1::BIGINT << greatest(length(bin({v})) - {BITS}, 0)::BIGINT))"
 
-    def fence(by):
+    def quart(by):
         keys = "".join(f"{b}, " for b in by)
-        high = " ".join(f"WHEN '{m}' THEN {v[2]}" for m, v in METRICS.items())
-        low = " ".join(f"WHEN '{m}' THEN {v[3]}" for m, v in METRICS.items() if v[3] is not None)
-        return f"""(SELECT {keys} metric, any_value(total) AS total,
-             min(b) FILTER (4 * c >= total) - {FENCE} * (min(b) FILTER (4 * c >= 3 * total) - min(b) FILTER (4 * c >= total))
-               - CASE metric {low} END AS low,
-             min(b) FILTER (4 * c >= 3 * total) + {FENCE} * (min(b) FILTER (4 * c >= 3 * total) - min(b) FILTER (4 * c >= total))
-               + CASE metric {high} END AS high
+        return f"""(SELECT {keys} metric, any_value(total) AS n, min(b) FILTER (4 * c >= total) AS q1, min(b) FILTER (4 * c >= 3 * total) AS q3
            FROM (SELECT {keys} metric, b, sum(n) OVER (PARTITION BY {keys} metric ORDER BY b) AS c,
                         sum(n) OVER (PARTITION BY {keys} metric) AS total
                  FROM (SELECT {keys} metric, b, count(*) AS n FROM v GROUP BY {keys} metric, b))
            GROUP BY {keys} metric)"""
 
+    def mix(name, m, q, parent):
+        n = f"coalesce({name}.n_{m}, 0)"
+        return f"(({n} * coalesce({name}.{q}_{m}, 0) + {PRIOR} * {parent}) // ({n} + {PRIOR}))"
+
+    def quartile(m, q):
+        return mix("own", m, q, mix("lan", m, q, f"whole.{q}_{m}"))
+
+    blended = ", ".join(f"{quartile(m, q)} AS {q}_{m}" for m in METRICS for q in ("q1", "q3"))
+    fence = ", ".join(
+        f"q1_{m} - {FENCE} * (q3_{m} - q1_{m}) - {'NULL' if v[3] is None else v[3]} AS l_{m}, q3_{m} + {FENCE} * (q3_{m} - q1_{m}) + {v[2]} AS h_{m}"
+        for m, v in METRICS.items())
     checks = " AND ".join(
         f"""coalesce({buck(f"((f.{n} * 1000) // greatest(f.{d}, 1))::BIGINT")} BETWEEN coalesce(l_{m}, -1) AND h_{m}, true)"""
         for m, (n, d, _, _) in METRICS.items())
-    picks = ", ".join(
-        f"max(low) FILTER (metric = '{m}') AS l_{m}, max(high) FILTER (metric = '{m}') AS h_{m}" for m in METRICS)
+    picks = ", ".join(f"max({x}) FILTER (metric = '{m}') AS {x}_{m}" for m in METRICS for x in ("n", "q1", "q3"))
     return f"""
     WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
     w AS (SELECT rid, regexp_extract_all(t, '{ws}') AS w FROM d),
@@ -202,12 +214,13 @@ def _duck() -> str:
             len(w.w) < 10 OR 100 * coalesce(r.n, 0) > 20 * len(w.w) AS base_failed
           FROM d JOIN w USING (rid) JOIN l USING (rid) LEFT JOIN r USING (rid)),
     v AS (SELECT lang, source, metric, {buck("v")} AS b FROM ({metrics})),
-    own AS (SELECT lang, source, {picks} FROM {fence(["lang", "source"])} WHERE total >= {MIN_GROUP} GROUP BY lang, source),
-    lan AS (SELECT lang, {picks} FROM {fence(["lang"])} WHERE total >= {MIN_GROUP} GROUP BY lang),
-    whole AS (SELECT {picks} FROM {fence([])}),
-    k AS (SELECT f.rid, {", ".join(f"CASE WHEN own.h_symbols IS NOT NULL THEN own.{x}_{m} WHEN lan.h_symbols IS NOT NULL THEN lan.{x}_{m} ELSE whole.{x}_{m} END AS {x}_{m}" for m in METRICS for x in "lh")}
+    own AS (SELECT lang, source, {picks} FROM {quart(["lang", "source"])} GROUP BY lang, source),
+    lan AS (SELECT lang, {picks} FROM {quart(["lang"])} GROUP BY lang),
+    whole AS (SELECT {picks} FROM {quart([])}),
+    q AS (SELECT f.rid, {blended}
           FROM f LEFT JOIN own ON f.lang IS NOT DISTINCT FROM own.lang AND f.source IS NOT DISTINCT FROM own.source
-          LEFT JOIN lan ON f.lang IS NOT DISTINCT FROM lan.lang LEFT JOIN whole ON true)
+          LEFT JOIN lan ON f.lang IS NOT DISTINCT FROM lan.lang LEFT JOIN whole ON true),
+    k AS (SELECT rid, {fence} FROM q)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            NOT base_failed AND {checks} AS kept
     FROM f JOIN k USING (rid)"""

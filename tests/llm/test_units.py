@@ -341,6 +341,25 @@ def test_thresholds_follow_the_source(spark):
     assert all(kept[k] for k in range(300)) and all(kept[1000 + k] for k in range(300)) and not kept[5000]
 
 
+def test_no_size_of_a_group_is_a_switch(spark):
+    from pyspark.sql import functions as F
+
+    web = [(k, 1000 + k % 7, "en", "web") for k in range(400)]
+    high = {}
+    for n in (0, 1, 2, 49, 50, 51, 199, 200, 201):
+        rows = web + [(1000 + k, 9000, "en", "code") for k in range(n)] + [(5000, 0, "en", "code")]
+        df = spark.createDataFrame(rows, "doc_id long, n_symbols long, lang string, source string").select(
+            "*", F.lit(1000).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_dup_lines"), F.lit(1).cast("long").alias("n_lines"),
+            F.lit(5000).cast("long").alias("word_chars"), (F.col("doc_id") == 5000).alias("base_failed"))
+        got = op9_quality.group_fences(df, op9_quality.sketches(df)).where("source = 'code'").collect()
+        high[n] = got[0]["fence"]["symbols"]["high"]
+    # The group's own documents lie at one value: each one more moves the fence by less than its weight's step.
+    for a, b in ((0, 1), (1, 2), (49, 50), (50, 51), (199, 200), (200, 201)):
+        step = b / (b + op9_quality.PRIOR) - a / (a + op9_quality.PRIOR)
+        assert abs(high[b] - high[a]) <= 9000 * (1 + op9_quality.FENCE) * step + 2, (a, b)
+    assert high[0] < high[50] < high[200]
+
+
 def test_sum_of_squares_identity():
     r = np.random.default_rng(1)
     w0, w, v = 0.3, r.normal(size=20), r.normal(size=(20, 4))
