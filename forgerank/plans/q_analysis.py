@@ -138,6 +138,36 @@ def q_categorize_substring(spark, sf_dir):
     return r.select("owner_login", "repo_name", F.array_join("categories", ",").alias("categories"))
 
 
+@register("categorize_by_dictionary", with_ctes(f"""
+SELECT owner_login, repo_name, array_to_string({substr_cats_sql(WORDS4)}, ',') AS categories FROM a_repos""",
+                                                 "a_repos"))
+def q_categorize_by_dictionary(spark, sf_dir):
+    """J7 with the dictionary as a table of (position, category, keyword)."""
+    from ..operators.patterns import categorize_by_dictionary
+    words = [(i, c, k) for i, (c, kws) in enumerate(D.CATEGORIES_SUBSTRING.items()) for k in kws]
+    dictionary = spark.createDataFrame(words, "position int, category string, keyword string")
+    r = categorize_by_dictionary(Tables(spark, sf_dir).repos, dictionary)
+    return r.select("owner_login", "repo_name", F.array_join("categories", ",").alias("categories"))
+
+
+@register("categorize_by_names", with_ctes("""
+SELECT r.owner_login, r.repo_name, count(*) AS n_names, min(u.username) AS first_name
+FROM a_repos r JOIN (SELECT DISTINCT username FROM a_users WHERE username IS NOT NULL) u
+  ON contains(lower(r.owner_login || '/' || r.repo_name), lower(u.username))
+GROUP BY r.owner_login, r.repo_name""", "a_users", "a_repos"))
+def q_categorize_by_names(spark, sf_dir):
+    """J7's substring join with a dictionary that grows with the data: every stored
+    username, looked for in every repository's path."""
+    from ..operators.patterns import contains_pairs
+    t = Tables(spark, sf_dir)
+    path = F.lower(F.concat("owner_login", F.lit("/"), "repo_name"))
+    repos = t.repos.select("owner_login", "repo_name", path.alias("text"))
+    names = t.users.select("username", F.lower("username").alias("pattern")).where("username is not null").distinct()
+    found = contains_pairs(repos, names).join(names, "pattern")
+    return (repos.join(found, "text").groupBy("owner_login", "repo_name")
+            .agg(F.count(F.lit(1)).alias("n_names"), F.min("username").alias("first_name")))
+
+
 @register("language_histogram", with_ctes("SELECT owner_login, languages FROM langs", "a_users", "a_repos",
                                             "a_prs", extra=stage4_ctes()))
 def q_language_histogram(spark, sf_dir):

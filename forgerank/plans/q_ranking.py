@@ -55,6 +55,23 @@ def q_region_members(spark, sf_dir):
     return rounded(m.select("username", "location", "total_score"), "total_score")
 
 
+@register("regions_by_dictionary", with_ctes(f"""
+SELECT username, 'bay area' AS region FROM a_users WHERE {region_sql()}
+UNION ALL
+SELECT u.username, p.region FROM a_users u
+JOIN (SELECT DISTINCT lower(trim(string_split(location, ',')[1])) AS region FROM a_users WHERE location IS NOT NULL) p
+  ON contains(lower(u.location), p.region)""", "a_users"))
+def q_regions_by_dictionary(spark, sf_dir):
+    """F10 with the dictionary as a table: the fixed patterns, and the first part of every
+    location that the users name as a region of its own."""
+    from ..operators.patterns import regions_of
+    users = Tables(spark, sf_dir).users.select("username", "location")
+    fixed = spark.createDataFrame([("bay area", p) for p in D.BAY_AREA_PATTERNS], "region string, pattern string")
+    part = F.lower(F.trim(F.get(F.split("location", ","), 0)))
+    own = users.where("location is not null").select(part.alias("region"), part.alias("pattern")).distinct()
+    return regions_of(users, fixed.unionByName(own)).select("username", "region")
+
+
 # A14 --------------------------------------------------------------------------------
 @register("region_count", fb_sql(f"SELECT count(*) AS members FROM fb WHERE {region_sql()}"))
 def q_region_count(spark, sf_dir):
