@@ -94,31 +94,45 @@ def masks_for(n: int) -> list[tuple[int, tuple[int, ...]]]:
 ALL_MASKS = [*enumerate(MASKS), *[(len(MASKS) + i, m) for i, m in enumerate(SHORT)]]
 
 
+def by_seed(owner: np.ndarray, seed: np.ndarray, place: np.ndarray, n: int) -> tuple[pa.Array, pa.Array]:
+    """For each of ``n`` owners its distinct seeds, and for each of these its places."""
+    order = np.lexsort((place, seed, owner))
+    owner, seed, place = owner[order], seed[order], place[order]
+    new = np.ones(len(seed), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (seed[1:] != seed[:-1])
+    start = np.flatnonzero(new)
+    outer = pa.array(np.searchsorted(owner[start], np.arange(n + 1)), pa.int32())
+    places = pa.ListArray.from_arrays(pa.array(np.append(start, len(seed)), pa.int32()), pa.array(place, pa.int64()))
+    return pa.ListArray.from_arrays(outer, pa.array(seed[start], pa.int64())), pa.ListArray.from_arrays(outer, places)
+
+
 def benchmark_seeds(items: DataFrame, text: str = "text", item_id: str = "item_id") -> tuple[DataFrame, DataFrame]:
-    """(items with their token hashes, (hash, item row, place in the item))."""
+    """(items with their token hashes, (seed, item row, places in the item))."""
     rows = items.select(F.monotonically_increasing_id().alias("item"), F.col(item_id).alias("item_id"),
                         F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens, first = tokens_of(batch.column("text"))
-            lists, seeds, places = [], [], []
-            for a, b in zip(first[:-1], first[1:]):
+            lists, seeds, places, owners = [], [], [], []
+            for row, (a, b) in enumerate(zip(first[:-1], first[1:])):
                 own = tokens[a:b]
-                found = [seed_hashes(own, m, t) for t, m in masks_for(len(own))]
-                if len(own) < WINDOW:
-                    found = [f[:1] for f in found]  # a short item counts only whole
                 lists.append(own.view(np.int64))
-                seeds.append(np.concatenate(found or [np.zeros(0, U64)]).view(np.int64))
-                places.append(np.concatenate([np.arange(len(f)) for f in found] or [np.zeros(0, np.int64)]))
+                for tag, mask in masks_for(len(own)):
+                    found = seed_hashes(own, mask, tag)
+                    found = found[:1] if len(own) < WINDOW else found  # a short item counts only whole
+                    seeds.append(found.view(np.int64))
+                    places.append(np.arange(len(found)))
+                    owners.append(np.full(len(found), row))
+            none = [np.zeros(0, np.int64)]
+            seed, place = by_seed(*[np.concatenate(x or none) for x in (owners, seeds, places)], len(lists))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("item"), batch.column("item_id"),
-                 *[pa.array(x, pa.list_(pa.int64())) for x in (lists, seeds, places)]],
+                [batch.column("item"), batch.column("item_id"), pa.array(lists, pa.list_(pa.int64())), seed, place],
                 names=["item", "item_id", "item_tokens", "seeds", "places"])
 
     out = shared(rows.mapInArrow(run, "item long, item_id long, item_tokens array<long>, seeds array<long>, "
-                                      "places array<long>"), "benchmark_seeds")
-    seeds = out.select("item", F.inline(F.arrays_zip(F.col("seeds").alias("seed"), F.col("places").alias("at"))))
+                                      "places array<array<long>>"), "benchmark_seeds")
+    seeds = out.select("item", F.inline(F.arrays_zip(F.col("seeds").alias("seed"), F.col("places").alias("ats"))))
     return out.select("item", "item_id", "item_tokens"), seeds
 
 
@@ -153,19 +167,15 @@ def candidates(docs: DataFrame, bits, id_col: str, text: str) -> DataFrame:
                     hit_at.append(ok)
                     hit_seed.append(h[ok].view(np.int64))
                 at, seed = np.concatenate(hit_at), np.concatenate(hit_seed)
-                order = np.argsort(at, kind="stable")
-                at, seed = at[order], seed[order]
-                rows_hit, start = np.unique(owner[at], return_index=True)
-                end = np.append(start[1:], len(at))
-                lists = [(tokens[first[r]:first[r + 1]].view(np.int64), seed[s:e], at[s:e] - first[r])
-                         for r, s, e in zip(rows_hit, start, end)]
+                rows_hit, row = np.unique(owner[at], return_inverse=True)
+                seeds, places = by_seed(row, seed, at - first[owner[at]], len(rows_hit))
                 picked = batch.take(pa.array(rows_hit))
                 yield pa.RecordBatch.from_arrays(
                     [picked.column("doc"), picked.column("doc_id"),
-                     *[pa.array([x[k] for x in lists], pa.list_(pa.int64())) for k in range(3)]],
-                    names=["doc", "doc_id", "tokens", "seeds", "places"])
+                     pa.array([tokens[first[r]:first[r + 1]].view(np.int64) for r in rows_hit], pa.list_(pa.int64())),
+                     seeds, places], names=["doc", "doc_id", "tokens", "seeds", "places"])
 
-    return rows.mapInArrow(run, "doc long, doc_id long, tokens array<long>, seeds array<long>, places array<long>")
+    return rows.mapInArrow(run, "doc long, doc_id long, tokens array<long>, seeds array<long>, places array<array<long>>")
 
 
 def overlap(doc: np.ndarray, item: np.ndarray, offset: int) -> tuple[int, int]:
@@ -183,6 +193,15 @@ def overlap(doc: np.ndarray, item: np.ndarray, offset: int) -> tuple[int, int]:
     return int((agree >= need).sum()), int(agree.max())
 
 
+def offsets(places: list[np.ndarray], ats: list[np.ndarray], n_doc: int, n_item: int) -> np.ndarray:
+    """Distinct offsets at which a seed of the item lies on its like in the document."""
+    mark = np.zeros(n_doc + n_item, bool)
+    for p, a in zip(places, ats):
+        for at in a:
+            mark[p - at + n_item] = True
+    return np.flatnonzero(mark) - n_item
+
+
 def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text",
              item_id: str = "item_id") -> DataFrame:
     """(doc_id, item_id, n_windows, n_agree): contaminated documents with the items found
@@ -192,29 +211,28 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: st
     items, seeds = benchmark_seeds(items, item_id=item_id)
     bits = spark.sparkContext.broadcast(seed_filter(seeds))
     cand = shared(candidates(docs, bits, id_col, text), "seed_hits")
-    hits = cand.select("doc", F.inline(F.arrays_zip(F.col("seeds").alias("seed"), F.col("places").alias("place"))))
-    if seeds.count() <= BROADCAST_ROWS:
+    hits = cand.select("doc", F.inline(F.arrays_zip(F.col("seeds").alias("seed"), F.col("places").alias("places"))))
+    if (seeds.select(F.sum(F.size("ats"))).first()[0] or 0) <= BROADCAST_ROWS:
         seeds = F.broadcast(seeds)
-    lines = hits.join(seeds, "seed").select("doc", "item", (F.col("place") - F.col("at")).alias("offset")).distinct()
-    pairs = lines.join(items, "item").join(cand.select("doc", "doc_id", "tokens"), "doc")
+    meets = hits.join(seeds, "seed").groupBy("doc", "item").agg(
+        F.collect_list("places").alias("places"), F.collect_list("ats").alias("ats"))
+    pairs = meets.join(items, "item").join(cand.select("doc", "doc_id", "tokens"), "doc")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [overlap(d, i, o) for d, i, o in zip(
-                batch.column("tokens").to_numpy(zero_copy_only=False),
-                batch.column("item_tokens").to_numpy(zero_copy_only=False), batch.column("offset").to_pylist())]
+            best = []
+            for r in range(batch.num_rows):
+                doc, item = [batch.column(c)[r].values.to_numpy() for c in ("tokens", "item_tokens")]
+                places, ats = [[x.values.to_numpy() for x in batch.column(c)[r]] for c in ("places", "ats")]
+                best.append(max(overlap(doc, item, int(o)) for o in offsets(places, ats, len(doc), len(item))))
             got = pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("doc_id"), batch.column("item"), batch.column("item_id"),
-                 pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())],
-                names=["doc", "doc_id", "item", "item_id", "n_windows", "n_agree"])
-            yield got.filter(pa.array([x[0] > 0 for x in out], pa.bool_()))
-
-    found = pairs.select("doc", "doc_id", "tokens", "item", "item_id", "item_tokens", "offset").mapInArrow(
-        verify, "doc long, doc_id long, item long, item_id long, n_windows long, n_agree long")
-    best = found.groupBy("doc", "item").agg(
-        F.first("doc_id").alias("doc_id"), F.first("item_id").alias("item_id"),
-        F.max(F.struct("n_windows", "n_agree")).alias("best"))
-    return best.select("doc_id", "item_id", "best.n_windows", "best.n_agree")
+                [batch.column("doc_id"), batch.column("item_id"),
+                 pa.array([x[0] for x in best], pa.int64()), pa.array([x[1] for x in best], pa.int64())],
+                names=["doc_id", "item_id", "n_windows", "n_agree"])
+            yield got.filter(pa.array([x[0] > 0 for x in best], pa.bool_()))
+
+    return pairs.select("doc_id", "tokens", "item_id", "item_tokens", "places", "ats").mapInArrow(
+        verify, "doc_id long, item_id long, n_windows long, n_agree long")
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -181,6 +181,27 @@ def test_masks_miss_no_overlap():
                    for m in op4_decontaminate.MASKS for a in range(w - m[-1]))
 
 
+def test_repeated_tokens_on_both_sides(spark):
+    texts = ["la " * 3000, "la di " * 500 + "da", "la " * 14 + "x " + "la " * 30, "one two three " * 7, "", None, "la " * 11]
+    items = ["la " * 20, "la di " * 9, "la di da " * 6, "la " * 5, "one two three " * 40, None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = []
+    for d, t in enumerate(texts):
+        for i, u in enumerate(items):
+            doc, item = np.array((t or "").split()), np.array((u or "").split())
+            at = [op4_decontaminate.overlap(doc, item, o) for o in range(-len(item), len(doc))] if len(item) else []
+            best = max(at, default=(0, 0))
+            if best[0]:
+                want.append((d, i, *best))
+    out = op4_decontaminate.overlaps(docs, bench)
+    assert sorted(map(tuple, out.collect())) == want
+    cand = op4_decontaminate.candidates(docs, spark.sparkContext.broadcast(
+        op4_decontaminate.seed_filter(op4_decontaminate.benchmark_seeds(bench)[1])), "doc_id", "text")
+    # One row a seed, whatever the number of its places: a text of one word has one seed a mask.
+    assert cand.where("doc_id = 0").selectExpr("size(seeds)").first()[0] <= len(op4_decontaminate.ALL_MASKS)
+
+
 def test_shingle_prefixes_leave_all_links():
     r = random.Random(3)
     for _ in range(300):
