@@ -285,3 +285,37 @@ def q_enrichment_round(spark, sf_dir):
 def q_enrichment_round_global(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return _round(t, "global", R.enrich_candidates_global(full_board(t)))
+
+
+# O2 over several landings -------------------------------------------------------------
+def _rounds(t: Tables):
+    """All attempts in three landings that cut through users and come out of order, onto
+    the whole leaderboard."""
+    from ..operators.rounds import EnrichmentRounds
+    from ..session import scratch_path
+    rounds = EnrichmentRounds(t.spark, scratch_path(t.spark, "rounds")).begin(full_board(t), 8)
+    for k in (1, 0, 2):
+        rounds.land(t.attempts.where(F.col("seq") % 3 == k), as_of_col(), f"landing-{k}")
+    return rounds
+
+
+@register("enrichment_rounds", fb_sql(K11_SELECT.format(src="fb"), classify_ctes(), NEED_O))
+def q_enrichment_rounds(spark, sf_dir):
+    return _rounds(Tables(spark, sf_dir)).board.read().select(*STATE_OUT)
+
+
+@register("enrichment_rounds_statistics", fb_sql(f"""
+SELECT r.*, b.* FROM (
+  SELECT count(*) AS total, count(*) FILTER (WHERE success) AS success,
+    count(*) FILTER (WHERE NOT success AND permanent) AS permanent_failures,
+    count(*) FILTER (WHERE NOT success AND NOT permanent) AS transient_failures,
+    count(*) FILTER (WHERE NOT success) AS failed, count(*) FILTER (WHERE success AND open_to_work) AS open_to_work
+  FROM res) r,
+ (SELECT count(*) AS members, count(*) FILTER (WHERE {LINK_OK} AND u.is_open_to_work) AS members_open,
+    count(*) FILTER (WHERE {LINK_OK} AND NOT u.is_open_to_work) AS members_not_open,
+    count(*) FILTER (WHERE {LINK_OK} AND u.otw_permanent_failure) AS members_failed
+  FROM fb JOIN upd u ON fb.username = u.username WHERE {region_sql()}) b""",
+    {**classify_ctes(), "upd": K11_SELECT.format(src="fb")}, NEED_O))
+def q_enrichment_rounds_statistics(spark, sf_dir):
+    """A13, A14 and A16 of the rounds, from counters that each landing moved."""
+    return _rounds(Tables(spark, sf_dir)).statistics()
