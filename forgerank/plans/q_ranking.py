@@ -116,6 +116,39 @@ def q_enrich_candidates_region(spark, sf_dir):
     return rounded(c.select(*CAND_COLS), "total_score")
 
 
+# W1 / W2 with kept ranks ---------------------------------------------------------------
+def _kept(t: Tables, ranks):
+    """The board in three batches: two thirds of the users with half their scores, a third with
+    their own, then all whose scores have been halved with their own."""
+    board = full_board(t)
+    third = F.pmod(F.xxhash64("username"), F.lit(3))
+    ranks.begin(board.schema, 8)
+    ranks.update(board.where(third > 0).withColumn("total_score", F.col("total_score") / 2), "halves")
+    ranks.update(board.where(third == 0), "others")
+    ranks.update(board.where(third > 0), "whole")
+    return ranks
+
+
+@register("kept_ranks_global", fb_sql(f"""
+SELECT username, name, linkedin, location, round(total_score, 4) AS total_score, rnk, is_open_to_work
+FROM cand""", {"cand": W1_SQL}))
+def q_kept_ranks_global(spark, sf_dir):
+    from ..operators.kept_ranks import KeptRanks
+    from ..session import scratch_path
+    c = _kept(Tables(spark, sf_dir), KeptRanks(spark, scratch_path(spark, "ranks"))).global_candidates()
+    return rounded(c.select(*CAND_COLS), "total_score")
+
+
+@register("kept_ranks_region", fb_sql(f"""
+SELECT username, name, linkedin, location, round(total_score, 4) AS total_score, rnk, is_open_to_work
+FROM cand""", {"cand": W2_SQL}))
+def q_kept_ranks_region(spark, sf_dir):
+    from ..operators.kept_ranks import region_board
+    from ..session import scratch_path
+    c = _kept(Tables(spark, sf_dir), region_board(spark, scratch_path(spark, "ranks"))).region_candidates()
+    return rounded(c.select(*CAND_COLS), "total_score")
+
+
 # ------------------------------------------------------------------ outcome SQL
 def classify_ctes(mode: str = "regional") -> dict:
     needles = D.RETRYABLE_ERRORS_REGIONAL if mode == "regional" else D.RETRYABLE_ERRORS_GLOBAL

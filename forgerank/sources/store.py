@@ -8,7 +8,7 @@ one version as a whole and a run that is cut off before the rename has changed n
 versions stay readable until ``vacuum``.
 
 Parts are given by an expression: ``hash_part`` deals keys to a fixed number of buckets (keyed
-upserts), ``day_part`` cuts by day (expiry). The expression and the schema are the table's own, kept with the
+upserts), ``day_part`` cuts by day (expiry), ``score_part`` by order-preserving slices of a score (ranks). The expression and the schema are the table's own, kept with the
 manifest by name. Files are written after a rebalancing by part, so small parts are one file and a part with
 a large share of the rows is several.
 
@@ -38,8 +38,22 @@ def day_part(column: str) -> dict:
     return {"kind": "day", "columns": [column]}
 
 
+def score_part(column: str, steps: int) -> dict:
+    return {"kind": "score", "columns": [column], "steps": steps}
+
+
+BEYOND = 1 << 20  # the part of infinite scores; NaN, which sorts above them, is one further
+
+
 def part_of(spec: dict) -> Column:
-    """The part of a row, as text: a bucket's number, or a day as YYYY-MM-DD (``none`` without one)."""
+    """The part of a row, as text: a bucket's number, a day as YYYY-MM-DD, or a slice of scores (``none``
+    without one). Slices are even on a log scale, ``steps`` of them where a score grows e-fold; a greater
+    score, as float4, is never in a lower slice."""
+    if spec["kind"] == "score":
+        x = F.col(f"`{spec['columns'][0]}`").cast("float").cast("double")
+        size = F.least(F.floor(F.log1p(F.least(F.abs(x), F.lit(1e300))) * spec["steps"]), F.lit(BEYOND - 1))
+        part = F.when(F.isnan(x), BEYOND + 1).when(F.abs(x) == float("inf"), F.signum(x) * BEYOND).otherwise(F.signum(x) * size)
+        return F.coalesce(part.cast("long").cast("string"), F.lit("none"))
     if spec["kind"] == "hash":
         return F.pmod(F.xxhash64(*spec["columns"]), F.lit(spec["buckets"])).cast("string")
     return F.coalesce(F.date_format(spec["columns"][0], "yyyy-MM-dd"), F.lit("none"))
