@@ -160,6 +160,61 @@ def test_whole_wrapped_licenses(spark):
         assert (r.licenses, r.n_sentences, r.n_unmatched) == ({name: 1}, texts[name][1], 0), r
 
 
+NAMED_BSD = """Copyright (c) 2020, Widget Inc. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice.
+3. Neither the name of Widget Inc. nor the names of its contributors may be
+   used to endorse or promote products derived from this software without
+   specific prior written permission.
+"""
+GNU = """ * This {0} is free software{4} you can redistribute it and/or modify
+ * it under the terms of the GNU {1}General Public License as published by
+ * the Free Software Foundation{3} either version {2} of the License, or
+ * (at your option) any later version.
+ *
+ * This {0} is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS.
+"""
+
+
+def test_license_variants(spark):
+    tag = "// SPDX-License-Identifier: "
+    want = [(NAMED_BSD, {"BSD-3-Clause": 1}), (ISC, {"ISC": 1}), (GNU.format("program", "Affero ", "3", ",", ":"), {"AGPL-3.0-or-later": 1}),
+            (GNU.format("library", "Lesser ", "2.1", ";", ";"), {"LGPL-2.1-or-later": 1}),
+            (GNU.format("library", "Lesser ", "3", ";", ";"), {"LGPL-3.0-or-later": 1}),
+            (GNU.format("program", "", "2", ";", ";"), {"GPL-2.0-or-later": 1}),
+            ("(c) Widget Inc. All rights reserved.", {"Proprietary": 1}), ("nothing", {}), ("", {}), (None, {}), ("a licence", {}),
+            (tag + "GPL-2.0-or-later", {"GPL-2.0-or-later": 1}), (tag + "BSD-3-Clause\nint x;", {"BSD-3-Clause": 1}),
+            (tag + "MIT OR Apache-2.0", {"MIT": 1, "Apache-2.0": 1}),
+            (tag + "(GPL-2.0-or-later OR MIT OR ISC)", {"GPL-2.0-or-later": 1, "MIT": 1, "ISC": 1}),
+            (tag + "GPL-2.0-only WITH Classpath-exception-2.0", {"GPL-2.0-only": 1}),
+            (tag + "GPL-2.0-only WITH Classpath-exception-2.0 OR MIT", {"GPL-2.0-only": 1, "MIT": 1})]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(want)], "k long, text string")
+    got = {r.k: r.licenses for r in op3_licenses.scan_licenses(df, ["k"]).collect()}
+    assert got == {k: x for k, (_, x) in enumerate(want)}
+
+
+def test_licenses_of_other_sentences_and_rules(spark):
+    df = spark.createDataFrame([("Free as in beer.\nDrink it!",), ("Licensed under the MIT License.",)], "text string")
+    out = op3_licenses.scan_licenses(df, ["text"], sentences={"free as in beer": "ab", "drink it": "ac"},
+                                     licence_rules=[(["ab", "ac"], "Beerware")], maybe="(?i)beer").collect()
+    assert [r.licenses for r in out] == [{"Beerware": 1}, {}]
+
+
 def test_every_license_sentence_is_found(spark):
     full = {"ms": "SPDX-License-Identifier: MIT", "gs": "// SPDX-License-Identifier: GPL-3.0-only\n\nint x;",
             "pa": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy",
