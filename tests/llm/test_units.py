@@ -381,6 +381,17 @@ def test_repeats_at_all_kinds_of_places(spark):
     assert got == sorted(brute.op8(rows))
 
 
+def test_passages_of_many_documents_leave_the_text_that_is_kept(spark, tmp_path):
+    r = random.Random(4)
+    word = lambda n: "".join(r.choice("abcdefghé ") for _ in range(n))
+    passage = word(500)
+    texts = [word(r.randint(0, 300)) + passage * (k % 4 > 0) + word(r.randint(0, 300)) for k in range(40)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = {x.doc_id: x for x in op8_suffix_dedup.op8_suffix_dedup(spark, str(tmp_path)).collect()}
+    for k, t in enumerate(texts):
+        assert passage not in out[k].kept_text and (k % 4 or out[k].kept_text == t)
+
+
 def test_many_contexts_of_one_gram_are_not_one_group(spark, monkeypatch):
     r = random.Random(5)
     word = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
