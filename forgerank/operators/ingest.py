@@ -113,12 +113,12 @@ def parse_profile(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, bad
 
 
-def unreadable(landed: DataFrame, root: str, reason: str) -> DataFrame:
-    """Payloads that are no JSON, or whose ``root`` object is missing or null: the rows
+def unreadable(landed: DataFrame, root: str, reason: str, keys: tuple[str, ...] = ("cache_key",), kind: str = "OBJECT") -> DataFrame:
+    """Payloads that are no JSON, or whose ``root`` of this kind is missing or null: the rows
     that a parser gives nothing for, with the reason."""
     body = F.try_parse_json("response")
-    there = F.coalesce(F.schema_of_variant(F.try_variant_get(body, f"$.{root}", "variant")).startswith("OBJECT"), F.lit(False))
-    return landed.where(~there).select("cache_key", F.when(body.isNull(), F.lit("not JSON")).otherwise(F.lit(reason)).alias("reason"))
+    there = F.coalesce(F.schema_of_variant(F.try_variant_get(body, f"$.{root}", "variant")).startswith(kind), F.lit(False))
+    return landed.where(~there).select(*keys, F.when(body.isNull(), F.lit("not JSON")).otherwise(F.lit(reason)).alias("reason"))
 
 
 # ------------------------------------------------------------------ S3 repositories
@@ -284,6 +284,12 @@ def parse_pr_search(landed: DataFrame) -> DataFrame:
         from_iso(F.col("n.mergedAt")).alias("merged_at"))
 
 
+def unreadable_pr_search(landed: DataFrame) -> DataFrame:
+    """The pages of search results that ``parse_pr_search`` gives nothing for because they hold no result
+    at all (an empty result is one)."""
+    return unreadable(landed, "search", "no search result")
+
+
 # ------------------------------------------------------------------ S6 user search page
 def search_page_payloads(hits: DataFrame) -> DataFrame:
     per = hits.groupBy("location", "slice", "page").agg(
@@ -300,6 +306,11 @@ def parse_search_page(landed: DataFrame) -> DataFrame:
         "location", "slice", "page", "i", F.col("u.login").alias("username"))
 
 
+def unreadable_search_page(landed: DataFrame) -> DataFrame:
+    """The search pages without a list of hits."""
+    return unreadable(landed, "items", "no items", ("location", "slice", "page"), "ARRAY")
+
+
 # ------------------------------------------------------------------ X5
 def profile_requests(users: DataFrame, query: str = "GetUser") -> DataFrame:
     """The request behind each profile payload and its fingerprint."""

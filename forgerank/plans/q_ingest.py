@@ -86,15 +86,47 @@ FROM a_prs p JOIN qual q ON q.username = p.username AND q.full_name = p.repo_nam
     "a_users", "a_repos", "a_prs", extra=Q4_CTES))
 def q_parse_pr_search(spark, sf_dir):
     """Search results of each user's merged PRs in their first 50 qualifying repos."""
+    return I.parse_pr_search(landed_searches(Tables(spark, sf_dir)))
+
+
+def landed_searches(t: Tables):
     from pyspark.sql import Window as W
-    t = Tables(spark, sf_dir)
     uni = AN.user_repos_union(AN.user_repo_candidates(t.users, t.repos, t.prs))
     w = W.partitionBy("username").orderBy("position")
     qual = (uni.where(F.col("stars") >= D.MIN_STARS).withColumn("q", F.row_number().over(w))
                .where(F.col("q") <= D.QUALIFYING_REPOS_CAP).select("username", "full_name"))
     found = t.prs.select("username", "id", F.col("repo_name").alias("full_name"), "merged_at", "created_at") \
                  .join(qual, ["username", "full_name"], "inner")
-    return I.parse_pr_search(I.search_payloads(found))
+    return I.search_payloads(found)
+
+
+def damaged(landed, by: str):
+    """The landing with every third text (by the length of a column) cut short and every third an error message."""
+    n = F.length(by) % 3
+    return landed.withColumn("response", F.when(n == 0, F.expr("left(response, length(response) - 2)")).when(
+        n == 1, F.lit('{"message": "rate limit"}')).otherwise(F.col("response")))
+
+
+def damaged_sql(by: str, reason: str) -> str:
+    return f"CASE WHEN length({by}) % 3 = 0 THEN 'not JSON' ELSE '{reason}' END AS reason"
+
+
+@register("quarantine_pr_search", with_ctes(f"""
+SELECT DISTINCT p.username AS cache_key, {damaged_sql("p.username", "no search result")}
+FROM a_prs p JOIN qual q ON q.username = p.username AND q.full_name = p.repo_name WHERE length(p.username) % 3 < 2""",
+    "a_users", "a_repos", "a_prs", extra=Q4_CTES))
+def q_quarantine_pr_search(spark, sf_dir):
+    """The searches whose pages no parser can read, with the reason."""
+    return I.unreadable_pr_search(damaged(landed_searches(Tables(spark, sf_dir)), "cache_key")).distinct()
+
+
+@register("quarantine_search_page", with_ctes(f"""
+SELECT DISTINCT location, slice, page, {damaged_sql("location", "no items")} FROM disc WHERE length(location) % 3 < 2""",
+    "a_users", extra=DISC))
+def q_quarantine_search_page(spark, sf_dir):
+    """The pages without a list of hits."""
+    landed = damaged(I.search_page_payloads(discovered(Tables(spark, sf_dir))), "location")
+    return I.unreadable_search_page(landed).withColumn("page", F.col("page").cast("long"))
 
 
 @register("parse_search_page", with_ctes("""

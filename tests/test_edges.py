@@ -440,3 +440,15 @@ def test_a_full_refresh_over_stored_tables(spark, as_of):
     second = full_refresh(prof, repo, prs, as_of, old)
     assert sorted(r.username for r in second["analyses"].collect()) == ["u", "z"]
     assert sorted(r.username for r in second["user_scores"].collect()) == ["u", "z"]
+
+
+def test_unreadable_searches_are_kept_apart(spark):
+    df = spark.createDataFrame([("a", '{"search": {"nodes": []}}'), ("b", '{"search": null}'), ("c", '{"search": {"no'), ("d", None),
+                                ("e", '{"message": "x"}'), ("f", ""), ("g", '{"search": []}')], "cache_key string, response string")
+    got = dict(rows(I.unreadable_pr_search(df), "cache_key", "reason"))
+    none = "no search result"
+    assert got == {"b": none, "c": "not JSON", "d": "not JSON", "e": none, "f": "not JSON", "g": none}
+    pages = spark.createDataFrame([("x", 0, 1, '{"items": []}'), ("x", 0, 2, '{"items": {}}'), ("x", None, 3, "[")],
+                                  "location string, slice int, page int, response string")
+    assert rows(I.unreadable_search_page(pages), "page", "reason") == [(2, "no items"), (3, "not JSON")]
+    assert not I.unreadable_search_page(pages.limit(0)).collect()
