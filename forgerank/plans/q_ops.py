@@ -77,8 +77,10 @@ def q_discover_slices(spark, sf_dir):
 SELECT location, slice, username, followers FROM disc WHERE lower(username) NOT IN (SELECT k FROM fresh)""",
                                        "a_users", extra=DISC))
 def q_discover_todo(spark, sf_dir):
+    from ..session import shared
     t = Tables(spark, sf_dir)
-    return DI.discover_todo(t.users, discovered(t), A.as_of_col()).select(
+    found = shared(discovered(t), "discovered")  # read twice: the work list and the freshness lookup
+    return DI.discover_todo(t.users, found, A.as_of_col()).select(
         "location", "slice", "username", "followers")
 
 
