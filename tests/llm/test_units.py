@@ -381,6 +381,32 @@ def test_repeats_at_all_kinds_of_places(spark):
     assert got == sorted(brute.op8(rows))
 
 
+def test_repeats_are_found_when_the_scan_is_split_anew_between_jobs(spark, tmp_path, monkeypatch):
+    r = random.Random(11)
+    word = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    p = word(450)
+    rows = [{"doc_id": k // 2 if k < 4 else k, "text": word(r.randint(300, 900)) + p * (k % 3 == 0)} for k in range(60)]
+    rows += [dict(rows[3]), {"doc_id": None, "text": rows[3]["text"]}, {"doc_id": None, "text": None}]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame([(x["doc_id"], x["text"]) for x in rows], "doc_id long, text string").repartition(9).write.parquet(path)
+    shared, split = op8_suffix_dedup.shared, "spark.sql.files.maxPartitionBytes"
+
+    def then_split(df, name):
+        out = shared(df, name)
+        spark.conf.set(split, "2000")  # as when executors join after the first job
+        return out
+
+    monkeypatch.setattr(op8_suffix_dedup, "shared", then_split)
+    before = spark.conf.get(split)
+    spark.conf.set(split, "1g")
+    try:
+        got = [(x.doc_id, x.n_bytes, x.n_bytes - len(x.kept), len(x.spans), brute.sha(bytes(x.kept)))
+               for x in op8_suffix_dedup.remove_repeats(spark.read.parquet(path)).collect()]
+    finally:
+        spark.conf.set(split, before)
+    assert sorted(got, key=str) == sorted(brute.op8(rows), key=str)
+
+
 def test_passages_of_many_documents_leave_the_text_that_is_kept(spark, tmp_path):
     r = random.Random(4)
     word = lambda n: "".join(r.choice("abcdefghé ") for _ in range(n))
