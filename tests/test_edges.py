@@ -102,6 +102,41 @@ def test_union_first_wins_and_topn_ties(spark):
     assert got == [("a/x", 0, 5), ("b/y", 1, 3)]
 
 
+def _lists(spark):
+    users = spark.createDataFrame([("u",), ("v",), ("v",), (None,)], "username string")
+    repos = spark.createDataFrame(
+        [(o, n, s, lang, langs, topics, 9, False, None) for o, n, s, lang, langs, topics in (
+            ("u", "own", 50, "Go", ["Go", ""], ["API"]), ("u", "unsearched", 3, None, None, ["api", None]),
+            ("v", "x", 20, "C", ["C"], None), ("v", "x", 20, "C", ["C"], None), ("w", "y", 30, "R", [], ["z", "C"]),
+            ("u/a", "b", 40, "Lua", ["Lua"], []), (None, "n", 70, "Perl", ["Perl"], []))],
+        "owner_login string, repo_name string, stars int, primary_language string, languages array<string>, topics array<string>, "
+        "total_prs int, is_fork boolean, pushed_at timestamp_ntz")
+    prs = spark.createDataFrame([(str(k), u, r) for k, (u, r) in enumerate(
+        [("u", "u/own")] * 3 + [("u", "u/unsearched"), ("u", "v/x"), ("u", "v/x"), ("u", "u/a/b"), ("v", "w/y"), ("v", "v/x"),
+         ("x", "w/y"), (None, "w/y"), ("u", None), ("v", "gone/gone")])], "id string, username string, repo_name string")
+    return AN.model_a_inputs(users, repos, prs)
+
+
+def test_repo_lists_with_counts_of_own_contributed_and_unsearched_repos(spark):
+    got = rows(_lists(spark).orderBy("username", "position"), "username", "relation", "full_name", "user_prs")
+    assert got == [("u", 0, "u/own", 3), ("u", 0, "u/unsearched", 0), ("u", 1, "u/a/b", 1), ("u", 1, "v/x", 2),
+                   ("v", 0, "v/x", 1), ("v", 1, "w/y", 1)]
+    assert sorted(rows(AN.unique_skills(_lists(spark)), "username", "unique_skills")) == [("u", "go,lua,c,api"), ("v", "c,z")]
+
+
+def test_skills_of_repo_lists_deal_the_lists_once(spark):
+    """From the lists on, every step is by user: one exchange of the lists, none of their exploded rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for f in (AN.unique_skills, S.top_skills_by_frequency):
+            plan = f(_lists(spark))._jdf.queryExecution().executedPlan().toString()
+            by_user = [x for x in plan.split("\n") if "Exchange hashpartitioning(username" in x]
+            assert not [x for x in by_user if "skill" in x], plan
+            assert plan.count("REPARTITION_BY_COL") == 1 and plan.count("Scan parquet") <= 2, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_topic_skills_alphabetical_first_ten(spark):
     topics = [f"T{i:02d}" for i in range(12, 0, -1)]
     df = spark.createDataFrame([("u", topics[:6]), ("u", topics[6:] + ["t01"])], "username string, topics array<string>")
