@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import release, shared
-from .common import U64, filtered, id_filter, lower_ascii, mix, row_slices, table, text_buffer, word_bounds, word_hashes
+from .common import U64, bit, id_filter, lower_ascii, mix, row_slices, table, text_buffer, word_bounds, word_hashes
 from .components import components
 
 SIZE = 5
@@ -160,11 +160,15 @@ def _postings(docs: DataFrame, common) -> DataFrame:
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, n, s, o1, o2) for the ids (column ``id``), and few others: a document's set and its
     prefixes under the other orders. Texts are cut only where the id passes a fixed-size bit filter."""
-    docs = filtered(docs.where("doc_id is not null").select("doc_id", "text"), id_filter(ids, "id"), "doc_id", True)
+    bits = id_filter(ids, "id")
+    docs = docs.where("doc_id is not null").select("doc_id", "text", bit("doc_id").alias("bit"))
     names = ["doc_id", "n", "s", *[f"o{k}" for k in range(1, ORDERS)]]
 
+    # The filter is looked up here, as one before this would be a second worker in each task.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(bits.value).view(bool)
         for group in batches:
+            group = group.filter(pa.array(known[group.column("bit").to_numpy(zero_copy_only=False)]))
             for batch in row_slices(group, SLICE):
                 sets = shingle_sets(batch.column("text"))
                 cols = [sets, *[[random_prefix(s, k) if len(s) else s for s in sets] for k in range(1, ORDERS)]]
@@ -282,7 +286,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     equal = same.groupBy("key").agg(F.min("doc_id").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1")
     equal = same.join(equal, "key").select(F.col("doc_id").alias("a"), "b").where("a <> b")
 
-    lists = _postings(docs, common).withColumn("size", (F.log("n") * 1e6).cast("long"))
+    # Dealt before sizes are added, which then do not travel.
+    lists = _postings(docs, common).repartition("token").withColumn("size", (F.log("n") * 1e6).cast("long"))
     by_token = Window.partitionBy("token")
     fitting = by_token.orderBy("size").rangeBetween(-223200, 0)  # 10**6 * log(100 / PERCENT), rounded up
     before = F.lag(F.struct("doc_id", "n")).over(by_token.orderBy("size", "doc_id"))
