@@ -41,7 +41,7 @@ MASKS = [(0, 1, 2, 4, 5), (0, 1, 3, 7, 8)]
 SHORT = [tuple(range(n)) for n in range(1, 5)]  # for items of fewer tokens than the first mask spans
 FILTER_BITS = 24  # of the benchmark's seed filter: 16 MB as bytes
 PROBES = 3
-SLICE = 4 << 20
+SLICE = 1 << 20
 BROADCAST_ROWS = 500_000
 
 _TOKEN = np.zeros(256, bool)
