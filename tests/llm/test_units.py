@@ -444,6 +444,31 @@ def test_many_contexts_of_one_gram_are_not_one_group(spark, monkeypatch):
         assert max(groups, default=0) <= most, most
 
 
+def test_a_hot_gram_makes_few_rows_a_context(spark, monkeypatch):
+    from forgerank.llm import op8_suffix_dedup
+
+    r = random.Random(8)
+    p = "".join(r.choice("abcdefgh ") for _ in range(500))
+    rows = [{"doc_id": k, "text": "".join(r.choice("xyz ") for _ in range(150)) + p[r.randint(0, 60):r.randint(440, 500)]
+             + "".join(r.choice("xyz ") for _ in range(150))} for k in range(60)]
+    written, shared = [], op8_suffix_dedup.shared
+
+    def counted(df, name="shared"):
+        out = shared(df, name)
+        written.append((name, out.where("row is null").count() if name == "anchor_contexts" else out.count()))
+        return out
+
+    monkeypatch.setattr(op8_suffix_dedup, "HOT", 20)
+    monkeypatch.setattr(op8_suffix_dedup, "shared", counted)
+    docs = spark.createDataFrame([(x["doc_id"], x["text"]) for x in rows], "doc_id long, text string")
+    out = op8_suffix_dedup.remove_repeats(docs)
+    got = sorted((x.doc_id, x.n_bytes, sum(s.b - s.a for s in x.spans), len(x.spans), brute.sha(bytes(x.kept))) for x in out.collect())
+    assert got == sorted(brute.op8(rows))
+    contexts = dict(written)["anchor_contexts"]
+    again = [n for name, n in written if name not in ("repeated_anchors", "repeat_candidates", "anchor_contexts", "repeat_spans")]
+    assert len(again) > 1 and max(again) <= 3 * contexts, (contexts, written)
+
+
 def test_thresholds_follow_the_source(spark):
     plain = "the plain words of a page go on and on without any mark number {}"
     code = "a | b | c | d # e # f # g * h * i {} | j | k | l | m | n"
