@@ -61,6 +61,12 @@ def upsert(old: DataFrame | None, new: DataFrame, keys: list[str], order: list,
     return out.select(*sel).select(*keys, *data_cols)
 
 
+def replace_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """``upsert`` where ``new`` holds a key once, never null, and every column: its rows take the places of the old
+    ones. An anti join on the keys alone; no row is sorted and folded with its columns."""
+    return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
+
+
 # K1 -----------------------------------------------------------------------------
 def upsert_users(old: DataFrame | None, new: DataFrame, order: list | None = None) -> DataFrame:
     """Profile upsert on ``username``: every column replaced, ``public_repos`` forced 0."""

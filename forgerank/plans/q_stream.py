@@ -35,14 +35,17 @@ def q_incremental_refresh(spark, sf_dir):
     state = Refresh(spark, scratch_path(spark, "refresh"), buckets=files)  # as many parts as the input asks for
     early = t.repos.where("repo_key % 5 <> 0").withColumn("stars", F.floor(F.col("stars") / 2).cast("int")).withColumn(
         "total_prs", F.col("total_prs") + 1)
-    payloads = I.repository_payloads(early).withColumn(
-        "response", F.when(F.crc32("cache_key") % 10 == 0, F.substring("response", 1, 40)).otherwise(F.col("response")))
-    landing = land_in_files(payloads, scratch_path(spark, "landing_repos"), 2)
-    refresh_repositories(state, landing, files_per_batch=2)
+
+    def some_broken(repos):
+        return I.repository_payloads(repos).withColumn(
+            "response", F.when(F.crc32("cache_key") % 10 == 0, F.substring("response", 1, 40)).otherwise(F.col("response")))
+
+    landing = land_in_files(early, scratch_path(spark, "landing_repos"), files, build=some_broken)
+    refresh_repositories(state, landing, files_per_batch=files)
     prs = land_in_order(t.raw_prs, scratch_path(spark, "landing_prs"), F.col("seq.a"), 4, files, "id")
     refresh_pull_requests(state, prs, spark.read.parquet(prs).schema, files_per_batch=files)
-    land_in_files(I.repository_payloads(t.repos), landing, 2, mode="append")
-    refresh_repositories(state, landing, files_per_batch=2)
+    land_in_files(t.repos, landing, files, mode="append", build=I.repository_payloads)
+    refresh_repositories(state, landing, files_per_batch=files)
     return rounded(board(state, t.users), "total_score")
 
 

@@ -43,7 +43,7 @@ from ..functions import dictionaries as D
 from ..functions.columns import repo_score
 from ..operators import ingest as I
 from ..operators import scoring as S
-from ..operators.upsert import upsert, upsert_pull_requests
+from ..operators.upsert import replace_rows, upsert, upsert_pull_requests
 from ..session import release, scratch_path, shared
 from ..sources.id_log import IdLog
 from ..sources.store import Store, hash_part
@@ -57,11 +57,12 @@ def landing_files(df: DataFrame, least: int = 4) -> int:
     return max(least, df.rdd.getNumPartitions())
 
 
-def land_in_files(df: DataFrame, path: str, files: int, key: str | None = None, mode: str = "overwrite") -> str:
+def land_in_files(df: DataFrame, path: str, files: int, key: str | None = None, mode: str = "overwrite",
+                  build: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Land rows as ``files`` parquet files (one file = one arrival); rows sharing
-    ``key`` land in the same file."""
+    ``key`` land in the same file. ``build`` makes what lands of each row, after the rows are dealt."""
     parts = df.repartition(files, key) if key else df.repartition(files)
-    parts.write.mode(mode).parquet(path)
+    (build(parts) if build else parts).write.mode(mode).parquet(path)
     return path
 
 
@@ -191,9 +192,9 @@ class Refresh:
             self.ids.add(self.spark.read.parquet(f"{self._staging(tag)}/ids"), tag)
         else:
             repos = self.spark.read.schema(_schema(REPO_ROWS)).parquet(f"{self._staging(tag)}/repos")
-            self.repos.merge(repos, lambda o, n: upsert(o, n, ["repo_name"], ["stars"]), tag)
+            self.repos.merge(repos, lambda o, n: replace_rows(o, n, ["repo_name"]), tag)
         self.pairs.merge(touched.select("repo_name", "username", "n", "share", "last", "last_n"),
-                         lambda o, n: upsert(o, n, ["repo_name", "username"], ["n"]), tag, parts)
+                         lambda o, n: replace_rows(o, n, ["repo_name", "username"]), tag, parts)
 
         def part(new, old, count=None):
             a, b = F.col(new), F.col(old)
@@ -206,9 +207,11 @@ class Refresh:
                   "prs": part("share", "share_old", (F.col("n"), F.col("n_old"))), "last_total": part("last", "last_old"),
                   "last_repos": part("last", "last_old", ones), "last_prs": part("last_n", "last_n_old")}
         users = touched.groupBy("username").agg(*[F.sum(d).cast(SUMS[c]).alias(c) for c, d in deltas.items()])
-        users = users.where(F.greatest(*[F.abs(c) for c in SUMS]) > 0)
+        # Read twice: for the parts that it touches, and by the merge.
+        users = shared(users.where(F.greatest(*[F.abs(c) for c in SUMS]) > 0), "user_deltas")
         self.totals.merge(users, lambda o, n: o.unionByName(n).groupBy("username").agg(
             *[F.sum(c).cast(t).alias(c) for c, t in SUMS.items()]), tag)
+        release(users)
         self.pairs.files.delete(self._staging(tag))
 
     # ---- reading

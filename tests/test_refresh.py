@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forgerank.operators import ingest as I
+from forgerank.operators.upsert import replace_rows, upsert
 from forgerank.session import scratch_path
 from forgerank.sources.store import Store
 from forgerank.streaming import incremental as R
@@ -113,6 +114,38 @@ def test_a_batch_cut_off_anywhere_counts_once(spark, monkeypatch, cut):
     assert scores(again) == {"u": (5.0, 1, 2), "v": (100.0, 1, 1)}
 
 
+def test_a_batch_is_folded_once_and_merged_without_a_fold(spark, monkeypatch):
+    """What the tables take is read as it was written: the sums by user are not made again for each
+    use, and stored pairs are not sorted and folded with the new ones."""
+    state, plans = R.Refresh(spark, scratch_path(spark, "t_state"), 2), {}
+    merge = Store.merge
+
+    def seen(store, batch, change, *a):
+        def plan(df):
+            return df._jdf.queryExecution().executedPlan().toString()
+
+        plans[store.path.rpartition("/")[2]] = plan(batch), plan(change(store.read(), batch))
+        return merge(store, batch, change, *a)
+
+    monkeypatch.setattr(Store, "merge", seen)
+    state.repositories(spark.createDataFrame([("o/a", 10, 4)], REPOS), "r0")
+    for k in range(2):
+        state.pull_requests(prs(spark, [(str(k), "u", "o/a"), (f"{k}v", f"v{k}", "o/a")]), f"p{k}")
+    assert "Aggregate" not in plans["scores"][0]
+    assert "Aggregate" not in plans["pairs"][1] and "Aggregate" not in plans["repos"][1]
+    assert scores(state) == {"u": (5.0, 1, 2), "v0": (2.5, 1, 1), "v1": (2.5, 1, 1)}
+
+
+def test_replaced_rows_equal_an_upsert(spark):
+    schema = "repo_name string, username string, n long, last string"
+    old = spark.createDataFrame([("a", "u", 1, "x"), ("a", "v", 2, None), ("b", "u", 3, "y")], schema)
+    new = spark.createDataFrame([("a", "v", 5, "z"), ("b", "w", 6, None), ("b", "u", 7, None)], schema)
+    for o, n in ((old, new), (old.limit(0), new), (old, new.limit(0))):
+        want = upsert(o, n, ["repo_name", "username"], ["n"])
+        got = replace_rows(o, n, ["repo_name", "username"])
+        assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
 def test_bad_payload_mended_in_the_next_run(spark):
     state = R.Refresh(spark, scratch_path(spark, "t_state"), 2)
     good = '{"repository":{"name":"a","owner":{"login":"o"},"stargazerCount":10,"pullRequests":{"totalCount":4}}}'
