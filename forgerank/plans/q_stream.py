@@ -118,7 +118,8 @@ def q_full_refresh(spark, sf_dir):
     """Q8: every user's profile, repository and merged-PR payloads parsed, upserted,
     scored, synced and analysed; one row for each user with a score or an analysis."""
     t = Tables(spark, sf_dir)
-    profiles = I.profile_payloads(t.users, F.col("social_accounts"))
+    # The users may lie in one file: dealt first, so that no one task makes and parses all profiles.
+    profiles = I.profile_payloads(t.users.repartition("username"), F.col("social_accounts"))
     repos = I.repo_payloads(AN.user_repo_candidates(t.users, t.repos, t.prs))
     prs = I.pr_payloads(I.newest_prs_per_repo(t.raw_prs))
     out = full_refresh(profiles, repos, prs, A.as_of_col())

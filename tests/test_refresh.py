@@ -6,8 +6,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
 from forgerank.operators import ingest as I
 from forgerank.operators.upsert import replace_rows, upsert
+from forgerank.plans import registry  # noqa: F401  (the registry loads the query modules in order)
+from forgerank.plans import q_stream
 from forgerank.session import scratch_path
 from forgerank.sources.store import Store
 from forgerank.streaming import incremental as R
@@ -146,6 +149,27 @@ def test_replaced_rows_equal_an_upsert(spark):
         assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
 
 
+def test_payloads_are_made_of_dealt_rows(spark, monkeypatch):
+    """One file of users or repositories does not mean one task that makes and parses all payloads."""
+    asked = []
+    path = R.land_in_files(spark.range(100).coalesce(1), scratch_path(spark, "t_landing"), 4,
+                           build=lambda df: asked.append(df.rdd.getNumPartitions()) or df.selectExpr("cast(id as string) as response"))
+    rows = spark.read.parquet(path)
+    assert asked == [4] and rows.columns == ["response"] and rows.distinct().count() == 100
+
+    class Stop(Exception):
+        pass
+
+    def stop(profiles, *_):
+        asked.append(profiles._jdf.queryExecution().optimizedPlan().toString())
+        raise Stop
+
+    monkeypatch.setattr(q_stream, "full_refresh", stop)
+    with pytest.raises(Stop):
+        q_stream.q_full_refresh(spark, SMALL)
+    assert "RepartitionByExpression [username" in asked[1]
+
+
 def test_bad_payload_mended_in_the_next_run(spark):
     state = R.Refresh(spark, scratch_path(spark, "t_state"), 2)
     good = '{"repository":{"name":"a","owner":{"login":"o"},"stargazerCount":10,"pullRequests":{"totalCount":4}}}'
