@@ -7,9 +7,10 @@ lost block spoils no other and any segment can be read alone. Segments lie in Pa
 files, one row each, keyed by (shard, segment); the places of documents in the whole
 follow from the segments' totals alone.
 
-Encoding: the library is called once for each distinct pre-token of a slice that a
-worker has not met (up to ``MEMO`` remembered, then anew). Texts with characters outside
-``PLAIN``, or with a special token's string, are passed to it whole.
+Encoding: the library is given each distinct pre-token of a slice that a worker does not
+remember; pre-tokens and chunks between single spaces are remembered, up to some ``MEMO`` of each,
+of which the half met last is then forgotten. Texts with characters outside ``PLAIN``, or with a
+special token's string, are passed to it whole.
 
 Defined results: a null text encodes as the empty text, which has the end id alone;
 documents are in order of (id, text), null ids first; repeated rows are documents of
@@ -41,20 +42,27 @@ LANES = 512
 SLICE = 2 << 20
 # Characters for which the pre-token pattern and the library's own agree piece by piece.
 PLAIN = r"[\t\n\r\x20-\x7e\xa0-ɏ]*+"
+ODD = ["  ", *[s for c in "\t\n\r\xa0" for s in (f" {c}", f"{c} ")]]
 HEAD = "<4sIQI"
 MAGIC = b"TOKS"
 
 
 class Encoder:
-    """Ids of texts by a tokenizers file, little-endian unsigned 32-bit integers."""
+    """Ids of texts by a tokenizers file, little-endian unsigned 32-bit integers. A text is cut at single
+    spaces into chunks, a chunk that is not remembered into pre-tokens; those that are new go to the
+    library, runs of letters as one text, whose ids are cut by the bytes they stand for."""
 
     def __init__(self, data: dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         if "library" not in data:
-            data["library"], data["memo"] = Tokenizer.from_str(data["file"]), {}
-        self.library, self.memo = data["library"], data["memo"]
+            library = data["library"] = Tokenizer.from_str(data["file"])
+            data["words"], data["chunks"] = {}, {}  # chunks: without the space before them
+            vocabulary = library.get_vocab()
+            data["bytes"] = np.zeros(max(vocabulary.values()) + 1, np.int64)
+            data["bytes"][list(vocabulary.values())] = [len(t) for t in vocabulary]  # a character stands for a byte
+        self.library, self.words, self.chunks, self.bytes = (data[k] for k in ("library", "words", "chunks", "bytes"))
         self.split = regex.compile(data["pattern"]).findall
         self.plain = regex.compile(PLAIN).fullmatch
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
@@ -63,21 +71,66 @@ class Encoder:
         got = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
+    def odd(self, text: str) -> bool:
+        """Whether a space does not stand between two other characters than white space, so that it may
+        belong to a longer pre-token."""
+        return text[:1] == " " or text[-1:] == " " or any(s in text for s in ODD)
+
+    def encode_letters(self, runs: list[str]) -> list[bytes]:
+        """The ids of a space and each of the runs of letters."""
+        text = " " + " ".join(runs)
+        raw = self.whole([text])[0]
+        ends = np.cumsum(self.bytes[np.frombuffer(raw, "<u4")])
+        want = np.cumsum([len(r) + 1 for r in runs] if text.isascii() else [len(r.encode()) + 1 for r in runs])
+        at = np.searchsorted(ends, want)
+        # A special token across runs, or ids that do not stand for the bytes of their text.
+        if any(s in text for s in self.special) or ends[-1] != want[-1] or (ends[at] != want).any():
+            return self.whole([" " + r for r in runs])
+        cuts = (4 * at + 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def learn(self, cut: dict[str, list[str]], runs: set[str]) -> dict[str, bytes]:
+        """The ids of each text of ``cut``, given with its pre-tokens; pre-tokens are remembered, and so are ``runs``."""
+        chunks, words = self.chunks, self.words
+        found = {w for own in cut.values() for w in own}
+        after_space = {w: w[1:] for w in found if w[0] == " " and w[1:].isalpha()}
+        runs = list(runs.union(after_space.values()).difference(chunks))
+        if runs:
+            chunks.update(zip(runs, self.encode_letters(runs)))
+        new = [w for w in found if w not in after_space and w not in words]
+        words.update(zip(new, self.whole(new)))
+        return {t: b"".join([chunks[after_space[w]] if w in after_space else words[w] for w in own]) for t, own in cut.items()}
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. What is new in all of them is learnt at once."""
+        for memo in (self.words, self.chunks):
+            if len(memo) > MEMO:  # what was met first, as frequent words are, stays
+                for _ in range(MEMO // 2):
+                    memo.popitem()
+        out, chunked, cut = [b""] * len(texts), {}, {}
+        for i, t in enumerate(texts):
+            if not self.plain(t) or any(s in t for s in self.special):
+                out[i] = self.whole([t])[0]
+            elif self.odd(t):
+                cut[t] = self.split(t)
+            else:
+                first, *chunked[i] = t.split(" ")
+                cut[first] = self.split(first)
+        new = set().union(*chunked.values()).difference(self.chunks)
+        runs = {c for c in new if c.isalpha()}
+        spaced = {" " + c: c for c in new if c not in runs}
+        got = self.learn(cut | {s: self.split(s) for s in spaced}, runs)
+        self.chunks.update((c, got[s]) for s, c in spaced.items())
+        get = self.chunks.__getitem__
+        for i, t in enumerate(texts):
+            if i in chunked:
+                out[i] = got[t.partition(" ")[0]] + b"".join(map(get, chunked[i]))
+            elif t in got:
+                out[i] = got[t]
+        return out
+
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.plain(text) or any(s in text for s in self.special):
-            return self.whole([text])[0]
-        words, memo = self.split(text), self.memo
-        try:
-            return b"".join([memo[w] for w in words])
-        except KeyError:
-            new = list(dict.fromkeys(w for w in words if w not in memo))
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = list(dict.fromkeys(words))
-            memo.update(zip(new, self.whole(new)))
-            return b"".join([memo[w] for w in words])
+        return self.many([text])[0]
 
 
 def pack_segment(doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> bytes:
@@ -130,9 +183,10 @@ def write_files(docs: DataFrame, path: str, tokenizer_file: str, pattern: str, e
 
         for whole in batches:
             for batch in row_slices(whole, SLICE):
-                for doc, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                texts = batch.column("text").fill_null("").to_pylist()
+                for doc, ids in zip(batch.column("doc_id").to_pylist(), encode.many(texts)):
                     doc_ids.append(doc)
-                    parts.append(encode(t or "") + end)
+                    parts.append(ids + end)
                     total += len(parts[-1]) // 4
                     if total >= SEGMENT_IDS:
                         yield close()

@@ -345,6 +345,30 @@ def test_memo_encoding_as_the_library_does():
         assert np.frombuffer(encode(s), "<u4").tolist() == library.encode(s, add_special_tokens=False).ids
 
 
+def test_new_pre_tokens_of_a_slice_go_to_the_library_at_once(monkeypatch):
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(op6_token_files, "MEMO", 300)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        encode = op6_token_files.Encoder({"file": f.read(), "pattern": public_tokenizers.PATTERN})
+    calls, whole = [], encode.whole
+    monkeypatch.setattr(encode, "whole", lambda texts: calls.append(texts) or whole(texts))
+    r = random.Random(6)
+
+    def word():
+        return "".join(r.choice("abcdeéßª") for _ in range(r.randint(1, 9))) + r.choice(["", "", "", ".", ",\nx", "'s", "12", "\n"])
+
+    for k in range(8):
+        texts = [" ".join(word() for _ in range(r.randint(0, 40))) for _ in range(40)]
+        texts += ["", " ", "a ", " a", "a  b", "a \n b", "\n", "a\u00a0 b", "one", "one two", "'s 's", "12 34"]
+        calls.clear()
+        got = [np.frombuffer(b, "<u4").tolist() for b in encode.many(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(calls) <= 3 and len(encode.words) + len(encode.chunks) < 10_000
+    assert encode.many([]) == []
+
+
 def test_ledger_scans_a_blob_once(spark):
     ledger = op7_secrets.Ledger(spark, scratch_path(spark, "test_ledger"))
     first = spark.createDataFrame([("a", 1, "token = abcdef123"), ("b", 1, "token = abcdef123"), ("c", 1, "clean")],
